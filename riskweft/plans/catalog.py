@@ -10,6 +10,7 @@ MODULES = [
     "sources",
     "validation",
     "features",
+    "profile",
 ]
 
 
