@@ -48,8 +48,8 @@ class RankTarget:
         return test
 
 
-def select_ranks(df: DataFrame, targets: list[RankTarget], sort_limit: int = SORT_LIMIT) -> list[RankTarget]:
-    """Fill ``value``, ``less`` and ``equal`` of every target."""
+def select_ranks(df: DataFrame, targets: list[RankTarget], sort_limit: int = SORT_LIMIT, runs: bool = True) -> list[RankTarget]:
+    """Fill ``value`` of every target, and ``less`` and ``equal`` unless ``runs`` is off."""
     for t in targets:
         if not 0 <= t.rank < t.size:
             raise ValueError(f"rank {t.rank} outside 0..{t.size - 1}")
@@ -59,7 +59,7 @@ def select_ranks(df: DataFrame, targets: list[RankTarget], sort_limit: int = SOR
         if not wide:
             break
         _narrow(df, wide)
-    _sort_small(df, [t for t in targets if t.value is None])
+    _sort_small(df, [t for t in targets if t.value is None], runs)
     return targets
 
 
@@ -97,7 +97,11 @@ def _narrow(df: DataFrame, targets: list[RankTarget]) -> None:
             t.low, t.below, t.inside = high, t.below + skipped, t.inside - skipped
 
 
-def _sort_small(df: DataFrame, targets: list[RankTarget]) -> None:
+def _run_length(array: Column, value: Column) -> Column:
+    return F.size(F.filter(array, lambda x: x == value))
+
+
+def _sort_small(df: DataFrame, targets: list[RankTarget], runs: bool) -> None:
     """Sort intervals already proven to hold few rows, sharing one sort between targets of the same interval."""
     if not targets:
         return
@@ -113,13 +117,17 @@ def _sort_small(df: DataFrame, targets: list[RankTarget]) -> None:
         for t in group:
             array = F.col(f"a{i}")
             value = F.element_at(array, t.rank - t.below + 1)
-            first = F.array_position(array, value)
-            run = F.size(F.filter(array, lambda x, v=value: x == v))
-            picks.append(F.struct(value.alias("v"), first.alias("first"), run.alias("run")).alias(f"r{len(flat)}"))
+            fields = [value.alias("v")]
+            if runs:
+                fields += [F.array_position(array, value).alias("first"), _run_length(array, value).alias("run")]
+            picks.append(F.struct(*fields).alias(f"r{len(flat)}"))
             flat.append(t)
     row = df.agg(*arrays).select(*picks).first()
     for i, t in enumerate(flat):
-        t.value, t.less, t.equal = row[f"r{i}"]["v"], t.below + row[f"r{i}"]["first"] - 1, row[f"r{i}"]["run"]
+        found = row[f"r{i}"]
+        t.value = found["v"]
+        if runs:
+            t.less, t.equal = t.below + found["first"] - 1, found["run"]
 
 
 def group_values(df: DataFrame, by: str | None) -> list[tuple[object, Column]]:
@@ -157,7 +165,7 @@ def exact_quantiles(
                     place = p * (n - 1)
                     for rank in {math.floor(place), math.ceil(place)}:
                         targets.setdefault((g, i, rank), RankTarget(cond, c, rank, n))
-    select_ranks(clean, list(targets.values()), sort_limit)
+    select_ranks(clean, list(targets.values()), sort_limit, runs=False)
     result: dict[object, dict[str, list[float | None]]] = {}
     for g, (value, _) in enumerate(groups):
         result[value] = {}

@@ -11,6 +11,9 @@ MODULES = [
     "validation",
     "features",
     "profile",
+    "splits",
+    "stats",
+    "metrics",
 ]
 
 
