@@ -14,6 +14,7 @@ MODULES = [
     "splits",
     "stats",
     "metrics",
+    "preprocess",
 ]
 
 

