@@ -15,6 +15,8 @@ MODULES = [
     "stats",
     "metrics",
     "preprocess",
+    "models",
+    "streaming",
 ]
 
 
