@@ -152,6 +152,8 @@ def exact_quantiles(
     Only non-null values count. The result is a handful of numbers per column.
     """
     clean = df.select(*([by] if by else []), *[F.col(c) for c in dict.fromkeys(columns) if c != by])
+    if clean.count() <= sort_limit:
+        return _small_quantiles(clean, columns, probabilities, by)
     groups = group_values(clean, by)
     sizes = clean.agg(
         *[F.count(F.when(cond, F.col(c))).alias(f"n{g}_{i}") for g, (_, cond) in enumerate(groups) for i, c in enumerate(columns)]
@@ -183,19 +185,35 @@ def exact_quantiles(
     return result
 
 
+def _small_quantiles(df: DataFrame, columns: list[str], probabilities: list[float], by: str | None) -> dict[object, dict[str, list[float | None]]]:
+    """One aggregation, for a table already counted and found small enough for the built-in exact percentile."""
+    points = F.array(*[F.lit(float(p)) for p in probabilities])
+    measures = [F.percentile(c, points).alias(f"q{i}") for i, c in enumerate(columns)]
+    rows = df.groupBy(*([by] if by else [])).agg(*measures).limit(MAX_GROUPS + 1).collect()
+    if len(rows) > MAX_GROUPS:
+        raise ValueError(f"{by} has more than {MAX_GROUPS} values; group statistics expect a class-like column")
+    empty = [None] * len(probabilities)
+    return {(r[by] if by else None): {c: list(r[f"q{i}"] or empty) for i, c in enumerate(columns)} for r in rows}
+
+
 def exact_medians(df: DataFrame, columns: list[str], **kw) -> dict[str, float | None]:
     return {c: q[0] for c, q in exact_quantiles(df, columns, [0.5], **kw)[None].items()}
 
 
 @dataclass(frozen=True)
 class Cutoff:
-    """The last row of an ordered prefix: every row up to and including (key, tie) belongs to it."""
+    """The last row of an ordered prefix: every row up to and including (key, tie) belongs to it.
+
+    ``tie`` is None when the prefix ends with the last row of its key.
+    """
 
     key: object
     tie: object
 
     def covers(self, key: str, tie: str) -> Column:
         k = F.lit(self.key)
+        if self.tie is None:
+            return F.col(key) <= k
         return (F.col(key) < k) | ((F.col(key) == k) & (F.col(tie) <= F.lit(self.tie)))
 
 
@@ -214,7 +232,10 @@ def prefix_cutoffs(
     targets = [RankTarget(w, key, min(length, size) - 1, size) if min(length, size) > 0 else None for w, size, length in wanted]
     first = [t for t in targets if t]
     select_ranks(df, first, sort_limit)
-    second = [RankTarget(t.where & (F.col(key) == F.lit(t.value)), tie, t.rank - t.less, t.equal) for t in first]
-    select_ranks(df, second, sort_limit)
-    ties = iter(second)
-    return [Cutoff(t.value, next(ties).value) if t else None for t in targets]
+    # A prefix that ends inside a run of equal keys also needs the tie value of its last row.
+    inside = [t for t in first if t.rank < t.less + t.equal - 1]
+    second = [RankTarget(t.where & (F.col(key) == F.lit(t.value)), tie, t.rank - t.less, t.equal) for t in inside]
+    if second:
+        select_ranks(df, second, sort_limit)
+    ties = {id(t): s.value for t, s in zip(inside, second)}
+    return [Cutoff(t.value, ties.get(id(t))) if t else None for t in targets]
