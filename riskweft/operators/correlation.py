@@ -12,19 +12,31 @@ from riskweft.operators.validation import drop_non_finite
 from riskweft.schema import LABEL
 
 
+NAMES = ["feature_a", "feature_b", "correlation"]
+
+
+def _pairs(columns: list[str]) -> list[tuple[str, str]]:
+    return [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
+
+
+def _wide_correlations(df: DataFrame, columns: list[str]) -> DataFrame:
+    """One row holding every pair: pairwise complete, one scan."""
+    typed = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    return typed.agg(*[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(_pairs(columns))])
+
+
 def correlation_pairs(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(feature_a, feature_b, correlation) for a < b in column order: pairwise complete, all pairs in one aggregation."""
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
-    wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
-    return rows_from_wide(wide, [(F.lit(a), F.lit(b), F.col(f"r{i}")) for i, (a, b) in enumerate(pairs)], ["feature_a", "feature_b", "correlation"])
+    """(feature_a, feature_b, correlation) for a < b in column order."""
+    entries = [(F.lit(a), F.lit(b), F.col(f"r{i}")) for i, (a, b) in enumerate(_pairs(columns))]
+    return rows_from_wide(_wide_correlations(df, columns), entries, NAMES)
 
 
 def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
     """The full matrix in long form."""
-    upper = correlation_pairs(df, columns)
-    lower = upper.select(F.col("feature_b").alias("feature_a"), F.col("feature_a").alias("feature_b"), "correlation")
-    diagonal = rows_from_wide(df.sparkSession.range(1), [(F.lit(c), F.lit(c), F.lit(1.0)) for c in columns], ["feature_a", "feature_b", "correlation"])
-    return upper.unionByName(lower).unionByName(diagonal)
+    entries = [(F.lit(c), F.lit(c), F.lit(1.0)) for c in columns]
+    for i, (a, b) in enumerate(_pairs(columns)):
+        entries += [(F.lit(a), F.lit(b), F.col(f"r{i}")), (F.lit(b), F.lit(a), F.col(f"r{i}"))]
+    return rows_from_wide(_wide_correlations(df, columns), entries, NAMES)
 
 
 def high_correlations(df: DataFrame, columns: list[str], limit: float = 0.7) -> DataFrame:

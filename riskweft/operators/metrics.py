@@ -113,17 +113,46 @@ def score_runs(df: DataFrame, score: str = "score", label: str = LABEL, rows_per
     )
 
 
-def ranking_areas(runs: DataFrame) -> DataFrame:
-    """One row: tie-aware ROC area, and average precision by the step rule; 0 when a class is missing."""
+def _area_columns() -> tuple[list[Column], dict[str, Column]]:
+    """Aggregates over score runs, and the areas as expressions over those aggregates."""
     beaten = (F.col("n") - F.col("fp")).cast("double") + F.col("neg") / F.lit(2.0)
     precision = F.col("tp") / (F.col("tp") + F.col("fp"))
-    summed = runs.agg(
-        F.sum(F.col("pos") * beaten).alias("wins"),
-        F.sum(F.col("pos") * precision).alias("steps"),
-        F.max("p").cast("double").alias("p"),
-        F.max("n").cast("double").alias("n"),
-    )
-    return summed.select(_ratio(F.col("wins"), F.col("p") * F.col("n")).alias("roc_auc"), _ratio(F.col("steps"), F.col("p")).alias("pr_auc"))
+    sums = [
+        F.sum(F.col("pos") * beaten).alias("_wins"),
+        F.sum(F.col("pos") * precision).alias("_steps"),
+        F.max("p").alias("_p"),
+        F.max("n").alias("_n"),
+    ]
+    pairs = F.col("_p").cast("double") * F.col("_n")
+    return sums, {"roc_auc": _ratio(F.col("_wins"), pairs), "pr_auc": _ratio(F.col("_steps"), F.col("_p").cast("double"))}
+
+
+def ranking_areas(runs: DataFrame) -> DataFrame:
+    """One row: tie-aware ROC area, and average precision by the step rule; 0 when a class is missing."""
+    sums, areas = _area_columns()
+    return runs.agg(*sums).select(*[v.alias(k) for k, v in areas.items()])
+
+
+def bundle_at(runs: DataFrame, thresholds: list[float]) -> DataFrame:
+    """(threshold, counts, every metric, both areas) per threshold: one aggregation over the distinct scores."""
+    sums, areas = _area_columns()
+    for i, t in enumerate(thresholds):
+        flagged = F.col("threshold") >= F.lit(float(t))
+        sums += [F.coalesce(F.sum(F.when(flagged, F.col(m))), F.lit(0)).alias(f"_{m}{i}") for m in ("pos", "neg")]
+    wide = runs.agg(*sums)
+    entries = [
+        (
+            F.lit(float(t)),
+            F.col(f"_pos{i}"),
+            F.col(f"_neg{i}"),
+            F.col("_p") - F.col(f"_pos{i}"),
+            F.col("_n") - F.col(f"_neg{i}"),
+            areas["roc_auc"],
+            areas["pr_auc"],
+        )
+        for i, t in enumerate(thresholds)
+    ]
+    return with_metrics(rows_from_wide(wide, entries, ["threshold", *COUNTS, "roc_auc", "pr_auc"]))
 
 
 def roc_points(runs: DataFrame) -> DataFrame:
@@ -150,10 +179,8 @@ def threshold_for_recall(runs: DataFrame, target: float = TARGET_RECALL) -> Data
 
 
 def evaluate(df: DataFrame, threshold: float = DEFAULT_THRESHOLD, score: str = "score", label: str = LABEL) -> DataFrame:
-    """One wide row: counts, every metric and both areas."""
-    counted = with_metrics(confusion_at(df, [threshold], score, label))
-    areas = ranking_areas(score_runs(df, score, label))
-    return counted.select("*", areas.select("roc_auc").scalar().alias("roc_auc"), areas.select("pr_auc").scalar().alias("pr_auc"))
+    """One wide row: counts, every metric and both areas, all from the distinct scores of the scored rows."""
+    return bundle_at(score_runs(df, score, label), [threshold])
 
 
 def to_long(wide: DataFrame, metrics: list[str]) -> DataFrame:
@@ -163,9 +190,7 @@ def to_long(wide: DataFrame, metrics: list[str]) -> DataFrame:
 
 def compare_thresholds(df: DataFrame, tuned: float, score: str = "score", label: str = LABEL) -> DataFrame:
     """(metric, at_default, at_tuned, delta) over the ten headline metrics."""
-    both = with_metrics(confusion_at(df, [DEFAULT_THRESHOLD, tuned], score, label))
-    areas = ranking_areas(score_runs(df, score, label)).first()
-    complete = both.withColumns({"roc_auc": F.lit(areas["roc_auc"]), "pr_auc": F.lit(areas["pr_auc"])})
+    complete = bundle_at(score_runs(df, score, label), [DEFAULT_THRESHOLD, tuned])
     # Two rows, unless the tuned threshold equals the default.
     position = F.when(F.col("threshold") == DEFAULT_THRESHOLD, "default").otherwise("tuned")
     long = complete.select(position.alias("which"), *KEY_METRICS).unpivot(["which"], KEY_METRICS, "metric", "value")
@@ -202,8 +227,14 @@ def class_report(counts: DataFrame) -> DataFrame:
 
 def business_impact(df: DataFrame, threshold: float = DEFAULT_THRESHOLD, score: str = "score", label: str = LABEL, amount: str = "amount") -> DataFrame:
     """One row: what was caught, missed and wrongly flagged, and its money value."""
-    counts = confusion_at(df, [threshold], score, label)
-    mean_fraud = df.agg(F.avg(F.when(F.col(label) == 1, F.col(amount)))).scalar()
+    positive, flagged = F.col(label) == 1, F.col(score) >= F.lit(float(threshold))
+    counts = df.agg(
+        F.count_if(positive & flagged).alias("tp"),
+        F.count_if((F.col(label) == 0) & flagged).alias("fp"),
+        F.count_if(positive & ~flagged).alias("fn"),
+        F.count_if((F.col(label) == 0) & ~flagged).alias("tn"),
+        F.avg(F.when(positive, F.col(amount))).alias("mean_fraud"),
+    )
     tp, fp, fn, tn = (F.col(c).cast("double") for c in COUNTS)
     n = tp + fp + fn + tn
     priced = counts.select(
@@ -217,7 +248,7 @@ def business_impact(df: DataFrame, threshold: float = DEFAULT_THRESHOLD, score:
         (_ratio(fp, n) * 100).alias("false_alarm_pct"),
         F.col("tn").alias("cleared"),
         (_ratio(tn, tn + fp) * 100).alias("cleared_pct"),
-        (tp * F.coalesce(mean_fraud, F.lit(0.0))).alias("prevented"),
+        (tp * F.coalesce("mean_fraud", F.lit(0.0))).alias("prevented"),
         (fp * FALSE_ALARM_COST).alias("investigation_cost"),
     )
     return priced.withColumn("net_value", F.col("prevented") - F.col("investigation_cost"))

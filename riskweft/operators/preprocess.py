@@ -116,7 +116,7 @@ class _PreprocessParams(Params):
             groups="{}",
             numericCols=[],
             categoricalCols=[],
-            excludedCols=[*NON_FEATURE_COLUMNS, "event_id", "ts", "score"],
+            excludedCols=[*NON_FEATURE_COLUMNS, "event_id", "ts", "score", "copy"],
             scaling="standard",
             encoding="onehot_drop_first",
             fillCategories=False,

@@ -47,10 +47,11 @@ def training_frame(
         flat = preprocessor.to_frame(df, keep=[row_id, LABEL])
         balanced = resample.rebalance(flat, names, LABEL, row_id, seed=seed)
         assembled = VectorAssembler(inputCols=names, outputCol=FEATURES).transform(balanced)
-        return assembled.select(row_id, FEATURES, F.col(LABEL).cast("double").alias(TARGET), "weight"), "weight"
+        return assembled.select(row_id, "copy", FEATURES, F.col(LABEL).cast("double").alias(TARGET), "weight"), "weight"
     if sampler == "oversample":
         df = resample.random_oversample(df, LABEL, row_id, seed)
-    frame = preprocessor.transform(df).select(row_id, FEATURES, F.col(LABEL).cast("double").alias(TARGET))
+    copy = ["copy"] if sampler == "oversample" else []
+    frame = preprocessor.transform(df).select(row_id, *copy, FEATURES, F.col(LABEL).cast("double").alias(TARGET))
     if sampler == "weights" and name in WEIGHTING:
         if WEIGHTING[name] == "balanced":
             return resample.with_class_weights(frame, TARGET), "weight"
@@ -58,6 +59,14 @@ def training_frame(
     return frame, None
 
 
+def spread(frame: DataFrame, row_id: str) -> DataFrame:
+    """Even partitions for the many passes of a fit, whatever the layout of the input and of the synthetic rows."""
+    spark = frame.sparkSession
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    keys = [row_id] + (["copy"] if "copy" in frame.columns else [])
+    return frame.repartition(parts, *keys)
+
+
 def train(
     df: DataFrame,
     name: str = "xgboost",
@@ -72,7 +81,7 @@ def train(
     preprocessor = preprocessor or Preprocessor()
     fitted = preprocessor if isinstance(preprocessor, PreprocessorModel) else preprocessor.fit(df)
     frame, weight = training_frame(df, fitted, name, sampler, overrides, row_id, seed)
-    frame = frame.persist()
+    frame = spread(frame, row_id).persist()
     estimator = build_classifier(name, overrides, len(fitted.feature_names()), weight, seed, row_id)
     model = estimator.fit(frame)
     if name != "knn":
