@@ -165,24 +165,27 @@ def quantile_table(df: DataFrame, columns: list[str], probabilities: list[float]
 
 def amount_by_class(df: DataFrame, column: str = "amount", label: str = LABEL) -> DataFrame:
     """(label, mean, median, std, max) of one column."""
-    medians = exact_quantiles(df, [column], [0.5], by=label)
-    median = F.lit(None).cast("double")
-    for value, found in medians.items():
-        median = F.when(F.col(label).eqNullSafe(F.lit(value)), F.lit(found[column][0])).otherwise(median)
+    median = _per_group(exact_quantiles(df, [column], [0.5], by=label), column, 0, label)
     stats = df.groupBy(label).agg(F.avg(column).alias("mean"), F.stddev_samp(column).alias("std"), F.max(column).alias("max"))
     return stats.select(label, "mean", median.alias("median"), "std", "max")
 
 
+def _per_group(found: dict[object, dict[str, list]], column: str, position: int, by: str) -> Column:
+    """The group's own number out of ``exact_quantiles``, as a CASE over the few group values."""
+    value = F.lit(None).cast("double")
+    for group, columns in found.items():
+        value = F.when(F.col(by).eqNullSafe(F.lit(group)), F.lit(columns[column][position])).otherwise(value)
+    return value
+
+
 def class_feature_means(df: DataFrame, columns: list[str] = NUMERIC_COLUMNS, label: str = LABEL) -> DataFrame:
-    """(feature, label, mean, median) for every numeric column and class."""
+    """(feature, label, mean, median) for every numeric column and class; one row per class leaves the scan."""
     medians = exact_quantiles(df, columns, [0.5], by=label)
-    long = unpivot(df, columns, keep=[label]).groupBy("feature", label).agg(F.avg("value").alias("mean"))
-    median = F.lit(None).cast("double")
-    for value, found in medians.items():
-        for c in columns:
-            here = (F.col("feature") == c) & F.col(label).eqNullSafe(F.lit(value))
-            median = F.when(here, F.lit(found[c][0])).otherwise(median)
-    return long.withColumn("median", median)
+    means = df.groupBy(label).agg(*[F.avg(c).alias(c) for c in columns])
+    cells = [
+        F.struct(F.lit(c).alias("feature"), F.col(c).alias("mean"), _per_group(medians, c, 0, label).alias("median")) for c in columns
+    ]
+    return means.select(label, F.inline(F.array(*cells)))
 
 
 def centre_markers(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -227,29 +230,28 @@ def histogram(df: DataFrame, columns: list[str], bins: int = 50, by: str | None
 
 
 def box_stats(df: DataFrame, columns: list[str], by: str = LABEL) -> DataFrame:
-    """(feature, by, n, q1, median, q3, whisker_low, whisker_high, outliers) with 1.5 IQR fences."""
+    """(feature, by, n, q1, median, q3, whisker_low, whisker_high, outliers) with 1.5 IQR fences; one row per class leaves the scan."""
     quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75], by=by)
-    fences = [
-        (F.lit(c), F.lit(group), F.lit(q[0]), F.lit(q[1]), F.lit(q[2]))
-        for group, found in quartiles.items()
-        for c, q in found.items()
-        if q[0] is not None
-    ]
-    long = unpivot(df, columns, keep=[by]).filter("value IS NOT NULL")
-    picked = {"q1": F.lit(None).cast("double"), "median": F.lit(None).cast("double"), "q3": F.lit(None).cast("double")}
-    for feature, group, q1, median, q3 in fences:
-        here = (F.col("feature") == feature) & F.col(by).eqNullSafe(group)
-        for name, value in (("q1", q1), ("median", median), ("q3", q3)):
-            picked[name] = F.when(here, value).otherwise(picked[name])
-    marked = long.withColumns(picked)
-    spread = F.col("q3") - F.col("q1")
-    inside = (F.col("value") >= F.col("q1") - 1.5 * spread) & (F.col("value") <= F.col("q3") + 1.5 * spread)
-    return marked.groupBy("feature", by, "q1", "median", "q3").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
-        F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
-        F.count_if(~inside).alias("outliers"),
-    )
+    measures, cells = [], []
+    for c in columns:
+        q1, median, q3 = (_per_group(quartiles, c, i, by) for i in range(3))
+        value, spread = F.col(c).cast("double"), q3 - q1
+        inside = (value >= q1 - 1.5 * spread) & (value <= q3 + 1.5 * spread)
+        measures.append(
+            F.struct(
+                F.count(c).alias("n"),
+                F.min(F.when(inside, value)).alias("whisker_low"),
+                F.max(F.when(inside, value)).alias("whisker_high"),
+                F.count_if(~inside).alias("outliers"),
+            ).alias(c)
+        )
+        names = ["n", "whisker_low", "whisker_high", "outliers"]
+        cells.append(
+            F.struct(
+                F.lit(c).alias("feature"), q1.alias("q1"), median.alias("median"), q3.alias("q3"), *[F.col(c)[n].alias(n) for n in names]
+            )
+        )
+    return df.groupBy(by).agg(*measures).select(by, F.inline(F.array(*cells))).filter("n > 0")
 
 
 # ---- composites ------------------------------------------------------------------------------------------------------

@@ -46,14 +46,21 @@ def _spread_copies(df: DataFrame, total: int, rows: int, seed: int, row_id: str)
 
 
 def synthetic_minority(
-    df: DataFrame, columns: list[str], label: str = LABEL, row_id: str = "event_id", k: int = NEIGHBOURS, seed: int = 42
+    df: DataFrame,
+    columns: list[str],
+    label: str = LABEL,
+    row_id: str = "event_id",
+    k: int = NEIGHBOURS,
+    seed: int = 42,
+    sizes: tuple[tuple, tuple] | None = None,
 ) -> DataFrame:
     """(row_id, copy, label, columns): new = x + u (neighbour - x) until the smallest class equals the largest.
 
     The neighbour is one of the k nearest rows of the class and u lies in [0, 1); both come from a hash of
-    (row, copy, seed), so the rows are the same on any cluster. At most k class rows is an error.
+    (row, copy, seed), so the rows are the same on any cluster. At most k class rows is an error. ``sizes`` is the
+    result of ``majority_minority`` when it is known already.
     """
-    (_, most), (value, least) = majority_minority(df, label)
+    (_, most), (value, least) = sizes or majority_minority(df, label)
     if least <= k:
         raise ValueError(f"the smallest class has {least} rows, more than {k} are needed")
     members = df.filter(F.col(label) == F.lit(value)).select(row_id, *[F.col(c).cast("double").alias(c) for c in columns])
@@ -71,17 +78,25 @@ def synthetic_minority(
     return made.select(row_id, "copy", F.lit(value).alias(label), *moved)
 
 
-def smote(df: DataFrame, columns: list[str], label: str = LABEL, row_id: str = "event_id", k: int = NEIGHBOURS, seed: int = 42) -> DataFrame:
+def smote(
+    df: DataFrame,
+    columns: list[str],
+    label: str = LABEL,
+    row_id: str = "event_id",
+    k: int = NEIGHBOURS,
+    seed: int = 42,
+    sizes: tuple[tuple, tuple] | None = None,
+) -> DataFrame:
     """Original rows (copy 0) and the synthetic ones."""
     original = df.select(row_id, F.lit(0).cast("bigint").alias("copy"), label, *[F.col(c).cast("double").alias(c) for c in columns])
-    return original.unionByName(synthetic_minority(df, columns, label, row_id, k, seed))
+    return original.unionByName(synthetic_minority(df, columns, label, row_id, k, seed, sizes))
 
 
 def rebalance(df: DataFrame, columns: list[str], label: str = LABEL, row_id: str = "event_id", k: int = NEIGHBOURS, seed: int = 42) -> DataFrame:
     """Synthetic oversampling with ``weight`` 1, or balanced class weights when the smallest class is too small."""
-    _, (_, least) = majority_minority(df, label)
-    if least > k:
-        return smote(df, columns, label, row_id, k, seed).withColumn("weight", F.lit(1.0))
+    sizes = majority_minority(df, label)
+    if sizes[1][1] > k:
+        return smote(df, columns, label, row_id, k, seed, sizes).withColumn("weight", F.lit(1.0))
     plain = df.select(row_id, F.lit(0).cast("bigint").alias("copy"), label, *[F.col(c).cast("double").alias(c) for c in columns])
     return with_class_weights(plain, label)
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskweft.functions.exprs import order_key
-from riskweft.operators.order_stats import Cutoff, group_values, prefix_cutoffs
+from riskweft.operators.order_stats import MAX_GROUPS, Cutoff, prefix_cutoffs
 from riskweft.schema import LABEL
 
 KEY = "_order_key"
@@ -61,9 +61,12 @@ def split_parts(df: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 
 def class_sizes(df: DataFrame, label: str = LABEL) -> list[tuple[object, Column, int]]:
-    """(value, condition, rows) per class."""
-    counts = {r[0]: r[1] for r in df.groupBy(label).count().collect()}
-    return [(value, cond, counts[value]) for value, cond in group_values(df, label)]
+    """(value, condition, rows) per class, by value; one aggregation."""
+    rows = df.groupBy(label).agg(F.count(F.lit(1))).limit(MAX_GROUPS + 1).collect()
+    if len(rows) > MAX_GROUPS:
+        raise ValueError(f"{label} has more than {MAX_GROUPS} values; splitting expects a class-like column")
+    ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0]))
+    return [(value, F.col(label).eqNullSafe(F.lit(value)), n) for value, n in ordered]
 
 
 def _per_class(df: DataFrame, label: str, seed: int, row_id: str, ends: callable) -> tuple[DataFrame, list[tuple[Column, list]]]:
