@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from dataclasses import dataclass
 
 from pyspark.ml import Model
@@ -62,8 +63,6 @@ def bagging(
     keep = max(1, int(width * features))
     found = []
     for i in range(members):
-        import random
-
         indices = sorted(random.Random(seed + i).sample(range(width), keep))
         chosen = frame.filter(unit_interval(order_key(seed + i, row_id)) < rows)
         sliced = VectorSlicer(inputCol="_all", outputCol=FEATURES, indices=indices).transform(chosen)

@@ -124,7 +124,6 @@ def contingency(df: DataFrame, row: str, column: str) -> DataFrame:
 def chi_square(df: DataFrame, row: str, column: str) -> DataFrame:
     """One row: statistic, dof, p_value, significant. Yates' correction applies when dof is 1."""
     grid = contingency(df, row, column)
-    shape = grid.agg((F.count_distinct(row) - 1).alias("r"), (F.count_distinct(column) - 1).alias("c"))
     gap = F.abs(F.col("observed") - F.col("expected"))
     corrected = F.greatest(gap - 0.5, F.lit(0.0))
     summed = grid.agg(

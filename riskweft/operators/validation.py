@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskweft.functions.exprs import finite, flag, rows_from_wide
+from riskweft.functions.exprs import any_of, finite, flag, rows_from_wide
 from riskweft.schema import COLUMN_TYPES, LABEL, MONEY_COLUMNS, REQUEST_FIELDS, REQUIRED_COLUMNS, missing_columns
 
 
@@ -110,13 +110,9 @@ def request_error(absent: Column | None = None) -> Column:
 
     ``absent`` is an optional array of the field names the request does not carry at all.
     """
-    error = F.lit(None).cast("string")
     numbers = [F.col(c).cast("string").try_cast("double").isNull() for c in MONEY_COLUMNS]
     numbers.append(F.col("step").cast("string").try_cast("bigint").isNull())
-    bad = F.lit(False)
-    for n in numbers:
-        bad = bad | n
-    error = F.when(bad, BAD_TYPES)
+    error = F.when(any_of(numbers), BAD_TYPES)
     for field in reversed(REQUEST_FIELDS):
         error = F.when(F.col(field).isNull(), f"Field {field} cannot be None").otherwise(error)
         if absent is not None:

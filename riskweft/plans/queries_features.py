@@ -79,8 +79,6 @@ INTERACTION_NAMES += ["amount_to_orig_balance", "orig_zero_after", "dest_zero_be
 
 @query("d1_d6_balance_features", f"SELECT event_id, {BALANCE_SQL} FROM txn_gaps WHERE oldbalanceOrg IS NULL OR NOT isinf(oldbalanceOrg)")
 def _(spark, sf):
-    from riskweft.functions.exprs import finite
-
     df = transactions_with_gaps(spark, sf).filter("oldbalanceOrg IS NULL OR abs(oldbalanceOrg) < double('Infinity')")
     return features.balance_features(df).select("event_id", *BALANCE_NAMES)
 

@@ -343,11 +343,15 @@ def _(spark, sf):
     )
 
 
-@query("c2_encoded_block", "SELECT count(*) AS n FROM txn")
+@query(
+    "c2_encoded_block",
+    """SELECT event_id, isFraud, CASE WHEN type = 'DEBIT' THEN 1.0e0 ELSE 0.0e0 END AS type_DEBIT, CASE WHEN type = 'TRANSFER' THEN 1.0e0 ELSE 0.0e0 END AS type_TRANSFER,
+       CASE WHEN amount <= 1000 AND amount > 100 THEN 1.0e0 ELSE 0.0e0 END AS amount_category_small FROM txn""",
+)
 def _(spark, sf):
     df = transactions(spark, sf)
-    frame = Preprocessor().fit(df).to_frame(df, ["event_id"])
-    return frame.agg(F.count("event_id").alias("n"))
+    frame = Preprocessor().fit(df).to_frame(df, ["event_id", "isFraud"])
+    return frame.select("event_id", "isFraud", "type_DEBIT", "type_TRANSFER", "amount_category_small")
 
 
 @query("k18_quality_over_baseline")
