@@ -6,12 +6,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
 from riskweft.session import scratch_path
 
 #: Bytes of text that a task turns into numbers at once.
 SLICE_BYTES = 4 << 20
+#: Distinct words whose codes a task keeps; beyond it the table starts anew.
+CACHE_WORDS = 400_000
 
 # Lower-cases A-Z, keeps a-z, 0-9 and every byte from 0x80, and makes all else a space.
 WORD_BYTES = bytes(
@@ -89,5 +92,28 @@ class Rolling:
         return mixed((sums[n:] - sums[:-n]) * self.powers[: len(codes) - n + 1])
 
 
-def long_lists(lists: list[list[int]], kind: pa.DataType) -> pa.Array:
-    return pa.array(lists, pa.list_(kind))
+class WordCodes(dict):
+    """64-bit codes of words (xxHash), kept for the words seen last."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= CACHE_WORDS:
+            self.clear()
+        self[word] = code = xxhash.xxh64_intdigest(word)
+        return code
+
+    def array(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+
+
+def spans_of(mask: np.ndarray) -> list[tuple[int, int]]:
+    """Maximal runs of true values: (start, end), end exclusive."""
+    edges = np.flatnonzero(np.diff(np.concatenate(([0], mask.view(np.int8), [0]))))
+    return list(zip(edges[::2].tolist(), edges[1::2].tolist()))
+
+
+def covered(starts: np.ndarray, width: int, n: int) -> np.ndarray:
+    """Which of n places lie in a window that begins at one of the starts."""
+    marks = np.zeros(n + 1, np.int32)
+    np.add.at(marks, starts, 1)
+    np.add.at(marks, starts + width, -1)
+    return np.cumsum(marks[:n]) > 0

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskweft.llm.common import Rolling, alnum_words, mixed, slices
+from riskweft.llm.common import Rolling, alnum_words, mixed, slices, spans_of
 
 PART_BYTES = 32 << 20
 SPANS = "array<struct<start:int,end:int>>"
@@ -84,11 +84,6 @@ class Part:
         return found
 
 
-def _spans(hit: np.ndarray) -> list[tuple[int, int]]:
-    edges = np.flatnonzero(np.diff(np.concatenate(([0], hit.view(np.int8), [0]))))
-    return list(zip(edges[::2].tolist(), edges[1::2].tolist()))
-
-
 def _parts(benchmark: DataFrame, ngram: int, part_bytes: int) -> Iterator[Part]:
     items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("binary").alias("text")).dropna()
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
@@ -138,7 +133,7 @@ def _scanner(shared):
                         own[k].update(before["item_ids"][i])
                     words.append(n)
                     hits.append(0 if mask is None else int(mask.sum()))
-                    spans.append([] if mask is None else [{"start": a, "end": b} for a, b in _spans(mask)])
+                    spans.append([] if mask is None else [{"start": a, "end": b} for a, b in spans_of(mask)])
                     items.append(sorted(own.get(k, ())))
             names = [c for c in batch.schema.names if c not in ("n_words", "n_hit", "hit_spans", "item_ids")]
             arrays = [batch.column(c) for c in names] + [
@@ -198,7 +193,7 @@ def remove_spans(documents: DataFrame, benchmark: DataFrame, ngram: int = 10, pa
                                 hit[p : p + n] = True
                         if not hit.any():
                             break
-                        text = cut_spans(text, _spans(hit))
+                        text = cut_spans(text, spans_of(hit))
                     out.append(text)
             names = [c for c in batch.schema.names if c != "__text"]
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], pa.array(out, pa.binary())], [*names, "__text"])

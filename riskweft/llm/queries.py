@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskweft.llm import decontaminate, packing
+from riskweft.llm import decontaminate, packing, substrings
 from riskweft.llm.common import table
 
 
@@ -16,6 +16,10 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.digest(substrings.dedup_substrings(table(spark, sf_dir, "documents")))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontaminate.digest(decontaminate.scan(documents, table(spark, sf_dir, "benchmark")).drop("text"))
@@ -28,7 +32,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op3_substring_dedup,
         op6_decontaminate,
         op7_packing,
     )
 }
+
+ORACLES: dict[str, str] = {}
