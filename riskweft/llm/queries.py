@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskweft.llm import decontaminate, packing, substrings
+from riskweft.llm import decontaminate, licenses, packing, substrings
 from riskweft.llm.common import table
 
 
@@ -29,12 +29,17 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), default_tokenizer())
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.digest(licenses.scan(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op3_substring_dedup,
         op6_decontaminate,
         op7_packing,
+        op9_license_scan,
     )
 }
 
