@@ -3,12 +3,8 @@
 Words are the runs between ASCII white space, unchanged. A window of a document is a repeat if the same words also begin in a
 document with a smaller id; all words that repeats cover are removed, judged on the input alone.
 
-1. A map over the documents hashes every window. Windows of about ``FLUSH_BYTES`` of text are compared at once: for each hash
-   only the document with the smallest id is open, the others are repeats already. A window that stands in a third of all
-   documents therefore leaves a task once for each flush, not once for each document.
-2. Open windows are dealt to buckets by their hash, as packed arrays; the number of buckets follows the input. A bucket sorts
-   its hashes and answers the windows that begin in a document with a smaller id elsewhere.
-3. Answers are joined with the documents by id, and covered words are cut.
+Every window's hash goes to a bucket of hashes, less those that a task can decide alone (``firsts``); the number of buckets
+follows the input. Answers are joined with the documents by id, and covered words are cut.
 
 Hashes have 64 bits: among n different windows about n**2 / 2**65 pairs collide, which is 0.0004 pairs for 10**8 windows.
 
@@ -28,127 +24,36 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskweft.llm.common import Rolling, WordCodes, covered, spans_of
+from riskweft.llm.firsts import flagged, repeats
 
 WIDTH = 50
-FLUSH_BYTES = 16 << 20
 #: Windows that a bucket holds on average.
 BUCKET_WINDOWS = 1_000_000
 #: English and most European texts have a word for each six bytes.
 BYTES_PER_WORD = 6
 
-_RUNS, _HASHES = 0, 1
 
+class _Windows:
+    """Hashes of all windows of a text."""
 
-def _flushes(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, bytes]]]:
-    held, size = [], 0
-    for batch in batches:
-        for doc, text in zip(batch.column("doc_id"), batch.column("text")):
-            data = text.as_py()
-            held.append((doc.as_py(), data))
-            size += len(data) + 100
-            if size >= FLUSH_BYTES:
-                yield held
-                held, size = [], 0
-    if held:
-        yield held
+    def __init__(self, width: int):
+        self.width, self.codes, self.roll = width, WordCodes(), Rolling()
 
-
-def _hash_windows(width: int, buckets: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, roll = WordCodes(), Rolling()
-        for held in _flushes(batches):
-            held.sort(key=lambda row: row[0])
-            ids = np.array([doc for doc, _ in held], np.int64)
-            own = [roll.windows(codes.array(text.split()), width) for _, text in held]
-            sizes = np.array([len(h) for h in own])
-            hashes = np.concatenate(own)
-            if not len(hashes):
-                continue
-            rows = np.repeat(np.arange(len(held), dtype=np.int32), sizes)
-            order = np.argsort(hashes, kind="stable")
-            by_hash, by_row = hashes[order], rows[order]
-            new = np.concatenate(([True], by_hash[1:] != by_hash[:-1]))
-            first = np.flatnonzero(new)
-            lowest = np.repeat(ids[by_row[first]], np.diff(np.append(first, len(order))))
-            repeat = np.zeros(len(hashes), bool)
-            repeat[order] = ids[by_row] > lowest
-            out: list[list] = [[], [], [], [], []]
-
-            def emit(bucket, kind, doc, data, docs, out=out):
-                for column, value in zip(out, (bucket, kind, doc, data, docs)):
-                    column.append(value)
-
-            starts = np.concatenate(([0], np.cumsum(sizes)))
-            for k in np.unique(rows[repeat]).tolist():
-                runs = np.array(spans_of(repeat[starts[k] : starts[k + 1]]), np.int32)
-                emit(k % buckets, _RUNS, int(ids[k]), runs.tobytes(), None)
-            open_hashes, open_rows = by_hash[first], by_row[first].astype(np.uint32)
-            # Buckets are ranges of hashes, so the sorted hashes fall into consecutive pieces.
-            limits = np.array([(b << 64) // buckets for b in range(buckets)], np.uint64)
-            cuts = np.append(np.searchsorted(open_hashes, limits), len(open_hashes))
-            for b in range(buckets):
-                if cuts[b] < cuts[b + 1]:
-                    used, at = np.unique(open_rows[cuts[b] : cuts[b + 1]], return_inverse=True)
-                    docs = np.uint32(len(used)).tobytes() + ids[used].tobytes() + at.astype(np.uint32 if len(used) > 65535 else np.uint16).tobytes()
-                    emit(b, _HASHES, None, open_hashes[cuts[b] : cuts[b + 1]].tobytes(), docs)
-            kinds = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)], ["bucket", "kind", "doc_id", "data", "docs"])
-
-    return run
-
-
-def _answer(group: pa.Table) -> pa.Table:
-    """Of one bucket: hashes that begin in a document with a smaller id, by the document they are to leave."""
-    doc_ids, kinds, data = [], [], []
-    hashes, docs = [], []
-    for row in group.select(["kind", "doc_id", "data", "docs"]).to_pylist():
-        if row["kind"] == _RUNS:
-            doc_ids.append(row["doc_id"])
-            kinds.append(_RUNS)
-            data.append(row["data"])
-            continue
-        own = np.frombuffer(row["data"], np.uint64)
-        n = int(np.frombuffer(row["docs"], np.uint32, 1)[0])
-        ids = np.frombuffer(row["docs"], np.int64, n, 4)
-        at = np.frombuffer(row["docs"], np.uint32 if n > 65535 else np.uint16, len(own), 4 + 8 * n)
-        hashes.append(own)
-        docs.append(ids[at])
-    if hashes:
-        all_hashes, all_docs = np.concatenate(hashes), np.concatenate(docs)
-        order = np.argsort(all_hashes, kind="stable")
-        by_hash, by_doc = all_hashes[order], all_docs[order]
-        first = np.flatnonzero(np.concatenate(([True], by_hash[1:] != by_hash[:-1])))
-        lowest = np.repeat(np.minimum.reduceat(by_doc, first), np.diff(np.append(first, len(order))))
-        late = by_doc > lowest
-        by_hash, by_doc = by_hash[late], by_doc[late]
-        order = np.argsort(by_doc, kind="stable")
-        by_hash, by_doc = by_hash[order], by_doc[order]
-        edges = np.flatnonzero(np.concatenate(([True], by_doc[1:] != by_doc[:-1]))) if len(by_doc) else []
-        for a, b in zip(edges, np.append(edges[1:], len(by_doc)).astype(int) if len(edges) else []):
-            doc_ids.append(int(by_doc[a]))
-            kinds.append(_HASHES)
-            data.append(by_hash[a:b].tobytes())
-    return pa.table({"doc_id": pa.array(doc_ids, pa.int64()), "kind": pa.array(kinds, pa.int32()), "data": pa.array(data, pa.binary())})
+    def __call__(self, text: bytes) -> np.ndarray:
+        return self.roll.windows(self.codes.array(text.split()), self.width)
 
 
 def _cut(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, roll = WordCodes(), Rolling()
+        windows = _Windows(width)
         for batch in batches:
             counts, removed, spans, kept = [], [], [], []
             for text, answers in zip(batch.column("text"), batch.column("answers")):
-                words = (text.as_py() or b"").split()
+                data = text.as_py() or b""
+                words = data.split()
                 gone: list[tuple[int, int]] = []
                 if answers.is_valid and len(words) >= width:
-                    own = answers.as_py()
-                    repeat = np.zeros(len(words) - width + 1, bool)
-                    hashes = [np.frombuffer(a["data"], np.uint64) for a in own if a["kind"] == _HASHES]
-                    if hashes:
-                        repeat |= np.isin(roll.windows(codes.array(words), width), np.concatenate(hashes))
-                    for a in own:
-                        if a["kind"] == _RUNS:
-                            for start, end in np.frombuffer(a["data"], np.int32).reshape(-1, 2):
-                                repeat[start:end] = True
+                    repeat = flagged(windows(data), answers.as_py())
                     gone = spans_of(covered(np.flatnonzero(repeat), width, len(words)))
                 counts.append(len(words))
                 removed.append(sum(b - a for a, b in gone))
@@ -175,11 +80,7 @@ def dedup_substrings(documents: DataFrame, width: int = WIDTH, bucket_windows: i
     source = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     size = source.agg(F.sum(F.length("text"))).first()[0] or 0
     buckets = max(1, math.ceil(size / BYTES_PER_WORD / bucket_windows))
-    open_windows = source.dropna().mapInArrow(
-        _hash_windows(width, buckets), "bucket int, kind int, doc_id bigint, data binary, docs binary"
-    )
-    answers = open_windows.groupBy("bucket").applyInArrow(_answer, "doc_id bigint, kind int, data binary")
-    by_doc = answers.groupBy("doc_id").agg(F.collect_list(F.struct("kind", "data")).alias("answers"))
+    by_doc = repeats(source, lambda: _Windows(width), buckets)
     cut = source.join(by_doc, "doc_id", "left").mapInArrow(
         _cut(width),
         "doc_id bigint, n_words bigint, n_removed bigint, removed_spans array<struct<start:int,end:int>>, kept binary",
