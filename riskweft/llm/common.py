@@ -14,7 +14,7 @@ from riskweft.session import scratch_path
 #: Bytes of text that a task turns into numbers at once.
 SLICE_BYTES = 4 << 20
 #: Distinct words whose codes a task keeps; beyond it the table starts anew.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 250_000
 
 # Lower-cases A-Z, keeps a-z, 0-9 and every byte from 0x80, and makes all else a space.
 WORD_BYTES = bytes(

@@ -20,13 +20,23 @@ from pyspark.sql import functions as F
 
 from riskweft.llm.common import spans_of
 
-FLUSH_BYTES = 16 << 20
+FLUSH_BYTES = 6 << 20
 #: Makes, in a task, the function that gives the hashes of a text.
 Hasher = Callable[[], Callable[[bytes], np.ndarray]]
 
 _RUNS, _HASHES = 0, 1
 
 
+def _planes(numbers: np.ndarray) -> bytes:
+    """Numbers byte by byte: the leading bytes of sorted numbers repeat, and the shuffle's compression removes them."""
+    return np.ascontiguousarray(numbers.view(np.uint8).reshape(len(numbers), -1).T).tobytes()
+
+
+def _numbers(planes: bytes, kind: type, offset: int, n: int) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8, n * size, offset).reshape(size, n).T).view(kind).reshape(n)
+
+
 def _flushes(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, bytes]]]:
     held, size = [], 0
     for batch in batches:
@@ -77,8 +87,8 @@ def _open_hashes(hasher: Hasher, buckets: int):
             for b in range(buckets):
                 if cuts[b] < cuts[b + 1]:
                     used, at = np.unique(open_rows[cuts[b] : cuts[b + 1]], return_inverse=True)
-                    docs = np.uint32(len(used)).tobytes() + ids[used].tobytes() + at.astype(np.uint32 if len(used) > 65535 else np.uint16).tobytes()
-                    emit(b, _HASHES, None, open_hashes[cuts[b] : cuts[b + 1]].tobytes(), docs)
+                    docs = np.uint32(len(used)).tobytes() + _planes(ids[used]) + _planes(at.astype(np.uint32 if len(used) > 65535 else np.uint16))
+                    emit(b, _HASHES, None, _planes(open_hashes[cuts[b] : cuts[b + 1]]), docs)
             kinds = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)], ["bucket", "kind", "doc_id", "data", "docs"])
 
@@ -95,10 +105,10 @@ def _answer(group: pa.Table) -> pa.Table:
             kinds.append(_RUNS)
             data.append(row["data"])
             continue
-        own = np.frombuffer(row["data"], np.uint64)
+        own = _numbers(row["data"], np.uint64, 0, len(row["data"]) // 8)
         n = int(np.frombuffer(row["docs"], np.uint32, 1)[0])
-        ids = np.frombuffer(row["docs"], np.int64, n, 4)
-        at = np.frombuffer(row["docs"], np.uint32 if n > 65535 else np.uint16, len(own), 4 + 8 * n)
+        ids = _numbers(row["docs"], np.int64, 4, n)
+        at = _numbers(row["docs"], np.uint32 if n > 65535 else np.uint16, 4 + 8 * n, len(own))
         hashes.append(own)
         docs.append(ids[at])
     if hashes:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskweft.llm import decontaminate, licenses, lines, packing, substrings
+from riskweft.llm import decontaminate, embeddings, licenses, lines, minhash, packing, substrings
 from riskweft.llm.common import table
 
 
@@ -16,6 +16,10 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digest(substrings.dedup_substrings(table(spark, sf_dir, "documents")))
 
@@ -29,6 +33,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), default_tokenizer())
 
 
+def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.mark(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "class_id", "kept")
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.digest(licenses.scan(table(spark, sf_dir, "documents")))
 
@@ -41,9 +49,11 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op2_embedding_dedup,
         op3_substring_dedup,
         op6_decontaminate,
         op7_packing,
+        op8_minhash,
         op9_license_scan,
         op10_line_dedup,
     )
