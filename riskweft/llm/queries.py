@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskweft.llm import decontaminate, embeddings, licenses, lines, minhash, packing, substrings
+from riskweft.llm import decontaminate, embeddings, licenses, lines, minhash, packing, substrings, toxicity
 from riskweft.llm.common import table
 
 
@@ -24,6 +24,13 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digest(substrings.dedup_substrings(table(spark, sf_dir, "documents")))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(documents, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(documents, model)
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontaminate.digest(decontaminate.scan(documents, table(spark, sf_dir, "benchmark")).drop("text"))
@@ -51,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op2_embedding_dedup,
         op3_substring_dedup,
+        op5_toxicity,
         op6_decontaminate,
         op7_packing,
         op8_minhash,
