@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskweft.llm import decontaminate, embeddings, licenses, lines, minhash, packing, substrings, toxicity
+from riskweft.llm import decontaminate, embeddings, licenses, lines, lm, minhash, packing, substrings, toxicity
 from riskweft.llm.common import table
 
 
@@ -24,6 +24,10 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digest(substrings.dedup_substrings(table(spark, sf_dir, "documents")))
 
 
+def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.train(documents, table(spark, sf_dir, "labels"))
@@ -58,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op2_embedding_dedup,
         op3_substring_dedup,
+        op4_lm_score,
         op5_toxicity,
         op6_decontaminate,
         op7_packing,
