@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskweft.llm import decontaminate, embeddings, licenses, lines, lm, minhash, packing, substrings, toxicity
+from riskweft.llm import decontaminate, embeddings, licenses, lines, lm, minhash, packing, substrings, toxicity, urls
 from riskweft.llm.common import table
 
 
@@ -16,6 +16,17 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+# The rules of the query.
+URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules judge what they fit; their verdicts are the labelled urls from which the others are judged."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    model = urls.train(urls.ruled(urls.parsed(pages), URL_RULES))
+    return urls.judge(pages, URL_RULES, model).select("page_id", "host", "path", "rule", "verdict", "block_probability")
+
+
 def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -60,6 +71,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_url_filter,
         op2_embedding_dedup,
         op3_substring_dedup,
         op4_lm_score,
