@@ -2,7 +2,7 @@
 
 A map hashes the documents; flushes of about ``FLUSH_BYTES`` of text are compared at once: for each hash only the document with
 the smallest id stays open, the others are repeats already. A hash that stands in a third of all documents therefore leaves a
-task once for each flush, not once for each document. Open hashes are dealt to buckets, which are ranges of hashes, as packed
+task once for each flush, not once for each document. Open hashes are dealt to buckets as packed
 arrays; a bucket sorts its hashes and answers those that a smaller document has elsewhere. The number of buckets is up to the
 caller and has to follow the input.
 
@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 from riskweft.llm.common import spans_of
 
 FLUSH_BYTES = 6 << 20
-#: Makes, in a task, the function that gives the hashes of a text.
-Hasher = Callable[[], Callable[[bytes], np.ndarray]]
+#: Makes, in a task, the function that gives the hashes of a text, and for each hash the number by which it is dealt to a bucket.
+#: Equal hashes need equal numbers; hashes that stand side by side may share one, so that a document's answers are few rows.
+Hasher = Callable[[], Callable[[bytes], tuple[np.ndarray, np.ndarray]]]
 
 _RUNS, _HASHES = 0, 1
 
@@ -58,8 +59,8 @@ def _open_hashes(hasher: Hasher, buckets: int):
             held.sort(key=lambda row: row[0])
             ids = np.array([doc for doc, _ in held], np.int64)
             own = [hashes_of(text) for _, text in held]
-            sizes = np.array([len(h) for h in own])
-            hashes = np.concatenate(own)
+            sizes = np.array([len(h) for h, _ in own])
+            hashes, deal = np.concatenate([h for h, _ in own]), np.concatenate([d for _, d in own])
             if not len(hashes):
                 continue
             rows = np.repeat(np.arange(len(held), dtype=np.int32), sizes)
@@ -80,10 +81,10 @@ def _open_hashes(hasher: Hasher, buckets: int):
             for k in np.unique(rows[repeat]).tolist():
                 runs = np.array(spans_of(repeat[starts[k] : starts[k + 1]]), np.int32)
                 emit(k % buckets, _RUNS, int(ids[k]), runs.tobytes(), None)
-            open_hashes, open_rows = by_hash[first], by_row[first].astype(np.uint32)
-            # Buckets are ranges of hashes, so the sorted hashes fall into consecutive pieces.
-            limits = np.array([(b << 64) // buckets for b in range(buckets)], np.uint64)
-            cuts = np.append(np.searchsorted(open_hashes, limits), len(open_hashes))
+            bucket = ((deal[order][first] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+            dealt = np.argsort(bucket, kind="stable")  # sorted by hash within each bucket
+            open_hashes, open_rows = by_hash[first][dealt], by_row[first][dealt].astype(np.uint32)
+            cuts = np.searchsorted(bucket[dealt], np.arange(buckets + 1))
             for b in range(buckets):
                 if cuts[b] < cuts[b + 1]:
                     used, at = np.unique(open_rows[cuts[b] : cuts[b + 1]], return_inverse=True)
