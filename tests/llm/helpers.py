@@ -70,3 +70,90 @@ def decontaminate(rows, items, ngram=10):
 
 def ordered(rows):
     return sorted((tuple(r) for r in rows), key=repr)
+
+
+def shingles(text):
+    words = [w.translate(A_TO_Z) for w in SPACE_WORDS.findall(text or "")]
+    n = min(5, len(words))
+    return {tuple(words[k : k + n]) for k in range(len(words) - n + 1)} if words else set()
+
+
+def near_classes(rows, threshold=0.8):
+    """Smallest id of each document's class; rows without id or words stand alone."""
+    sets = [(i, shingles(t)) for i, t in rows if i is not None]
+    parent = {i: i for i, _ in sets}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for k, (i, a) in enumerate(sets):
+        for j, b in sets[:k]:
+            if a and b and len(a & b) >= threshold * len(a | b):
+                x, y = root(i), root(j)
+                parent[max(x, y)] = min(x, y)
+    return {i: root(i) for i, _ in sets}
+
+
+def line_keys(line):
+    words = SPACE_WORDS.findall(line)
+    n = len(words)
+    if n < 3:
+        return []
+    words = ["<*>" if re.search("[0-9]", w) else w for w in words]
+    if n < 8:
+        return [(n, tuple(words))]
+    cuts = [2 + (n - 2) * j // 4 for j in range(5)]
+    return [(n, j, tuple(words[: cuts[j]]), tuple(words[cuts[j + 1] :])) for j in range(4)]
+
+
+def line_dedup(rows):
+    first = {}
+    for i, t in rows:
+        if i is not None and t is not None:
+            for line in t.split("\n"):
+                for key in line_keys(line):
+                    first[key] = min(first.get(key, i), i)
+    out = []
+    for i, t in rows:
+        lines = t.split("\n") if t is not None else []
+        kept = [x for x in lines if i is None or not any(first[k] < i for k in line_keys(x))]
+        out.append((i, len(lines), len(lines) - len(kept), sha("\n".join(kept))))
+    return out
+
+
+def cosine_classes(rows, threshold=0.98):
+    """(id, links, class, kept) of (id, vector, label) rows with distinct ids, all pairs compared."""
+    import numpy as np
+
+    good = {}
+    for i, v, label in rows:
+        if i is not None and label is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v):
+            x = np.array(v, np.float64)
+            good[i] = (label, x / np.sqrt((x * x).sum()))
+    links = {i: 0 for i, _, _ in rows}
+    parent = dict.fromkeys(good)
+    parent = {i: i for i in good}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, (li, a) in good.items():
+        for j, (lj, b) in good.items():
+            if i < j and li == lj and len(a) == len(b) and float(a @ b) >= threshold:
+                links[i] += 1
+                links[j] += 1
+                x, y = root(i), root(j)
+                parent[max(x, y)] = min(x, y)
+    return [(i, links[i], root(i) if i in parent else i, (root(i) if i in parent else i) == i) for i, _, _ in rows]
+
+
+def licence_base(text):
+    words, places = alnum(text), []
+    for phrase, label in (("gnu general public license", "gpl"), ("apache license", "apache"), ("cc by", "cc-by"), ("mit license", "mit")):
+        want = phrase.split()
+        places += [(k, label) for k in range(len(words)) if words[k : k + len(want)] == want]
+    return len(words), places
