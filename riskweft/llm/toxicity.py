@@ -9,7 +9,7 @@ Features are chosen from the sample: the grams that are most over-represented in
 ``LEAST_DOCUMENTS`` and a share of ``LEAST_SHARE`` of them have (rarer ones are what copies of one document share). Scoring is one map over the documents without a shuffle, with the chosen grams' weights sent along.
 
 Only the text enters a score. Nulls and ties: a null text is empty; an empty text has the score of the intercept; labels that are
-null or of unknown documents are ignored, and a document is toxic if any of its labels says so; documents without id are scored
+null are ignored, those of unknown documents count in the prior alone, and a document is toxic if any of its labels says so; documents without id are scored
 but not learned from; repeated documents are scored alike; without any confirmed toxic document each score is the prior; an empty
 table gives no rows. Other columns are kept by ``score``, whatever their names; score and predicted come last and replace columns
 of the same name.

@@ -133,7 +133,8 @@ def test_toxicity_held_out_and_odd_rows(spark):
     truth = dict(labels)
     rows += [(9000, None), (9001, ""), (None, "vile foul"), (9003, "w1 " * 20_000), (4, rows[4][1])]
     df = H.docs_frame(spark, rows).withColumnRenamed("lang", "score").repartition(4)
-    marks = spark.createDataFrame([*labels, (None, 1), (12, None), (77777, 1)], "doc_id bigint, toxic int")
+    more = [(None, 1), (12, None), (77777, 1)]
+    marks = spark.createDataFrame([*labels, *more], "doc_id bigint, toxic int")
     model = toxicity.train(df, marks)
     out = toxicity.score(df, model).withColumn("held", toxicity.held_out()).collect()
     assert len(out) == len(rows) and all(0 <= r["score"] <= 1 for r in out)
@@ -142,7 +143,8 @@ def test_toxicity_held_out_and_odd_rows(spark):
     empty = {r["doc_id"]: r["score"] for r in out}
     assert empty[9000] == empty[9001] < 0.5 and empty[None] > 0.5
     # Labels of the held-out fold change nothing.
-    flipped = spark.createDataFrame([(i, 1 - t if zlib.crc32(str(i).encode()) % 5 == 0 else t) for i, t in labels], marks.schema)
+    flipped = [(i, 1 - t if zlib.crc32(str(i).encode()) % 5 == 0 else t) for i, t in labels]
+    flipped = spark.createDataFrame([*flipped, *more], marks.schema)
     again = toxicity.train(df, flipped)
     assert again.weights == model.weights and again.intercept == model.intercept
     none = toxicity.train(df, marks.filter("toxic = 0"))
