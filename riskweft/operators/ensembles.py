@@ -66,7 +66,8 @@ def bagging(
         indices = sorted(random.Random(seed + i).sample(range(width), keep))
         chosen = frame.filter(unit_interval(order_key(seed + i, row_id)) < rows)
         sliced = VectorSlicer(inputCol="_all", outputCol=FEATURES, indices=indices).transform(chosen)
-        found.append((indices, build_classifier(name, overrides, keep, weight, seed + i, row_id).fit(sliced)))
+        total = chosen.agg(F.sum(weight) if weight else F.count(F.lit(1))).first()[0]
+        found.append((indices, build_classifier(name, overrides, keep, weight, seed + i, row_id, float(total or 1)).fit(sliced)))
     frame.unpersist()
     return Bagging(fitted, found)
 

@@ -120,12 +120,14 @@ class AdaBoost(Estimator, DefaultParamsReadable, DefaultParamsWritable):
         base = dataset.select(FEATURES, TARGET, vector_to_array(FEATURES).alias("_x"))
         stumps: list[dict] = []
         log_weight: Column = F.lit(0.0)
+        top = 0.0
         for _ in range(get("rounds")):
-            weighted = base.withColumn("_w", F.exp(log_weight))
+            # Weights count up to a factor only; the largest stays near 1, so none overflows.
+            weighted = base.withColumn("_w", F.exp(log_weight - F.lit(top)))
             tree = DecisionTreeClassifier(featuresCol=FEATURES, labelCol=TARGET, weightCol="_w", maxDepth=1, seed=get("seed")).fit(weighted)
             stump = _read_stump(tree)
             miss = (_stump_side(stump) != F.col(TARGET)).cast("double")
-            error = weighted.agg(F.sum(F.col("_w") * miss) / F.sum("_w")).first()[0]
+            error, largest = weighted.agg(F.sum(F.col("_w") * miss) / F.sum("_w"), F.max(log_weight)).first()
             if error >= 0.5:
                 break
             stump["alpha"] = get("rate") * math.log((1 - max(error, 1e-12)) / max(error, 1e-12))
@@ -133,6 +135,7 @@ class AdaBoost(Estimator, DefaultParamsReadable, DefaultParamsWritable):
             if error <= 0:
                 break
             log_weight = log_weight + F.lit(stump["alpha"]) * miss
+            top = largest + max(stump["alpha"], 0.0)
         return AdaBoostModel(state=json.dumps(stumps))
 
 
@@ -211,7 +214,7 @@ class NearestNeighboursModel(Model):
 
 # Default hyper-parameters per model.
 DEFAULTS: dict[str, dict] = {
-    "logistic": {"max_iter": 1000, "C": None, "l1_ratio": 0.0},
+    "logistic": {"max_iter": 1000, "C": 1.0, "l1_ratio": 0.0},
     "decision_tree": {"max_depth": 20, "min_samples_leaf": 1, "criterion": "gini"},
     "random_forest": {"n_estimators": 100, "max_depth": 20, "min_samples_leaf": 2},
     "gradient_boosting": {"n_estimators": 100, "learning_rate": 0.1, "max_depth": 3, "subsample": 1.0, "colsample_bytree": 1.0, "min_child_weight": 1},
@@ -224,7 +227,7 @@ DEFAULTS: dict[str, dict] = {
     "knn": {"n_neighbors": 5},
     "naive_bayes": {},
 }
-# How the positive class is weighted in training: "balanced" class weights, or a positive weight.
+# How the positive class is weighted in training: "balanced" class weights, or a positive weight.
 WEIGHTING = {
     "logistic": "balanced",
     "decision_tree": "balanced",
@@ -261,14 +264,23 @@ def _boosted_trees(p: dict, common: dict, seed: int) -> GBTClassifier:
 
 
 def build_classifier(
-    name: str, overrides: dict | None = None, inputs: int | None = None, weight_col: str | None = None, seed: int = 42, row_id: str = "event_id"
+    name: str,
+    overrides: dict | None = None,
+    inputs: int | None = None,
+    weight_col: str | None = None,
+    seed: int = 42,
+    row_id: str = "event_id",
+    total: float = 1000.0,
 ) -> Estimator:
-    """Estimator over ``features`` and ``label``. ``inputs`` (number of features) is needed by the neural network."""
+    """Estimator over ``features`` and ``label``. ``inputs`` (number of features) is needed by the neural network.
+
+    ``total`` is the sum of the row weights: the loss is averaged here, so a penalty C stands for 1 / (C x total).
+    """
     p = parameters(name, overrides)
     weight = {"weightCol": weight_col} if weight_col else {}
     common = {"featuresCol": FEATURES, "labelCol": TARGET, **weight}
     if name == "logistic":
-        penalty = {} if p["C"] is None else {"regParam": 1.0 / p["C"] / 1000.0, "elasticNetParam": float(p["l1_ratio"])}
+        penalty = {} if p["C"] is None else {"regParam": 1.0 / (p["C"] * total), "elasticNetParam": float(p["l1_ratio"])}
         return LogisticRegression(maxIter=p["max_iter"], **penalty, **common)
     if name == "decision_tree":
         return DecisionTreeClassifier(maxDepth=p["max_depth"], minInstancesPerNode=p["min_samples_leaf"], impurity=p["criterion"], seed=seed, **common)
@@ -279,7 +291,7 @@ def build_classifier(
     if name in ("gradient_boosting", "xgboost", "lightgbm", "catboost"):
         return _boosted_trees(p, common, seed)
     if name == "svm":
-        return _svm(p["kernel"], 0.01 / p["C"], weight, seed)
+        return _svm(p["kernel"], 1.0 / (p["C"] * total), weight, seed)
     if name == "adaboost":
         return AdaBoost(rounds=p["n_estimators"], rate=float(p["learning_rate"]), seed=seed)
     if name == "mlp":

@@ -3,7 +3,8 @@
 A rank is located by narrowing: a mergeable quantile sketch proposes two values around it, an exact count says how
 many rows lie below, on and between them, and the search continues in the open interval that holds the rank. Every
 round shrinks that interval by about 1/1000 of its rows, so a trillion rows need four scans, each with a tiny
-shuffle. Only when an interval is proven to hold at most ``SORT_LIMIT`` rows is it sorted in one task.
+shuffle. Only when an interval is proven to hold at most ``SORT_LIMIT`` rows is it sorted in one task; all intervals
+sorted together hold at most ``SORT_BUDGET`` rows.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SORT_LIMIT = 200_000
+SORT_BUDGET = 1_000_000
 SKETCH_ACCURACY = 10_000
 # Half-width of the proposed bracket, in units of rank share: five times the sketch's error bound.
 BRACKET = 5.0 / SKETCH_ACCURACY
@@ -59,10 +61,29 @@ def select_ranks(df: DataFrame, targets: list[RankTarget], sort_limit: int = SOR
         if not wide:
             break
         _narrow(df, wide)
-    _sort_small(df, [t for t in targets if t.value is None], runs)
+    for part in _within_budget([t for t in targets if t.value is None]):
+        _sort_small(df, part, runs)
     return targets
 
 
+def _within_budget(targets: list[RankTarget]) -> list[list[RankTarget]]:
+    """Targets cut into parts whose intervals hold at most ``SORT_BUDGET`` rows; those of one interval stay together."""
+    parts, room, last = [], 0, None
+    for t in sorted(targets, key=_interval):
+        if _interval(t) != last:
+            if not parts or room < t.inside:
+                parts.append([])
+                room = SORT_BUDGET
+            room -= t.inside
+            last = _interval(t)
+        parts[-1].append(t)
+    return parts
+
+
+def _interval(t: RankTarget) -> tuple:
+    return id(t.where), t.column, repr(t.low), repr(t.high)
+
+
 def _narrow(df: DataFrame, targets: list[RankTarget]) -> None:
     proposals = []
     for t in targets:
@@ -103,11 +124,9 @@ def _run_length(array: Column, value: Column) -> Column:
 
 def _sort_small(df: DataFrame, targets: list[RankTarget], runs: bool) -> None:
     """Sort intervals already proven to hold few rows, sharing one sort between targets of the same interval."""
-    if not targets:
-        return
     shared: dict[tuple, list[RankTarget]] = {}
     for t in targets:
-        shared.setdefault((id(t.where), t.column, t.low, t.high), []).append(t)
+        shared.setdefault(_interval(t), []).append(t)
     arrays = [
         F.array_sort(F.collect_list(F.when(group[0].condition(), F.col(group[0].column)))).alias(f"a{i}")
         for i, group in enumerate(shared.values())
@@ -152,8 +171,6 @@ def exact_quantiles(
     Only non-null values count. The result is a handful of numbers per column.
     """
     clean = df.select(*([by] if by else []), *[F.col(c) for c in dict.fromkeys(columns) if c != by])
-    if clean.count() <= sort_limit:
-        return _small_quantiles(clean, columns, probabilities, by)
     groups = group_values(clean, by)
     sizes = clean.agg(
         *[F.count(F.when(cond, F.col(c))).alias(f"n{g}_{i}") for g, (_, cond) in enumerate(groups) for i, c in enumerate(columns)]
@@ -180,20 +197,16 @@ def exact_quantiles(
                 place = p * (n - 1)
                 low = float(targets[(g, i, math.floor(place))].value)
                 high = float(targets[(g, i, math.ceil(place))].value)
-                points.append(low + (high - low) * (place - math.floor(place)))
+                points.append(_between(low, high, place))
             result[value][c] = points
     return result
 
 
-def _small_quantiles(df: DataFrame, columns: list[str], probabilities: list[float], by: str | None) -> dict[object, dict[str, list[float | None]]]:
-    """One aggregation, for a table already counted and found small enough for the built-in exact percentile."""
-    points = F.array(*[F.lit(float(p)) for p in probabilities])
-    measures = [F.percentile(c, points).alias(f"q{i}") for i, c in enumerate(columns)]
-    rows = df.groupBy(*([by] if by else [])).agg(*measures).limit(MAX_GROUPS + 1).collect()
-    if len(rows) > MAX_GROUPS:
-        raise ValueError(f"{by} has more than {MAX_GROUPS} values; group statistics expect a class-like column")
-    empty = [None] * len(probabilities)
-    return {(r[by] if by else None): {c: list(r[f"q{i}"] or empty) for i, c in enumerate(columns)} for r in rows}
+def _between(low: float, high: float, place: float) -> float:
+    """Linear interpolation; an infinite neighbour counts only where the place lies off the other one."""
+    if low == high or place == math.floor(place):
+        return low
+    return (math.ceil(place) - place) * low + (place - math.floor(place)) * high
 
 
 def exact_medians(df: DataFrame, columns: list[str], **kw) -> dict[str, float | None]:
@@ -204,17 +217,19 @@ def exact_medians(df: DataFrame, columns: list[str], **kw) -> dict[str, float |
 class Cutoff:
     """The last row of an ordered prefix: every row up to and including (key, tie) belongs to it.
 
-    ``tie`` is None when the prefix ends with the last row of its key.
+    ``tie`` is None when the prefix ends with the last row of its key. Rows without key come last, ordered by tie; ``key`` is
+    None when the prefix ends among them.
     """
 
     key: object
     tie: object
 
     def covers(self, key: str, tie: str) -> Column:
+        if self.key is None:
+            return F.col(key).isNotNull() if self.tie is None else F.col(key).isNotNull() | (F.col(tie) <= F.lit(self.tie))
         k = F.lit(self.key)
-        if self.tie is None:
-            return F.col(key) <= k
-        return (F.col(key) < k) | ((F.col(key) == k) & (F.col(tie) <= F.lit(self.tie)))
+        inside = F.col(key) <= k if self.tie is None else (F.col(key) < k) | ((F.col(key) == k) & (F.col(tie) <= F.lit(self.tie)))
+        return F.coalesce(inside, F.lit(False))
 
 
 def prefix_cutoffs(
@@ -223,13 +238,25 @@ def prefix_cutoffs(
     tie: str,
     wanted: list[tuple[Column, int, int]],
     sort_limit: int = SORT_LIMIT,
+    nulls: bool = False,
 ) -> list[Cutoff | None]:
     """Cutoffs of the first ``length`` rows by (key, tie) among the rows of ``where``.
 
     ``wanted`` holds (where, size of where, length); a length of 0 gives None. ``tie`` must be unique within a key.
     Rows can then be told apart by comparing with literals, so splitting and sampling need no sort of the data.
+    With ``nulls`` rows may lack the key; they come last.
     """
-    targets = [RankTarget(w, key, min(length, size) - 1, size) if min(length, size) > 0 else None for w, size, length in wanted]
+    keyed = [size for _, size, _ in wanted]
+    if nulls and wanted:
+        counts = df.agg(*[F.count_if(w & F.col(key).isNotNull()).alias(f"n{i}") for i, (w, _, _) in enumerate(wanted)]).first()
+        keyed = list(counts)
+    targets, last = [], {}
+    for i, ((w, size, length), n) in enumerate(zip(wanted, keyed)):
+        length = min(length, size)
+        targets.append(RankTarget(w, key, length - 1, n) if 0 < length <= n else None)
+        if length > n:
+            last[i] = RankTarget(w & F.col(key).isNull(), tie, length - n - 1, size - n)
+    select_ranks(df, list(last.values()), sort_limit, runs=False)
     first = [t for t in targets if t]
     select_ranks(df, first, sort_limit)
     # A prefix that ends inside a run of equal keys also needs the tie value of its last row.
@@ -238,4 +265,7 @@ def prefix_cutoffs(
     if second:
         select_ranks(df, second, sort_limit)
     ties = {id(t): s.value for t, s in zip(inside, second)}
-    return [Cutoff(t.value, ties.get(id(t))) if t else None for t in targets]
+    found = [Cutoff(t.value, ties.get(id(t))) if t else None for t in targets]
+    for i, t in last.items():
+        found[i] = Cutoff(None, t.value)
+    return found

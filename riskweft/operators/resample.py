@@ -1,4 +1,7 @@
-"""Class rebalancing: synthetic and random oversampling, and class weights. Numbers of rows are exact."""
+"""Class rebalancing: synthetic and random oversampling, and class weights. Numbers of rows are exact.
+
+Rows without label are no class: they are kept, with weight 1, and neither counted nor copied.
+"""
 
 from __future__ import annotations
 
@@ -14,13 +17,17 @@ from riskweft.schema import LABEL
 NEIGHBOURS = 5
 # Copies of one source row made by a single task at most.
 COPIES_PER_TASK = 100_000
-# The neighbour table is broadcast only when it is known to have at most this many rows.
-BROADCAST_ROWS = 200_000
+
+
+def _labelled_sizes(df: DataFrame, label: str) -> list[tuple[object, int]]:
+    return [(value, rows) for value, _, rows in class_sizes(df.select(label), label) if value is not None]
 
 
 def majority_minority(df: DataFrame, label: str = LABEL) -> tuple[tuple, tuple]:
     """((value, rows) of the largest class, (value, rows) of the smallest)."""
-    sizes = sorted(((rows, value) for value, _, rows in class_sizes(df.select(label), label)), reverse=True)
+    sizes = sorted(((rows, value) for value, rows in _labelled_sizes(df, label)), reverse=True)
+    if not sizes:
+        raise ValueError(f"no row has a {label}")
     return (sizes[0][1], sizes[0][0]), (sizes[-1][1], sizes[-1][0])
 
 
@@ -57,22 +64,24 @@ def synthetic_minority(
     """(row_id, copy, label, columns): new = x + u (neighbour - x) until the smallest class equals the largest.
 
     The neighbour is one of the k nearest rows of the class and u lies in [0, 1); both come from a hash of
-    (row, copy, seed), so the rows are the same on any cluster. At most k class rows is an error. ``sizes`` is the
-    result of ``majority_minority`` when it is known already.
+    (row, copy, seed), so the rows are the same on any cluster. Rows with a null or non-finite coordinate are no source and
+    no neighbour; the others make up for them. At most k class rows that can be one is an error. ``sizes`` is the result of
+    ``majority_minority`` when it is known already.
     """
     (_, most), (value, least) = sizes or majority_minority(df, label)
-    if least <= k:
-        raise ValueError(f"the smallest class has {least} rows, more than {k} are needed")
     members = df.filter(F.col(label) == F.lit(value)).select(row_id, *[F.col(c).cast("double").alias(c) for c in columns])
+    for c in columns:
+        members = members.filter(F.abs(c) < float("inf"))
+    whole = members.count()
+    if whole <= k:
+        raise ValueError(f"the smallest class has {whole} rows with finite coordinates, more than {k} are needed")
     points = as_points(members, row_id, columns)
     near = knn_join(points, points, k, exclude_self=True).select(F.col("id").alias(row_id), F.col("neighbour").alias("_nid"), "place")
     ends = members.select(F.col(row_id).alias("_nid"), *[F.col(c).alias(f"_to_{c}") for c in columns])
     paired = near.join(ends, "_nid").drop("_nid")
-    copies = _spread_copies(members, most - least, least, seed, row_id)
+    copies = _spread_copies(members, most - least, whole, seed, row_id)
     copies = copies.withColumn("place", (F.pmod(order_key(seed + 1, row_id, "copy"), F.lit(k)) + 1).cast("int"))
     copies = copies.withColumn("_u", unit_interval(order_key(seed + 2, row_id, "copy")))
-    if least * k <= BROADCAST_ROWS:
-        paired = F.broadcast(paired)
     made = copies.join(paired, [row_id, "place"])
     moved = [(F.col(c) + F.col("_u") * (F.col(f"_to_{c}") - F.col(c))).alias(c) for c in columns]
     return made.select(row_id, "copy", F.lit(value).alias(label), *moved)
@@ -95,7 +104,10 @@ def smote(
 def rebalance(df: DataFrame, columns: list[str], label: str = LABEL, row_id: str = "event_id", k: int = NEIGHBOURS, seed: int = 42) -> DataFrame:
     """Synthetic oversampling with ``weight`` 1, or balanced class weights when the smallest class is too small."""
     sizes = majority_minority(df, label)
-    if sizes[1][1] > k:
+    finite = df.filter(F.col(label) == F.lit(sizes[1][0]))
+    for c in columns:
+        finite = finite.filter(F.abs(F.col(c).cast("double")) < float("inf"))
+    if sizes[1][1] > k and finite.limit(k + 1).count() > k:
         return smote(df, columns, label, row_id, k, seed, sizes).withColumn("weight", F.lit(1.0))
     plain = df.select(row_id, F.lit(0).cast("bigint").alias("copy"), label, *[F.col(c).cast("double").alias(c) for c in columns])
     return with_class_weights(plain, label)
@@ -110,7 +122,7 @@ def random_oversample(df: DataFrame, label: str = LABEL, row_id: str = "event_id
 
 def class_weights(df: DataFrame, label: str = LABEL) -> dict[object, float]:
     """Balanced weights n / (classes x rows of the class)."""
-    sizes = [(value, rows) for value, _, rows in class_sizes(df.select(label), label)]
+    sizes = _labelled_sizes(df, label)
     total = sum(rows for _, rows in sizes)
     return {value: total / (len(sizes) * rows) for value, rows in sizes}
 
@@ -129,6 +141,6 @@ def with_class_weights(df: DataFrame, label: str = LABEL, output: str = "weight"
 def with_positive_weight(df: DataFrame, weight: float | None = None, label: str = LABEL, output: str = "weight") -> DataFrame:
     """Weight of the positive class: the given number, or negatives / positives. Negatives weigh 1."""
     if weight is None:
-        sizes = {value: rows for value, _, rows in class_sizes(df.select(label), label)}
+        sizes = dict(_labelled_sizes(df, label))
         weight = sizes.get(0, 0) / sizes[1]
     return _weighted(df, {1: float(weight)}, label, output)

@@ -32,7 +32,7 @@ def _label_by_lengths(df: DataFrame, key: str, tie: str, names: list[str], lengt
     for length in lengths:
         end = min(end + max(length, 0), total)
         ends.append(end)
-    cutoffs = prefix_cutoffs(df.select(key, tie), key, tie, [(F.lit(True), total, e) for e in ends])
+    cutoffs = prefix_cutoffs(df.select(key, tie), key, tie, [(F.lit(True), total, e) for e in ends], nulls=True)
     split = F.lit(names[-1])
     for name, cutoff in reversed(list(zip(names, cutoffs))):
         split = F.when(_covered(cutoff, key, tie), name).otherwise(split)
@@ -40,7 +40,10 @@ def _label_by_lengths(df: DataFrame, key: str, tie: str, names: list[str], lengt
 
 
 def temporal_split(df: DataFrame, train_size: int = 4_000_000, eval_size: int = 1_000_000, order: str = "step", tie: str = "event_id") -> DataFrame:
-    """First ``train_size`` rows in clock order, next ``eval_size``, rest test; short tables are truncated."""
+    """First ``train_size`` rows in clock order, next ``eval_size``, rest test; short tables are truncated.
+
+    Rows without a clock come last, ordered by the tie-break.
+    """
     return _label_by_lengths(df, order, tie, ["train", "eval", "test"], [train_size, eval_size])
 
 
@@ -134,10 +137,10 @@ def stratified_sample(df: DataFrame, size: int, label: str = LABEL, seed: int =
 
 
 def slice_rows(df: DataFrame, order: str, tie: str, start: int, stop: int) -> DataFrame:
-    """Rows at positions [start, stop) of the (order, tie) sequence."""
+    """Rows at positions [start, stop) of the (order, tie) sequence, those without ``order`` last."""
     total = df.count()
     narrow = df.select(order, tie)
-    first, last = prefix_cutoffs(narrow, order, tie, [(F.lit(True), total, start), (F.lit(True), total, stop)])
+    first, last = prefix_cutoffs(narrow, order, tie, [(F.lit(True), total, start), (F.lit(True), total, stop)], nulls=True)
     return df.filter(_covered(last, order, tie) & ~_covered(first, order, tie))
 
 

@@ -82,7 +82,8 @@ def train(
     fitted = preprocessor if isinstance(preprocessor, PreprocessorModel) else preprocessor.fit(df)
     frame, weight = training_frame(df, fitted, name, sampler, overrides, row_id, seed)
     frame = spread(frame, row_id).persist()
-    estimator = build_classifier(name, overrides, len(fitted.feature_names()), weight, seed, row_id)
+    total = frame.agg(F.sum(weight) if weight else F.count(F.lit(1))).first()[0]
+    estimator = build_classifier(name, overrides, len(fitted.feature_names()), weight, seed, row_id, float(total or 1))
     model = estimator.fit(frame)
     if name != "knn":
         frame.unpersist()

@@ -10,6 +10,7 @@ from riskweft.operators.explain import feature_importances
 from riskweft.operators.scoring import score_requests
 from riskweft.operators.training import Trained, train
 from riskweft.operators.validation import cast_schema, require_columns
+from riskweft.schema import LABEL
 from riskweft.sources import artifacts, inspection, writers
 
 
@@ -23,12 +24,21 @@ def train_job(
     target_recall: float = metrics.TARGET_RECALL,
     path: str | None = None,
     row_id: str = "event_id",
+    rejected: str | None = None,
 ) -> tuple[Trained, DataFrame]:
     """Cast, check, split in time, fit, tune the threshold on the middle part and measure on the last.
 
-    Returns the trained model and the scored test rows. Sizes default to 60 % and 20 % of the rows.
+    Returns the trained model and the scored test rows. Sizes default to 60 % and 20 % of the rows. Rows whose label is missing
+    or no number leave before the split; with ``rejected`` they are written there with the reason. If no row has a label, it
+    is an error.
     """
-    typed = require_columns(cast_schema(df.drop("score")))
+    cast = require_columns(cast_schema(df.drop("score")))
+    typed = cast.filter(F.col(LABEL).isNotNull())
+    if typed.isEmpty():
+        raise ValueError(f"none of the {cast.count()} rows has a {LABEL}")
+    if rejected:
+        unlabelled = cast.filter(F.col(LABEL).isNull()).withColumn("error", F.lit(f"{LABEL} is missing"))
+        writers.export_table(unlabelled, rejected, "parquet", "overwrite")
     if train_size is None or eval_size is None:
         parted = splits.fractional_split(typed, 0.6, 0.2, tie=row_id)
     else:

@@ -71,10 +71,25 @@ INTERACTION_SQL = ", ".join(
         _flag("oldbalanceDest = 0", "dest_zero_before"),
     ]
 )
-BALANCE_NAMES = ["balance_diff_orig", "balance_diff_dest", "balance_orig_zero", "balance_dest_zero"]
-BALANCE_NAMES += ["zero_balance_after_transaction", "balance_orig_ratio", "balance_dest_ratio"]
-INTERACTION_NAMES = ["orig_balance_change", "dest_balance_change", "orig_balance_ratio", "dest_balance_ratio"]
-INTERACTION_NAMES += ["amount_to_orig_balance", "orig_zero_after", "dest_zero_before"]
+# Names of the derived features.
+BALANCE_NAMES = [
+    "balance_diff_orig",
+    "balance_diff_dest",
+    "balance_orig_zero",
+    "balance_dest_zero",
+    "zero_balance_after_transaction",
+    "balance_orig_ratio",
+    "balance_dest_ratio",
+]
+INTERACTION_NAMES = [
+    "orig_balance_change",
+    "dest_balance_change",
+    "orig_balance_ratio",
+    "dest_balance_ratio",
+    "amount_to_orig_balance",
+    "orig_zero_after",
+    "dest_zero_before",
+]
 
 
 @query("d1_d6_balance_features", f"SELECT event_id, {BALANCE_SQL} FROM txn_gaps WHERE oldbalanceOrg IS NULL OR NOT isinf(oldbalanceOrg)")
@@ -112,7 +127,10 @@ def _(spark, sf):
     return df.select("event_id", "same_account_transfer", "orig_is_customer", "dest_is_customer")
 
 
-@query("d19_dest_is_merchant", f"SELECT event_id, {_flag(chr(39).join(['nameDest LIKE ', 'M%', '']), 'dest_is_merchant')} FROM txn_gaps")
+MERCHANT_SQL = _flag("nameDest LIKE 'M%'", "dest_is_merchant")
+
+
+@query("d19_dest_is_merchant", f"SELECT event_id, {MERCHANT_SQL} FROM txn_gaps")
 def _(spark, sf):
     return transactions_with_gaps(spark, sf).select("event_id", features.starts_with(F.col("nameDest"), "M").alias("dest_is_merchant"))
 

@@ -121,10 +121,33 @@ def _(spark, sf):
     return round_doubles(fitted.to_frame(df, ["event_id"]))
 
 
-FEATURE_ORDER = [*MONEY_COLUMNS[:1], "oldbalanceOrg", "oldbalanceDest", "newbalanceOrig", "newbalanceDest"]
-FEATURE_ORDER += ["balance_diff_orig", "balance_diff_dest", "balance_orig_zero", "balance_dest_zero", "zero_balance_after_transaction"]
-FEATURE_ORDER += ["balance_orig_ratio", "balance_dest_ratio", "amount_log", "amount_per_balance_orig", "empties_origin", "creates_dest_balance"]
-FEATURE_ORDER += ["hour_of_day", "day_of_week", "is_weekend", "is_business_hours", "is_night", "same_account_transfer", "orig_is_customer", "dest_is_customer"]
+# Numeric features in the order of the assembled vector.
+FEATURE_ORDER = [
+    "amount",
+    "oldbalanceOrg",
+    "oldbalanceDest",
+    "newbalanceOrig",
+    "newbalanceDest",
+    "balance_diff_orig",
+    "balance_diff_dest",
+    "balance_orig_zero",
+    "balance_dest_zero",
+    "zero_balance_after_transaction",
+    "balance_orig_ratio",
+    "balance_dest_ratio",
+    "amount_log",
+    "amount_per_balance_orig",
+    "empties_origin",
+    "creates_dest_balance",
+    "hour_of_day",
+    "day_of_week",
+    "is_weekend",
+    "is_business_hours",
+    "is_night",
+    "same_account_transfer",
+    "orig_is_customer",
+    "dest_is_customer",
+]
 
 
 @query(

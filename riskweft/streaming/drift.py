@@ -13,7 +13,9 @@ DRIFT_SCHEMA = "feature string, n_reference bigint, n_current bigint, statistic
 def drift_handler(reference: DataFrame, columns: list[str], out: str) -> BatchHandler:
     def handle(batch: DataFrame, batch_id: int) -> None:
         batch = batch.select(*columns).persist()
-        write_batch(drift_report(reference.select(*columns), batch), out, batch_id)
-        batch.unpersist()
+        try:
+            write_batch(drift_report(reference.select(*columns), batch), out, batch_id)
+        finally:
+            batch.unpersist()
 
     return handle

@@ -110,3 +110,66 @@ def test_sorts(txn):
     shuffled = [r["event_id"] for r in splits.shuffle_rows(txn.select("event_id")).collect()]
     assert shuffled != sorted(shuffled) and sorted(shuffled) == list(range(1000))
     assert shuffled == [r["event_id"] for r in splits.shuffle_rows(txn.select("event_id").repartition(5)).collect()]
+
+
+def test_quantiles_of_infinite_values_do_not_depend_on_the_number_of_rows(spark):
+    from riskweft.operators.order_stats import exact_quantiles
+
+    values = [float(k) for k in range(20)] + [float("inf")] * 10 + [float("-inf")] * 3
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "x double").repartition(3)
+    points = [0.0, 0.05, 0.25, 0.5, 0.9, 1.0]
+    built_in = df.selectExpr(f"percentile(x, array({', '.join(map(str, points))}))").first()[0]
+    wide = exact_quantiles(df, ["x"], points)[None]["x"]
+    assert wide == built_in
+    assert exact_quantiles(df, ["x"], points, sort_limit=3)[None]["x"] == wide
+
+
+def test_rows_without_clock_come_last(spark):
+    from riskweft.operators.splits import slice_rows, temporal_split
+
+    df = spark.createDataFrame([(k, None if k in (2, 5, 9) else k % 4) for k in range(12)], "event_id bigint, step int")
+    order = [r[0] for r in sorted(df.collect(), key=lambda r: (r[1] is None, r[1] or 0, r[0]))]
+    for train, evaluate in ((4, 4), (8, 2), (9, 1), (10, 1), (12, 3), (0, 9)):
+        found = {r["event_id"]: r["split"] for r in temporal_split(df, train, evaluate).collect()}
+        want = ["train"] * train + ["eval"] * evaluate + ["test"] * 12
+        assert [found[i] for i in order] == want[:12]
+    for a, b in ((0, 3), (7, 10), (9, 12), (10, 11), (5, 5)):
+        assert {r["event_id"] for r in slice_rows(df, "step", "event_id", a, b).collect()} == set(order[a:b])
+
+
+def test_rows_without_label_are_no_class(spark):
+    from riskweft.operators import resample
+
+    rows = [(k, 0 if k < 40 else 1 if k < 52 else None, float(k), float(k % 7) if k != 50 else float("inf")) for k in range(55)]
+    rows = [(i, y, None if i in (45, 46) else a, b) for i, y, a, b in rows]
+    df = spark.createDataFrame(rows, "event_id bigint, isFraud int, a double, b double").repartition(3)
+    assert resample.class_weights(df) == {0: 52 / 80, 1: 52 / 24}
+    for out in (resample.smote(df, ["a", "b"]), resample.random_oversample(df), resample.rebalance(df, ["a", "b"])):
+        counts = {r[0]: r[1] for r in out.groupBy("isFraud").count().collect()}
+        assert counts == {0: 40, 1: 40, None: 3}
+
+
+def test_training_drops_rows_without_label(spark, sf):
+    import pytest
+
+    from riskweft.plans.jobs import train_job
+    from riskweft.session import scratch_path
+    from riskweft.sources.transactions import transactions_as_text
+
+    df, out = transactions_as_text(spark, sf), scratch_path(spark, "rejected")
+    model, scored = train_job(df, "decision_tree", overrides={"max_depth": 3}, rejected=out)
+    assert scored.count() > 0 and scored.filter("isFraud is null").count() == 0
+    assert spark.read.parquet(out).filter("error is null").count() == 0
+    with pytest.raises(ValueError, match="has a isFraud"):
+        train_job(df.withColumn("isFraud", df["isFraud"].substr(0, 0)), "decision_tree")
+
+
+def test_rows_without_probability_go_to_the_quarantine(spark):
+    from riskweft.session import scratch_path
+    from riskweft.streaming import scoring
+
+    good, bad = scratch_path(spark, "good"), scratch_path(spark, "bad")
+    df = spark.createDataFrame([(1, 1, 0.9), (2, 1, None)], "event_id bigint, step int, p double")
+    scoring.response_handler("p", good, bad)(df, 0)
+    assert spark.read.parquet(good).count() == 1
+    assert [r["error"] for r in spark.read.parquet(bad).collect()] == ["p is missing"]
