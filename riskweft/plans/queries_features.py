@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskweft.functions import features
+from riskweft.functions.exprs import finite
 from riskweft.operators import lookup, order_stats, profile
 from riskweft.plans.registry import query
 from riskweft.sources.transactions import transactions, transactions_with_gaps
@@ -13,6 +14,14 @@ HOUR = "(((step % 24) + 24) % 24)"
 DAY = "CAST(((CAST(floor(step / 24.0) AS BIGINT) % 7) + 7) % 7 AS BIGINT)"
 
 
+def gaps(spark, sf):
+    """The defective view with all its rows; an infinite balance counts as missing."""
+    return transactions_with_gaps(spark, sf).withColumn("oldbalanceOrg", finite(F.col("oldbalanceOrg")))
+
+
+GAPS = "gaps AS (SELECT * REPLACE (CASE WHEN NOT isinf(oldbalanceOrg) THEN oldbalanceOrg END AS oldbalanceOrg) FROM txn_gaps)"
+
+
 def _flag(condition: str, name: str) -> str:
     return f"CASE WHEN {condition} THEN 1 ELSE 0 END AS {name}"
 
@@ -92,10 +101,9 @@ INTERACTION_NAMES = [
 ]
 
 
-@query("d1_d6_balance_features", f"SELECT event_id, {BALANCE_SQL} FROM txn_gaps WHERE oldbalanceOrg IS NULL OR NOT isinf(oldbalanceOrg)")
+@query("d1_d6_balance_features", f"SELECT event_id, {BALANCE_SQL} FROM gaps", ctes=GAPS)
 def _(spark, sf):
-    df = transactions_with_gaps(spark, sf).filter("oldbalanceOrg IS NULL OR abs(oldbalanceOrg) < double('Infinity')")
-    return features.balance_features(df).select("event_id", *BALANCE_NAMES)
+    return features.balance_features(gaps(spark, sf)).select("event_id", *BALANCE_NAMES)
 
 
 @query("d7_amount_log", f"SELECT event_id, round({LOG_SQL}, 9) AS amount_log FROM txn_gaps")

@@ -8,7 +8,7 @@ from riskweft.functions.exprs import round_doubles
 from riskweft.functions.features import amount_category
 from riskweft.operators import knn, preprocess, resample
 from riskweft.plans.queries_features import CATEGORY_SQL
-from riskweft.plans.queries_profile import GAPS, gaps
+from riskweft.plans.queries_features import GAPS, gaps
 from riskweft.plans.queries_splits import key_sql
 from riskweft.plans.registry import query
 from riskweft.schema import MONEY_COLUMNS

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from riskweft.functions.exprs import round_doubles
 from riskweft.functions.features import account_prefix, interaction_features
 from riskweft.operators import correlation, outliers, profile, quality_report, validation
-from riskweft.plans.queries_features import INTERACTION_NAMES, INTERACTION_SQL
+from riskweft.plans.queries_features import GAPS, INTERACTION_NAMES, INTERACTION_SQL, gaps
 from riskweft.plans.registry import query
 from riskweft.schema import MONEY_COLUMNS, NUMERIC_COLUMNS, REQUIRED_COLUMNS
 from riskweft.sources.transactions import read_table, transactions, transactions_with_gaps
@@ -21,14 +21,6 @@ def union(parts: list[str]) -> str:
     return " UNION ALL ".join(parts)
 
 
-def gaps(spark, sf):
-    """The defective view without its infinities."""
-    return transactions_with_gaps(spark, sf).filter("oldbalanceOrg IS NULL OR abs(oldbalanceOrg) < double('Infinity')")
-
-
-GAPS = "gaps AS (SELECT * FROM txn_gaps WHERE oldbalanceOrg IS NULL OR NOT isinf(oldbalanceOrg))"
-
-
 # ---- counts and rates ------------------------------------------------------------------------------------------------
 
 
