@@ -213,10 +213,13 @@ class Graph:
                 yield a + k, np.concatenate(hits)
 
     def _misses(self, sample: np.ndarray, threshold: float, own: np.ndarray | None) -> bool:
-        """Whether a search misses an exact neighbour (computed in blocks) of a sampled node."""
+        """Whether a search misses an exact neighbour (computed in blocks) of a sampled node.
+
+        Pairs within rounding of the threshold don't count: a product of matrices may round them to the other side.
+        """
         found = dict(self.within(self.vectors[sample], threshold, own))
         for a in range(0, len(sample), BATCH):
-            near = self.vectors[sample[a : a + BATCH]] @ self.vectors.T >= threshold
+            near = self.vectors[sample[a : a + BATCH]] @ self.vectors.T >= threshold + 1e-12
             if any(len(np.setdiff1d(np.flatnonzero(row), found[a + k])) for k, row in enumerate(near)):
                 return True
         return False

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskweft.llm import decontaminate, embeddings, licenses, lines, lm, minhash, packing, substrings, toxicity, urls
+from riskweft.llm import decontaminate, embeddings, licenses, lines, lm, minhash, oracles, packing, substrings, toxicity, urls
 from riskweft.llm.common import table
 
 
@@ -84,4 +84,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLES: dict[str, str] = {}
+#: The others hold a trained model, a tokenizer or similarities of all pairs; tests compare them with plain versions.
+ORACLES: dict[str, str] = {
+    "op2_embedding_dedup": oracles.OP2,
+    "op3_substring_dedup": oracles.OP3,
+    "op6_decontaminate": oracles.OP6,
+    "op10_line_dedup": oracles.OP10,
+}

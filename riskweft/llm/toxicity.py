@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from riskweft.llm.common import alnum_words, slices
 
-MAX_POSITIVE, MAX_UNLABELLED = 3_000, 6_000
+MAX_POSITIVE, MAX_UNLABELLED = 2_000, 4_000
 MAX_FEATURES, LEAST_DOCUMENTS, LEAST_SHARE = 2_048, 6, 0.01
 #: Lengths of word beginnings, in characters; whole words count as well.
 BEGINNINGS = (4, 5, 6)
