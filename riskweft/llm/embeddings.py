@@ -91,6 +91,25 @@ class Graph:
                 self._connect(layer, part, np.concatenate([found, own], axis=1), np.concatenate([scores, near], axis=1))
                 done[part] = True
                 at += len(part)
+        self._reverse()
+
+    def _reverse(self) -> None:
+        """Who links to each node on the lowest layer: pruning full nodes can leave a node that only links to others."""
+        n = len(self.vectors)
+        if not n:
+            self.sources, self.places = np.zeros(0, np.int64), np.zeros(1, np.int64)
+            return
+        source, column = np.nonzero(self.layers[0] >= 0)
+        target = self.layers[0][source, column]
+        self.sources = source[np.argsort(target, kind="stable")]
+        self.places = np.concatenate(([0], np.cumsum(np.bincount(target, minlength=n))))
+
+    def _around(self, nodes: np.ndarray) -> np.ndarray:
+        """Nodes that the given ones link to, or that link to them."""
+        first, count = self.places[nodes], self.places[nodes + 1] - self.places[nodes]
+        inside = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        linked = self.layers[0][nodes]
+        return np.unique(np.concatenate([linked[linked >= 0], self.sources[np.repeat(first, count) + inside]]))
 
     def state(self) -> bytes:
         return pickle.dumps((self.vectors, self.degree, self.beam, self.far, self.margin, self.layers, self.entry))
@@ -99,6 +118,7 @@ class Graph:
     def restored(state: bytes) -> Graph:
         graph = object.__new__(Graph)
         graph.vectors, graph.degree, graph.beam, graph.far, graph.margin, graph.layers, graph.entry = pickle.loads(state)
+        graph._reverse()
         return graph
 
     def _descend(self, queries: np.ndarray, layer: int) -> np.ndarray:
@@ -186,7 +206,7 @@ class Graph:
         beam of a first search is widened without a fixed width: as long as it has nodes down to the threshold less the
         margin, their neighbours are looked at, so a group of any size is walked through once.
         """
-        links, seen = self.layers[0], np.zeros(len(self.vectors), bool)
+        seen = np.zeros(len(self.vectors), bool)
         beam = min(self.far if own is None else self.beam, len(self.vectors))
         for a in range(0, len(queries), BATCH):
             part = queries[a : a + BATCH]
@@ -200,8 +220,7 @@ class Graph:
                 hits, met = [nodes[k][scores[k] >= threshold]], [nodes[k][nodes[k] >= 0]]
                 seen[met[0]] = True
                 while len(ahead):
-                    new = np.unique(links[ahead])
-                    new = new[new >= 0]
+                    new = self._around(ahead)
                     new = new[~seen[new]]
                     seen[new] = True
                     met.append(new)
