@@ -114,16 +114,28 @@ def stacking(df: DataFrame, names: list[str], folds: int = 3, overrides: dict[st
 
 
 def compare_models(
-    train_rows: DataFrame, test_rows: DataFrame, names: list[str], overrides: dict[str, dict] | None = None, sampler: str = "weights", row_id: str = "event_id", seed: int = 42
+    train_rows: DataFrame,
+    test_rows: DataFrame,
+    names: list[str],
+    overrides: dict[str, dict] | None = None,
+    sampler: str = "weights",
+    row_id: str = "event_id",
+    seed: int = 42,
+    trained: dict[str, Trained] | None = None,
 ) -> tuple[DataFrame, dict[str, Trained]]:
-    """(leaderboard, trained models): each model is fitted once on shared preprocessing and scored on the test rows."""
-    fitted = Preprocessor().fit(train_rows)
-    rows, models = [], {}
+    """(leaderboard, trained models): each model is fitted once on shared preprocessing and scored on the test rows.
+
+    Models in ``trained`` are compared as they are.
+    """
+    models = dict(trained or {})
+    missing = [n for n in names if n not in models]
+    fitted = Preprocessor().fit(train_rows) if missing else None
+    for name in missing:
+        models[name] = train(train_rows, name, sampler, (overrides or {}).get(name), fitted, row_id, seed)
+    rows = []
     for name in names:
-        trained = train(train_rows, name, sampler, (overrides or {}).get(name), fitted, row_id, seed)
-        bundle = assess(trained, test_rows)
-        models[name] = trained
-        rows.append((name, *[float(bundle[m]) for m in BASIC_METRICS], trained.seconds))
+        bundle = assess(models[name], test_rows)
+        rows.append((name, *[float(bundle[m]) for m in BASIC_METRICS], models[name].seconds))
     schema = "model string, " + ", ".join(f"{m} double" for m in BASIC_METRICS) + ", seconds double"
     return leaderboard(train_rows.sparkSession.createDataFrame(rows, schema)), models
 

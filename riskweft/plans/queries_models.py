@@ -9,7 +9,7 @@ from riskweft.functions.features import create_features
 from riskweft.operators import ensembles, explain, metrics, scoring, selection, splits, tuning
 from riskweft.operators.models import model_names
 from riskweft.operators.preprocess import Preprocessor
-from riskweft.operators.training import assess, train
+from riskweft.operators.training import Trained, assess, train
 from riskweft.plans import jobs
 from riskweft.plans.queries_profile import describe_sql, union
 from riskweft.plans.queries_splits import KEYED
@@ -20,18 +20,8 @@ from riskweft.session import scratch_path
 from riskweft.sources import artifacts, writers
 from riskweft.sources.transactions import transactions
 
-# Smaller than the defaults, so that one run of all queries stays short on one machine.
-QUICK = {
-    "random_forest": {"n_estimators": 10, "max_depth": 6},
-    "gradient_boosting": {"n_estimators": 8},
-    "xgboost": {"n_estimators": 8, "max_depth": 4},
-    "lightgbm": {"n_estimators": 8, "num_leaves": 15},
-    "catboost": {"n_estimators": 8, "max_depth": 4},
-    "adaboost": {"n_estimators": 6},
-    "mlp": {"hidden_layer_sizes": (12, 6), "max_iter": 40},
-    "logistic": {"max_iter": 100},
-    "decision_tree": {"max_depth": 8},
-}
+#: Fits of this session by application, folder and model: queries that need the same model share one.
+_FITS: dict[tuple[str, str, str], Trained] = {}
 
 
 def _parts(spark, sf):
@@ -39,12 +29,22 @@ def _parts(spark, sf):
     return splits.split_parts(splits.fractional_split(df))
 
 
+def fitted_model(spark, sf, name: str) -> Trained:
+    """The model with its default settings on the first 60 % of the hours."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _FITS:
+        first, _, _ = _parts(spark, sf)
+        prepared = next((t.preprocessor for (app, folder, _), t in _FITS.items() if (app, folder) == key[:2]), None)
+        _FITS[key] = train(first, name, "weights", preprocessor=prepared)
+    return _FITS[key]
+
+
 def _one_model(name: str):
-    """Train on the first 60 % of the hours, score every row of the last 20 %."""
+    """Score every row of the last 20 % of the hours."""
 
     def run(spark, sf):
-        first, _, last = _parts(spark, sf)
-        trained = train(first, name, "weights", QUICK.get(name))
+        _, _, last = _parts(spark, sf)
+        trained = fitted_model(spark, sf, name)
         return scoring.score_batch(last.select("event_id", *REQUIRED_COLUMNS), trained).select(
             "event_id", "isFraud", "predicted_fraud", "fraud_probability", "is_fraud"
         )
@@ -107,12 +107,11 @@ def _(spark, sf):
 
 @query("k17_k18_registry_scores")
 def _(spark, sf):
-    """(model, rows, mean probability) on the test rows for the fast half of the registry."""
-    first, _, last = _parts(spark, sf)
-    fitted = Preprocessor().fit(first)
+    """(model, rows, mean probability) on the test rows for every model of the registry."""
+    _, _, last = _parts(spark, sf)
     table = None
-    for name in [n for n in model_names() if n in ("logistic", "decision_tree", "naive_bayes")]:
-        scored = train(first, name, "weights", QUICK.get(name), fitted).score(last)
+    for name in model_names():
+        scored = fitted_model(spark, sf, name).score(last)
         row = scored.agg(F.lit(name).alias("model"), F.count("score").alias("rows"), F.avg("score").alias("mean_score"))
         table = row if table is None else table.unionByName(row)
     return table
@@ -141,34 +140,35 @@ def _(spark, sf):
 @query("k22_cross_validated_score")
 def _(spark, sf):
     first, _, _ = _parts(spark, sf)
-    scores = tuning.cross_validate(first, "logistic", QUICK["logistic"], folds=3)
+    scores = tuning.cross_validate(first, "logistic", None, folds=5)
     return spark.createDataFrame([(i, float(s)) for i, s in enumerate(scores)], "fold int, roc_auc double")
 
 
 @query("k23_soft_vote")
 def _(spark, sf):
-    first, _, last = _parts(spark, sf)
-    fitted = Preprocessor().fit(first)
-    members = [train(first, n, "weights", QUICK.get(n), fitted) for n in ("logistic", "decision_tree", "naive_bayes")]
+    """The three models with the largest area under the precision-recall curve on the test rows."""
+    _, _, last = _parts(spark, sf)
+    ranked = _leaderboard(spark, sf).orderBy(F.desc("pr_auc"), "model").limit(3).collect()
+    members = [fitted_model(spark, sf, r["model"]) for r in ranked]
     return ensembles.soft_vote(members, last).select("event_id", "isFraud", "score")
 
 
 @query("k24_bagging")
 def _(spark, sf):
     first, _, last = _parts(spark, sf)
-    return ensembles.bagging(first, "decision_tree", members=4, overrides=QUICK["decision_tree"]).score(last).select("event_id", "isFraud", "score")
+    return ensembles.bagging(first, "decision_tree", members=10).score(last).select("event_id", "isFraud", "score")
 
 
 @query("k25_stacking")
 def _(spark, sf):
     first, _, last = _parts(spark, sf)
-    stacked = ensembles.stacking(first, ["logistic", "decision_tree"], folds=3, overrides=QUICK)
+    stacked = ensembles.stacking(first, ["logistic", "decision_tree"], folds=5)
     return stacked.score(last).select("event_id", "isFraud", "score")
 
 
-def _leaderboard(spark, sf, names=("logistic", "decision_tree", "naive_bayes", "xgboost")):
+def _leaderboard(spark, sf):
     first, _, last = _parts(spark, sf)
-    return ensembles.compare_models(first, last, list(names), QUICK)[0]
+    return ensembles.compare_models(first, last, model_names(), trained={n: fitted_model(spark, sf, n) for n in model_names()})[0]
 
 
 @query("k26_f7_leaderboard")
@@ -178,20 +178,19 @@ def _(spark, sf):
 
 @query("f6_best_models")
 def _(spark, sf):
-    return ensembles.best_models(_leaderboard(spark, sf, ("decision_tree", "naive_bayes")))
+    return ensembles.best_models(_leaderboard(spark, sf))
 
 
 @query("f5_top_importances")
 def _(spark, sf):
-    first, _, _ = _parts(spark, sf)
-    return explain.feature_importances(train(first, "random_forest", "weights", QUICK["random_forest"]), spark, 5)
+    return explain.feature_importances(fitted_model(spark, sf, "random_forest"), spark, 5)
 
 
 @query("i6_resampled_training")
 def _(spark, sf):
     """Rebalancing acts on the training rows only: scores of the untouched test rows."""
     first, _, last = _parts(spark, sf)
-    return train(first, "logistic", "smote", QUICK["logistic"]).score(last).select("event_id", "isFraud", "score")
+    return train(first, "logistic", "smote").score(last).select("event_id", "isFraud", "score")
 
 
 # ---- artefacts -------------------------------------------------------------------------------------------------------
@@ -199,22 +198,21 @@ def _(spark, sf):
 
 @query("a13_saved_model_scores")
 def _(spark, sf):
-    first, _, last = _parts(spark, sf)
-    path = artifacts.save_model(train(first, "decision_tree", "weights", QUICK["decision_tree"]), scratch_path(spark, "model"), spark)
+    _, _, last = _parts(spark, sf)
+    path = artifacts.save_model(fitted_model(spark, sf, "decision_tree"), scratch_path(spark, "model"), spark)
     return artifacts.load_model(path, spark).score(last).select("event_id", "score")
 
 
 @query("a14_model_metadata")
 def _(spark, sf):
     path = scratch_path(spark, "model")
-    jobs.train_job(transactions(spark, sf).select("event_id", *REQUIRED_COLUMNS), "decision_tree", overrides=QUICK["decision_tree"], path=path)
+    jobs.train_job(transactions(spark, sf).select("event_id", *REQUIRED_COLUMNS), "decision_tree", path=path)
     return artifacts.load_metadata(path, spark).drop("saved_at")
 
 
 @query("a15_model_info")
 def _(spark, sf):
-    first, _, _ = _parts(spark, sf)
-    return artifacts.model_info_table(train(first, "decision_tree", "weights", QUICK["decision_tree"]), spark)
+    return artifacts.model_info_table(fitted_model(spark, sf, "decision_tree"), spark)
 
 
 @query(
@@ -250,14 +248,14 @@ def _(spark, sf):
 
 @query("n1_batch_scores")
 def _(spark, sf):
-    first, _, last = _parts(spark, sf)
-    return scoring.score_batch(last, train(first, "xgboost", "weights", QUICK["xgboost"]))
+    _, _, last = _parts(spark, sf)
+    return scoring.score_batch(last, fitted_model(spark, sf, "xgboost"))
 
 
 @query("n2_batch_scores_at_threshold")
 def _(spark, sf):
-    first, middle, last = _parts(spark, sf)
-    trained = train(first, "decision_tree", "weights", QUICK["decision_tree"])
+    _, middle, last = _parts(spark, sf)
+    trained = fitted_model(spark, sf, "decision_tree")
     tuned = metrics.threshold_for_recall(metrics.score_runs(trained.score(middle))).first()[0]
     return scoring.score_batch(last, trained, tuned).select("event_id", "fraud_probability", "is_fraud")
 
@@ -294,8 +292,8 @@ def _(spark, sf):
 
 @query("n5_both_probabilities")
 def _(spark, sf):
-    first, _, last = _parts(spark, sf)
-    return scoring.score_both_classes(last, train(first, "logistic", "weights", QUICK["logistic"]))
+    _, _, last = _parts(spark, sf)
+    return scoring.score_both_classes(last, fitted_model(spark, sf, "logistic"))
 
 
 @query(
@@ -324,22 +322,21 @@ def _(spark, sf):
 
 @query("n7_importances")
 def _(spark, sf):
-    first, _, _ = _parts(spark, sf)
-    return explain.feature_importances(train(first, "xgboost", "weights", QUICK["xgboost"]), spark, 20)
+    return explain.feature_importances(fitted_model(spark, sf, "xgboost"), spark, 20)
 
 
 @query("n8_shapley_summary")
 def _(spark, sf):
-    first, _, last = _parts(spark, sf)
-    trained = train(first, "decision_tree", "weights", QUICK["decision_tree"])
-    return explain.shapley_summary(explain.shapley_values(trained, last, sample_rows=200, permutations=2))
+    _, _, last = _parts(spark, sf)
+    trained = fitted_model(spark, sf, "decision_tree")
+    return explain.shapley_summary(explain.shapley_values(trained, last))
 
 
 @query("n8_linear_contributions")
 def _(spark, sf):
-    first, _, last = _parts(spark, sf)
+    _, _, last = _parts(spark, sf)
     return explain.shapley_summary(
-        explain.linear_contributions(train(first, "logistic", "weights", QUICK["logistic"]), last).withColumnRenamed("contribution", "value")
+        explain.linear_contributions(fitted_model(spark, sf, "logistic"), last).withColumnRenamed("contribution", "value")
     )
 
 
@@ -357,9 +354,9 @@ def _(spark, sf):
 @query("k18_quality_over_baseline")
 def _(spark, sf):
     """Areas of the boosted trees and of the logistic baseline on the same test rows."""
-    first, _, last = _parts(spark, sf)
+    _, _, last = _parts(spark, sf)
     rows = []
     for name in ("logistic", "xgboost"):
-        bundle = assess(train(first, name, "weights", QUICK[name]), last)
+        bundle = assess(fitted_model(spark, sf, name), last)
         rows.append((name, float(bundle["roc_auc"]), float(bundle["pr_auc"])))
     return spark.createDataFrame(rows, "model string, roc_auc double, pr_auc double")

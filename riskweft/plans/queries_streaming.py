@@ -6,13 +6,11 @@ from pyspark.sql import functions as F
 
 from riskweft.functions.exprs import round_doubles
 from riskweft.operators.scoring import response_records
-from riskweft.operators.splits import fractional_split, split_parts
-from riskweft.operators.training import train
-from riskweft.plans.queries_models import QUICK, RESPONSE_SQL
+from riskweft.plans.queries_models import RESPONSE_SQL, fitted_model
 from riskweft.plans.queries_sources import DUCK_CASTS
 from riskweft.plans.queries_validation import REQUEST_ERROR_SQL
 from riskweft.plans.registry import query
-from riskweft.schema import MONEY_COLUMNS, REQUIRED_COLUMNS
+from riskweft.schema import MONEY_COLUMNS
 from riskweft.session import scratch_path
 from riskweft.sources.transactions import derive_text, derive_transactions, read_table, transactions
 from riskweft.streaming import aggregates, drift, runner, scoring
@@ -59,8 +57,7 @@ def _validated(spark, sf):
 def _(spark, sf):
     from riskweft.operators.scoring import score_requests
 
-    history, _, _ = split_parts(fractional_split(transactions(spark, sf).select("event_id", *REQUIRED_COLUMNS)))
-    trained = train(history, "decision_tree", "weights", QUICK["decision_tree"])
+    trained = fitted_model(spark, sf, "decision_tree")
     out, bad = scratch_path(spark, "scored"), scratch_path(spark, "rejected")
     runner.run_to_end(derive_text(spark, events_stream(spark, sf)), scoring.scoring_handler(trained, out, bad), scratch_path(spark, "checkpoint"))
     schema = score_requests(derive_text(spark, read_table(spark, sf, "events")), trained)[0].schema
