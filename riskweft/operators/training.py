@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import time
 from dataclasses import dataclass, field
 
@@ -59,10 +60,16 @@ def training_frame(
     return frame, None
 
 
-def spread(frame: DataFrame, row_id: str) -> DataFrame:
-    """Even partitions for the many passes of a fit, whatever the layout of the input and of the synthetic rows."""
-    spark = frame.sparkSession
-    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+# Rows of a partition in training, on average, where the table has enough of them.
+PART_ROWS = 500_000
+
+
+def spread(frame: DataFrame, row_id: str, rows: int) -> DataFrame:
+    """Even partitions for the many passes of a fit, whatever the layout of the input and of the synthetic rows.
+
+    Their number follows ``rows``, those of the table before rebalancing, which at most doubles it.
+    """
+    parts = max(frame.sparkSession.sparkContext.defaultParallelism, math.ceil(2 * rows / PART_ROWS))
     keys = [row_id] + (["copy"] if "copy" in frame.columns else [])
     return frame.repartition(parts, *keys)
 
@@ -81,7 +88,7 @@ def train(
     preprocessor = preprocessor or Preprocessor()
     fitted = preprocessor if isinstance(preprocessor, PreprocessorModel) else preprocessor.fit(df)
     frame, weight = training_frame(df, fitted, name, sampler, overrides, row_id, seed)
-    frame = spread(frame, row_id).persist()
+    frame = spread(frame, row_id, df.count()).persist()
     total = frame.agg(F.sum(weight) if weight else F.count(F.lit(1))).first()[0]
     estimator = build_classifier(name, overrides, len(fitted.feature_names()), weight, seed, row_id, float(total or 1))
     model = estimator.fit(frame)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskweft.operators.metrics import ranking_areas, score_runs
-from riskweft.operators.preprocess import Preprocessor
+from riskweft.operators.preprocess import Preprocessor, PreprocessorModel
 from riskweft.operators.splits import stratified_folds
 from riskweft.operators.training import train
 
@@ -79,6 +79,10 @@ def sample_grid(name: str, trials: int, seed: int = 42) -> list[dict]:
     return everything if len(everything) <= trials else random.Random(seed).sample(everything, trials)
 
 
+def _without_fold() -> Preprocessor:
+    return Preprocessor(excludedCols=[*Preprocessor().getOrDefault("excludedCols"), "fold"])
+
+
 def cross_validate(
     df: DataFrame,
     name: str,
@@ -89,15 +93,19 @@ def cross_validate(
     preprocessor: Preprocessor | None = None,
     row_id: str = "event_id",
     seed: int = 42,
+    prepared: list[PreprocessorModel] | None = None,
 ) -> list[float]:
-    """Score of each held-out fold; preprocessing and rebalancing are fitted on the other folds."""
+    """Score of each held-out fold; preprocessing and rebalancing are fitted on the other folds.
+
+    ``prepared`` holds the preprocessing of each fold where it is fitted already.
+    """
     if scoring not in SCORINGS:
         raise ValueError(f"unknown scoring {scoring!r}, choose one of {SCORINGS}")
     folded = df if "fold" in df.columns else stratified_folds(df, folds, row_id=row_id, seed=seed)
-    prepared = preprocessor or Preprocessor(excludedCols=[*Preprocessor().getOrDefault("excludedCols"), "fold"])
     scores = []
     for fold in range(folds):
-        fitted = train(folded.filter(F.col("fold") != fold), name, sampler, overrides, prepared, row_id, seed)
+        one = prepared[fold] if prepared else preprocessor or _without_fold()
+        fitted = train(folded.filter(F.col("fold") != fold), name, sampler, overrides, one, row_id, seed)
         held_out = fitted.score(folded.filter(F.col("fold") == fold).drop("score"))
         scores.append(ranking_areas(score_runs(held_out)).first()[scoring])
     return scores
@@ -114,15 +122,22 @@ def search(
     row_id: str = "event_id",
     seed: int = 42,
 ) -> tuple[dict, DataFrame]:
-    """(best candidate, table of candidates with their mean score); a few candidates are fitted side by side."""
-    folded = stratified_folds(df, folds, row_id=row_id, seed=seed)
-
-    def score(candidate: dict) -> float:
-        values = cross_validate(folded, name, candidate, folds, scoring, sampler, row_id=row_id, seed=seed)
-        return sum(values) / len(values)
-
-    with ThreadPoolExecutor(parallelism) as pool:
-        means = list(pool.map(score, candidates))
+    """(best candidate, table of candidates with their mean score); a few candidates are fitted side by side.
+
+    The folds are kept and preprocessed once; candidates differ in the classifier alone.
+    """
+    folded = stratified_folds(df, folds, row_id=row_id, seed=seed).persist()
+    try:
+        prepared = [_without_fold().fit(folded.filter(F.col("fold") != fold)) for fold in range(folds)]
+
+        def score(candidate: dict) -> float:
+            values = cross_validate(folded, name, candidate, folds, scoring, sampler, row_id=row_id, seed=seed, prepared=prepared)
+            return sum(values) / len(values)
+
+        with ThreadPoolExecutor(parallelism) as pool:
+            means = list(pool.map(score, candidates))
+    finally:
+        folded.unpersist()
     best = max(range(len(candidates)), key=lambda i: means[i])
     rows = [(i, name, str(sorted(c.items())), float(m), int(i == best)) for i, (c, m) in enumerate(zip(candidates, means))]
     table = df.sparkSession.createDataFrame(rows, "trial int, model string, parameters string, mean_score double, is_best int")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweft.operators import metrics, quality_report, splits
+from riskweft.operators import metrics, quality_report, splits, tuning
 from riskweft.operators.explain import feature_importances
 from riskweft.operators.scoring import score_requests
 from riskweft.operators.training import Trained, train
@@ -25,12 +25,15 @@ def train_job(
     path: str | None = None,
     row_id: str = "event_id",
     rejected: str | None = None,
+    tune_hyperparameters: bool = False,
+    n_trials: int = 20,
 ) -> tuple[Trained, DataFrame]:
     """Cast, check, split in time, fit, tune the threshold on the middle part and measure on the last.
 
     Returns the trained model and the scored test rows. Sizes default to 60 % and 20 % of the rows. Rows whose label is missing
     or no number leave before the split; with ``rejected`` they are written there with the reason. If no row has a label, it
-    is an error.
+    is an error. With ``tune_hyperparameters`` the first part is searched for the best of ``n_trials`` settings before the fit;
+    ``overrides`` go first.
     """
     cast = require_columns(cast_schema(df.drop("score")))
     typed = cast.filter(F.col(LABEL).isNotNull())
@@ -44,6 +47,9 @@ def train_job(
     else:
         parted = splits.temporal_split(typed, train_size, eval_size, tie=row_id)
     first, middle, last = splits.split_parts(parted)
+    if tune_hyperparameters:
+        best, _ = tuning.tune(first, name, n_trials, sampler=sampler, row_id=row_id)
+        overrides = {**best, **(overrides or {})}
     trained = train(first, name, sampler, overrides, row_id=row_id)
     tuned = metrics.threshold_for_recall(metrics.score_runs(trained.score(middle)), target_recall).first()[0]
     scored = trained.score(last)
