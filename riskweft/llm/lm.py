@@ -116,7 +116,18 @@ class Vocabulary:
     @staticmethod
     def of(counts: DataFrame) -> Vocabulary:
         shapes = {r["shape"]: (r["n"], r["v"]) for r in counts.groupBy("shape").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect()}
-        top = counts.orderBy(F.desc(F.col("code") == signed(END_CODE)), F.desc("n"), "code").limit(COUNTED).collect()
+        # Words by steps of their frequency, a few hundred at most; the highest steps that hold COUNTED words or fewer are read.
+        step = F.floor(F.log2("n") * 16)
+        sizes = {r["step"]: r["v"] for r in counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("v")).collect()}
+        held, lowest = 0, math.inf
+        for s in sorted(sizes, reverse=True):
+            held += sizes[s]
+            if held > COUNTED:
+                break
+            lowest = s
+        some = (F.col("code") == signed(END_CODE)) | (step >= F.lit(float(lowest)))
+        top = counts.filter(some).select("code", "shape", "n").toArrow().to_pylist()
+        top.sort(key=lambda r: (r["code"] != signed(END_CODE), -r["n"], r["code"]))
         tokens_of, words_of = np.zeros(OUTPUTS), np.zeros(OUTPUTS)
         for s, (n, v) in shapes.items():
             tokens_of[VOCABULARY + s], words_of[VOCABULARY + s] = n, v
