@@ -7,7 +7,11 @@ other lines of the leaf are, so no order of arrival and no list of groups is nee
 own. Shorter lines have one template, their masked words.
 
 A template recurs if lines of two documents have it. Its lines are dropped from all documents but the one with the smallest id.
-Lines of fewer than ``MIN_WORDS`` words stay.
+
+Lines of fewer than ``MIN_WORDS`` words (headings, buttons, whole sentences of scripts without spaces) have one template, their
+characters with each run of digits as a wildcard, or just as they are if nothing but digits and signs is in them. What is done
+with them is up to the caller (``SHORT``): they stay, which is operator 10 as its SQL has it; they go like other lines; or they
+go only where nothing else of the document is left, so that a copy leaves no stub of them.
 
 Templates are 64-bit hashes and are decided like the windows of the substring dedup (``firsts``): a template that every
 document has leaves a task once for each flush. Documents are joined with the answers by id.
@@ -21,6 +25,7 @@ replace columns of the same name.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +38,8 @@ from riskweft.llm.firsts import flagged, repeats
 
 LEADING = 2
 MIN_WORDS = 3
+#: What becomes of recurring lines of fewer than ``MIN_WORDS`` words.
+SHORT = ("stay", "go", "no stub")
 GENERAL_WORDS = 8
 QUARTERS = 4
 WILDCARD = b"<*>"
@@ -41,14 +48,19 @@ BUCKET_TEMPLATES = 1_000_000
 BYTES_PER_TEMPLATE = 64
 
 _DIGITS = bytes(range(0x30, 0x3A))
+_RUN = re.compile(rb"[0-9]+")
+_NAMED = re.compile(rb"[A-Za-z\x80-\xff]")
 
 
-def templates(line: bytes) -> list[bytes]:
+def templates(line: bytes, short: bool = False) -> list[bytes]:
     """The paths of a line's templates in the tree: number of words, leading words, the rest with wildcards."""
     words = line.split()
     n = len(words)
     if n < MIN_WORDS:
-        return []
+        if not n or not short:
+            return []
+        whole = b" ".join(words)
+        return [b"%d " % n + (_RUN.sub(WILDCARD, whole) if _NAMED.search(whole) else whole)]
     if len(line.translate(None, _DIGITS)) < len(line):
         words = [w if len(w.translate(None, _DIGITS)) == len(w) else WILDCARD for w in words]
     if n < GENERAL_WORDS:
@@ -58,25 +70,36 @@ def templates(line: bytes) -> list[bytes]:
     return [b"%d %d " % (n, j) + b"\n".join([*parts[: j + 1], *parts[j + 2 :]]) for j in range(QUARTERS)]
 
 
-def _hash_lines(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+def _hash_lines(text: bytes, short: bool) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all lines' templates, and the line of each."""
     hashes, owner = [], []
     for no, line in enumerate(text.split(b"\n")):
-        own = templates(line)
+        own = templates(line, short)
         hashes += [xxhash.xxh64_intdigest(t) for t in own]
         owner += [no] * len(own)
     return np.array(hashes, np.uint64), np.array(owner, np.int64)
 
 
-def _hasher():
+def _hasher(short: bool):
     def run(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-        hashes, _ = _hash_lines(text)
+        hashes, _ = _hash_lines(text, short)
         return hashes, hashes
 
-    return run
+    return lambda: run
+
+
+def _without_stub(lines: list[bytes], gone: set[int]) -> set[int]:
+    """The lines to drop if short ones may stay: all that recur if nothing else is left, else those that are not short."""
+    if any(no not in gone and line.split() for no, line in enumerate(lines)):
+        return {no for no in gone if len(lines[no].split()) >= MIN_WORDS}
+    return gone
+
+
+def _drop(short: str):
+    return lambda batches: _dropped(batches, short)
 
 
-def _drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _dropped(batches: Iterator[pa.RecordBatch], short: str) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts, lines, removed = [], [], []
         for text, answers in zip(batch.column("__text"), batch.column("__answers")):
@@ -84,8 +107,10 @@ def _drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n = data.count(b"\n") + 1 if data is not None else 0
             gone: set[int] = set()
             if data is not None and answers.is_valid:
-                hashes, owner = _hash_lines(data)
+                hashes, owner = _hash_lines(data, short != "stay")
                 gone = set(owner[flagged(hashes, answers.as_py())].tolist())
+                if gone and short == "no stub":
+                    gone = _without_stub(data.split(b"\n"), gone)
                 if gone:
                     data = b"\n".join([line for no, line in enumerate(data.split(b"\n")) if no not in gone])
             texts.append(data)
@@ -98,18 +123,20 @@ def _drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def dedup_lines(documents: DataFrame, bucket_templates: int = BUCKET_TEMPLATES) -> DataFrame:
+def dedup_lines(documents: DataFrame, bucket_templates: int = BUCKET_TEMPLATES, short: str = "stay") -> DataFrame:
     """The documents with dropped lines cut from the text, n_chars brought up to date, n_lines (before) and n_removed."""
+    if short not in SHORT:
+        raise ValueError(f"unknown treatment of short lines {short!r}, choose one of {SHORT}")
     columns = [c for c in documents.columns if c not in ("n_lines", "n_removed")]
     source = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     size = source.agg(F.sum(F.length("text"))).first()[0] or 0
-    answers = repeats(source, _hasher, max(1, math.ceil(size / BYTES_PER_TEMPLATE / bucket_templates)))
+    answers = repeats(source, _hasher(short != "stay"), max(1, math.ceil(size / BYTES_PER_TEMPLATE / bucket_templates)))
     answers = answers.select(F.col("doc_id").alias("__id"), F.col("answers").alias("__answers"))
     rest = [c for c in columns if c != "text"]
     held = documents.select(*[F.col(f"`{c}`") for c in rest], F.col("text").cast("binary").alias("__text"))
     joined = held.join(answers, F.col("doc_id").cast("long") == F.col("__id"), "left").drop("__id")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in held.schema)
-    out = joined.mapInArrow(_drop, f"{fields}, n_lines bigint, n_removed bigint")
+    out = joined.mapInArrow(_drop(short), f"{fields}, n_lines bigint, n_removed bigint")
     out = out.withColumn("text", F.col("__text").cast("string"))
     if "n_chars" in columns:
         out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(documents.schema["n_chars"].dataType))

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 
+import corpus_pipeline
 from riskweft.llm import components, embeddings, lines, minhash, queries
 from tests.llm import helpers as H
 
@@ -88,6 +89,23 @@ def test_line_dedup_equals_plain_version(spark, sf):
     assert H.ordered(queries.QUERIES["op10_line_dedup"](spark, sf).collect()) == H.ordered(H.line_dedup(table))
 
 
+def test_line_dedup_of_short_lines(spark):
+    rows = [
+        (1, "Read more\nthis is the first text\n第3章\n今天天气很好我们去公园\n42"),
+        (2, "Read more\nthis is the first text\n\n第3章"),
+        (3, "Read  more\nanother text of its own\n第12章\n今天天气很好我们去公园\n43"),
+        (4, "this is the first text\nShare"),
+        (5, "Read more"),
+        (6, "\n \n"),
+    ]
+    df = H.docs_frame(spark, rows).repartition(3)
+    gone = {r["doc_id"]: (r["text"], r["n_removed"]) for r in lines.dedup_lines(df, short="go").collect()}
+    assert gone[1] == (rows[0][1], 0) and gone[3] == ("another text of its own\n43", 3)
+    assert gone[2] == ("", 3) and gone[4] == ("Share", 1) and gone[5] == ("", 1) and gone[6] == (rows[5][1], 0)
+    left = {r["doc_id"]: r["text"] for r in corpus_pipeline.drop_lines(spark, df, "").collect()}
+    assert left == {1: rows[0][1], 3: rows[2][1], 4: "Share", 6: rows[5][1]}
+
+
 def vectors(rng, groups):
     rows, number = [], 0
     for label, size, spread in groups:
