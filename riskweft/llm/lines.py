@@ -1,4 +1,4 @@
-"""Line dedup by a log-template tree.
+"""Line dedup by fixed template keys, in place of a log-template tree that learns its templates (README, Decisions).
 
 A line is parsed at fixed depth: first by its number of words, then by its leading words. Words with a digit are variable and
 become a wildcard. Below that, a line of at least ``GENERAL_WORDS`` words stands for four templates, each with another quarter
