@@ -91,7 +91,7 @@ def _(spark, sf):
 def _(spark, sf):
     df = create_features(transactions(spark, sf).select("event_id", *REQUIRED_COLUMNS))
     names = [c for c, t in df.dtypes if t != "string" and c not in ("event_id", "isFraud", "isFlaggedFraud", "step")]
-    kept, dropped = selection.eliminate_features(df, names, "isFraud", k=len(names) - 6, step=3, trees=8, depth=5)
+    kept, dropped = selection.eliminate_features(df, names, "isFraud")
     rows = [(c, 0) for c in kept] + dropped
     return spark.createDataFrame(rows, "feature string, dropped_in_round int")
 
@@ -120,14 +120,18 @@ def _(spark, sf):
 @query("k19_tuned_model")
 def _(spark, sf):
     first, _, _ = _parts(spark, sf)
-    space = {**tuning.SEARCH_SPACES["xgboost"], "n_estimators": ("int", 2, 4), "max_depth": ("int", 2, 3)}
-    return tuning.search(first, "xgboost", tuning.draw(space, 2), folds=2)[1]
+    return tuning.tune(first, "xgboost")[1]
 
 
 @query("k20_randomised_search")
 def _(spark, sf):
+    """Candidates of the three models with the largest area under the precision-recall curve on the test rows."""
     first, _, _ = _parts(spark, sf)
-    return tuning.randomised_search(first, "logistic", trials=2, folds=2)[1]
+    table = None
+    for name in _best_three(spark, sf):
+        one = tuning.randomised_search(first, name)[1]
+        table = one if table is None else table.unionByName(one)
+    return table
 
 
 @query("k21_grids", union([f"SELECT '{m}' AS model, CAST({len(tuning.grid(m))} AS BIGINT) AS candidates, count(*) AS training_rows FROM txn" for m in tuning.GRIDS]))
@@ -148,8 +152,7 @@ def _(spark, sf):
 def _(spark, sf):
     """The three models with the largest area under the precision-recall curve on the test rows."""
     _, _, last = _parts(spark, sf)
-    ranked = _leaderboard(spark, sf).orderBy(F.desc("pr_auc"), "model").limit(3).collect()
-    members = [fitted_model(spark, sf, r["model"]) for r in ranked]
+    members = [fitted_model(spark, sf, name) for name in _best_three(spark, sf)]
     return ensembles.soft_vote(members, last).select("event_id", "isFraud", "score")
 
 
@@ -171,6 +174,10 @@ def _leaderboard(spark, sf):
     return ensembles.compare_models(first, last, model_names(), trained={n: fitted_model(spark, sf, n) for n in model_names()})[0]
 
 
+def _best_three(spark, sf) -> list[str]:
+    return [r["model"] for r in _leaderboard(spark, sf).orderBy(F.desc("pr_auc"), "model").limit(3).collect()]
+
+
 @query("k26_f7_leaderboard")
 def _(spark, sf):
     return _leaderboard(spark, sf).drop("seconds")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from riskweft.operators import explain, knn, models, preprocess, resample, selection, tuning
 from riskweft.operators.training import train
-from riskweft.plans import jobs
+from riskweft.plans import catalog, jobs, queries_models
 from riskweft.schema import REQUIRED_COLUMNS
 from riskweft.sources import artifacts
 from riskweft.sources.transactions import transactions
@@ -123,6 +123,33 @@ def test_search_candidates():
     assert len(tuning.grid("random_forest")) == len(list(product([1] * 3, [1] * 3, [1] * 2)))
 
 
+def test_registered_searches_run_the_defaults(spark, monkeypatch):
+    calls, sf = [], "/root/testdata/sf0.001"
+    table = spark.createDataFrame([(0, "m", "p", 0.5, 1)], "trial int, model string, parameters string, mean_score double, is_best int")
+
+    def search(df, name, candidates, folds, scoring, **kw):
+        calls.append((name, candidates, folds, scoring, kw))
+        return candidates[0], table
+
+    def eliminate(df, columns, label, **kw):
+        calls.append((len(columns), kw))
+        return columns, []
+
+    board = spark.createDataFrame([(n, float(i)) for i, n in enumerate(["svm", "knn", "logistic", "mlp", "xgboost"])], "model string, pr_auc double")
+    monkeypatch.setattr(tuning, "search", search)
+    monkeypatch.setattr(selection, "eliminate_features", eliminate)
+    monkeypatch.setattr(queries_models, "_leaderboard", lambda spark, sf: board)
+    registered = catalog.queries()
+    registered["k19_tuned_model"](spark, sf)
+    assert calls == [("xgboost", tuning.draw(tuning.SEARCH_SPACES["xgboost"], 20), 5, "roc_auc", {})]
+    calls.clear()
+    assert registered["k20_randomised_search"](spark, sf).count() == 3
+    assert calls == [(n, tuning.sample_grid(n, 20), 3, "pr_auc", {}) for n in ("xgboost", "mlp", "logistic")]
+    calls.clear()
+    registered["k2_recursive_elimination"](spark, sf)
+    assert calls[0][0] > selection.DEFAULT_FEATURES and not calls[0][1]
+
+
 def test_train_job_saves_scores_and_explains(spark, tmp_path):
     # The smallest tables have no positives in the last hours.
     table = transactions(spark, "/root/testdata/sf0.01").select("event_id", *REQUIRED_COLUMNS)
