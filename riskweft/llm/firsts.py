@@ -6,19 +6,25 @@ task once for each flush, not once for each document. Open hashes are dealt to b
 arrays; a bucket sorts its hashes and answers those that a smaller document has elsewhere. The number of buckets is up to the
 caller and has to follow the input.
 
+Where hashes share the number by which they are dealt, one number can have too many of them for a bucket: all windows around a
+phrase that stands in many documents. Such numbers are counted first, over all documents, and their hashes are dealt to as many
+parts as needed by the hash itself, so equal hashes still meet. The count only says where hashes meet; the answers are the same
+whatever it finds.
+
 Documents without id or text are left out. Rows that share an id don't count against one another.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskweft.llm.common import spans_of
+from riskweft.llm.common import mixed, spans_of
 
 FLUSH_BYTES = 6 << 20
 #: Makes, in a task, the function that gives the hashes of a text, and for each hash the number by which it is dealt to a bucket.
@@ -26,6 +32,7 @@ FLUSH_BYTES = 6 << 20
 Hasher = Callable[[], Callable[[bytes], tuple[np.ndarray, np.ndarray]]]
 
 _RUNS, _HASHES = 0, 1
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _planes(numbers: np.ndarray) -> bytes:
@@ -52,7 +59,58 @@ def _flushes(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, byte
         yield held
 
 
-def _open_hashes(hasher: Hasher, buckets: int):
+@dataclass
+class Hot:
+    """Numbers with more hashes than one part is to hold, in order, and the parts of each."""
+
+    numbers: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
+    parts: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
+
+    def dealt(self, deal: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """The numbers by which hashes are dealt, with those of hot ones salted by the hash."""
+        if not len(self.numbers):
+            return deal
+        at = np.minimum(np.searchsorted(self.numbers, deal), len(self.numbers) - 1)
+        hot = self.numbers[at] == deal
+        out = deal.copy()
+        out[hot] = mixed(deal[hot] + mixed(hashes[hot]) % self.parts[at[hot]] * _STEP)
+        return out
+
+
+def _counts(hasher: Hasher, limit: int):
+    """Hashes that leave a flush by number. Numbers of a single document are left out unless they fill a part alone."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes_of = hasher()
+        for held in _flushes(batches):
+            own = [hashes_of(text) for _, text in held]
+            rows = np.repeat(np.arange(len(held), dtype=np.int32), [len(h) for h, _ in own])
+            if not len(rows):
+                continue
+            _, first = np.unique(np.concatenate([h for h, _ in own]), return_index=True)
+            deal, rows = np.concatenate([d for _, d in own])[first], rows[first]
+            order = np.argsort(deal, kind="stable")
+            deal, rows = deal[order], rows[order]
+            starts = np.flatnonzero(np.concatenate(([True], deal[1:] != deal[:-1])))
+            n = np.diff(np.append(starts, len(deal)))
+            kept = (np.minimum.reduceat(rows, starts) < np.maximum.reduceat(rows, starts)) | (n > limit)
+            arrays = [pa.array(deal[starts][kept].view(np.int64)), pa.array(n[kept].astype(np.int64))]
+            yield pa.RecordBatch.from_arrays(arrays, ["number", "n"])
+
+    return run
+
+
+def hot_numbers(source: DataFrame, hasher: Hasher, limit: int) -> Hot:
+    """Numbers with more than ``limit`` open hashes; at most one for each ``limit`` hashes reaches the driver."""
+    counted = source.dropna().mapInArrow(_counts(hasher, limit), "number bigint, n bigint").groupBy("number").agg(F.sum("n").alias("n"))
+    found = counted.filter(F.col("n") > limit).collect()
+    numbers = np.array([r["number"] for r in found], np.int64).view(np.uint64)
+    parts = np.array([-(-r["n"] // limit) for r in found], np.uint64)
+    order = np.argsort(numbers)
+    return Hot(numbers[order], parts[order])
+
+
+def _open_hashes(hasher: Hasher, buckets: int, hot: Hot):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes_of = hasher()
         for held in _flushes(batches):
@@ -81,7 +139,8 @@ def _open_hashes(hasher: Hasher, buckets: int):
             for k in np.unique(rows[repeat]).tolist():
                 runs = np.array(spans_of(repeat[starts[k] : starts[k + 1]]), np.int32)
                 emit(k % buckets, _RUNS, int(ids[k]), runs.tobytes(), None)
-            bucket = ((deal[order][first] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+            number = hot.dealt(deal[order][first], by_hash[first])
+            bucket = ((number >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
             dealt = np.argsort(bucket, kind="stable")  # sorted by hash within each bucket
             open_hashes, open_rows = by_hash[first][dealt], by_row[first][dealt].astype(np.uint32)
             cuts = np.searchsorted(bucket[dealt], np.arange(buckets + 1))
@@ -130,10 +189,15 @@ def _answer(group: pa.Table) -> pa.Table:
     return pa.table({"doc_id": pa.array(doc_ids, pa.int64()), "kind": pa.array(kinds, pa.int32()), "data": pa.array(data, pa.binary())})
 
 
-def repeats(source: DataFrame, hasher: Hasher, buckets: int) -> DataFrame:
+def opened(source: DataFrame, hasher: Hasher, buckets: int, limit: int | None = None) -> DataFrame:
+    """Open hashes by bucket; with a limit, numbers that have more of them are counted first and dealt in parts."""
+    hot = hot_numbers(source, hasher, limit) if limit and buckets > 1 else Hot()
+    return source.dropna().mapInArrow(_open_hashes(hasher, buckets, hot), "bucket int, kind int, doc_id bigint, data binary, docs binary")
+
+
+def repeats(source: DataFrame, hasher: Hasher, buckets: int, limit: int | None = None) -> DataFrame:
     """doc_id and answers, for the documents with a repeat; the source has doc_id (bigint) and text (binary)."""
-    opened = source.dropna().mapInArrow(_open_hashes(hasher, buckets), "bucket int, kind int, doc_id bigint, data binary, docs binary")
-    answered = opened.groupBy("bucket").applyInArrow(_answer, "doc_id bigint, kind int, data binary")
+    answered = opened(source, hasher, buckets, limit).groupBy("bucket").applyInArrow(_answer, "doc_id bigint, kind int, data binary")
     return answered.groupBy("doc_id").agg(F.collect_list(F.struct("kind", "data")).alias("answers"))
 
 

@@ -4,7 +4,7 @@ Words are the runs between ASCII white space, unchanged. A window of a document
 document with a smaller id; all words that repeats cover are removed, judged on the input alone.
 
 Every window's hash goes to a bucket, less those that a task can decide alone (``firsts``); the number of buckets follows the
-input. Answers are joined with the documents by id, and covered words are cut.
+input. Windows around a phrase of many documents are counted first and spread over several buckets. Answers are joined with the documents by id, and covered words are cut.
 
 Hashes have 64 bits: among n different windows about n**2 / 2**65 pairs collide, which is 0.0004 pairs for 10**8 windows.
 
@@ -29,6 +29,8 @@ from riskweft.llm.firsts import flagged, repeats
 WIDTH, ANCHOR = 50, 8
 #: Windows that a bucket holds on average.
 BUCKET_WINDOWS = 1_000_000
+#: An anchor of more than this share of a bucket's windows is dealt in parts of that size.
+HOT_SHARE = 1 / 4
 #: English and most European texts have a word for each six bytes.
 BYTES_PER_WORD = 6
 
@@ -98,7 +100,7 @@ def dedup_substrings(documents: DataFrame, width: int = WIDTH, bucket_windows: i
     source = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     size = source.agg(F.sum(F.length("text"))).first()[0] or 0
     buckets = max(1, math.ceil(size / BYTES_PER_WORD / bucket_windows))
-    by_doc = repeats(source, lambda: _Windows(width), buckets)
+    by_doc = repeats(source, lambda: _Windows(width), buckets, max(1, int(bucket_windows * HOT_SHARE)))
     cut = source.join(by_doc, "doc_id", "left").mapInArrow(
         _cut(width),
         "doc_id bigint, n_words bigint, n_removed bigint, removed_spans array<struct<start:int,end:int>>, kept binary",

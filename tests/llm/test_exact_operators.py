@@ -5,8 +5,9 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from riskweft.llm import decontaminate, packing, queries, substrings
+from riskweft.llm import decontaminate, firsts, packing, queries, substrings
 from tests.llm import helpers as H
 
 WORDS = [f"w{k}" for k in range(40)] + ["Ä", "Über", "the,", "a-b", "3"]
@@ -41,6 +42,27 @@ def test_substring_dedup_hard_rows(spark, hard_rows, monkeypatch):
     assert H.ordered(substrings.digest(many).collect()) == H.ordered(want)
 
 
+def test_substring_windows_around_a_phrase_are_spread(spark, monkeypatch):
+    rng, phrase, seen = random.Random(9), " ".join(f"p{k}" for k in range(30)), []
+    rows = [(k, " ".join([*(f"w{rng.random()}"[:6] for _ in range(60)), phrase, *(f"w{rng.random()}"[:6] for _ in range(60))])) for k in range(400)]
+    df, plain = H.docs_frame(spark, rows).repartition(4), substrings.repeats
+
+    def sizes(source, hasher, buckets, *limit):
+        opened = firsts.opened(source, hasher, buckets, *limit)
+        seen.extend(r[1] for r in opened.groupBy("bucket").agg(F.sum(F.length("data") / 8)).collect())
+        return plain(source, hasher, buckets, *limit)
+
+    monkeypatch.setattr(substrings, "repeats", sizes)
+    cut = substrings.dedup_substrings(df, bucket_windows=1000)
+    assert sum(seen) == 400 * 101 and max(seen) < 4000
+    assert H.ordered(substrings.digest(cut).collect()) == H.ordered(H.substring_dedup(rows))
+    seen.clear()
+    firsts_only = lambda source, hasher, buckets, limit: sizes(source, hasher, buckets)
+    monkeypatch.setattr(substrings, "repeats", firsts_only)
+    substrings.dedup_substrings(df, bucket_windows=1000)
+    assert max(seen) > 4000  # what one anchor has without parts
+
+
 def test_substring_dedup_table_and_empty(spark, sf):
     got = queries.QUERIES["op3_substring_dedup"](spark, sf)
     assert H.ordered(got.collect()) == H.ordered(H.substring_dedup(sf_rows(spark, sf)))
