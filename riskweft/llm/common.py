@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import functools
+import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +36,21 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def tidy(run: Callable) -> Callable:
+    """A task function that gives its memory back when it ends: workers outlive tasks, and the next stage needs the room."""
+
+    @functools.wraps(run)
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the C library of Linux has it
+        if trim:
+            trim(0)
+
+    return tidied
+
+
 def alnum_words(text: bytes | None) -> list[bytes]:
     """Lower-cased runs of ASCII letters and digits and of non-ASCII characters."""
     return text.translate(WORD_BYTES).split() if text else []

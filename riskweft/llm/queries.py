@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskweft.llm import decontaminate, embeddings, licenses, lines, lm, minhash, oracles, packing, substrings, toxicity, urls
+from riskweft.llm import binary, decontaminate, embeddings, licenses, lines, lm, minhash, oracles, packing, substrings, toxicity, urls
 from riskweft.llm.common import table
 
 
@@ -68,6 +68,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.digest(lines.dedup_lines(documents))
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return binary.round_trip(table(spark, sf_dir, "documents"), default_tokenizer())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -81,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_minhash,
         op9_license_scan,
         op10_line_dedup,
+        op11_token_files,
     )
 }
 
