@@ -67,3 +67,24 @@ r AS (
 )
 SELECT doc_id, coalesce(n, 0) AS n_lines, coalesce(gone, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN r USING (rk)
 """
+
+OP12 = """
+WITH v AS (
+  SELECT row_number() OVER () AS rk, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), s AS (
+  SELECT a.rk AS ark, a.vec_id AS anchor_id, b.vec_id AS vec_id, a.label = b.label AS same, a.rk = b.rk AS itself,
+    CAST(coalesce(list_sum(list_transform(list_zip(a.e, b.e), lambda p: p[1] * p[2])), 0) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND len(a.e) = len(b.e)
+), p AS (
+  SELECT *, row_number() OVER (PARTITION BY ark ORDER BY score DESC, vec_id) AS k FROM s WHERE same AND NOT itself
+), n AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+    row_number() OVER (PARTITION BY p.ark, p.k ORDER BY n.score DESC, n.vec_id) AS r
+  FROM p JOIN s n ON n.ark = p.ark AND NOT n.same AND 80 * p.score <= 100 * n.score AND n.score <= p.score WHERE p.k <= 5
+)
+SELECT anchor_id, positive_id, CAST(r AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE r <= 5
+"""

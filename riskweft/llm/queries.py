@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from riskweft.llm import binary, decontaminate, embeddings, licenses, lines, lm, minhash, oracles, packing, substrings, toxicity, urls
+from riskweft.llm import binary, decontaminate, embeddings, licenses, lines, lm, minhash, negatives, oracles, packing, substrings, toxicity, urls
 from riskweft.llm.common import table
 
 
@@ -72,6 +73,12 @@ def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return binary.round_trip(table(spark, sf_dir, "documents"), default_tokenizer())
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", label)
+    return negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -86,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_license_scan,
         op10_line_dedup,
         op11_token_files,
+        op12_hard_negatives,
     )
 }
 
@@ -95,4 +103,5 @@ ORACLES: dict[str, str] = {
     "op3_substring_dedup": oracles.OP3,
     "op6_decontaminate": oracles.OP6,
     "op10_line_dedup": oracles.OP10,
+    "op12_hard_negatives": oracles.OP12,
 }
