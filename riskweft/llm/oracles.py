@@ -88,3 +88,29 @@ WITH v AS (
 )
 SELECT anchor_id, positive_id, CAST(r AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE r <= 5
 """
+
+_CRC_STEP = "list_reduce(list_concat([xor(c, b)], range(8)), lambda v, i: xor(v >> 1, 3988292384 * (v & 1)))"
+
+OP13 = f"""
+WITH o AS (
+  SELECT conv_id AS c, list({{'r': coalesce(role, ''), 't': coalesce(text, '')}} ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), h AS (
+  SELECT c, turns, xor(list_reduce(list_concat([4294967295], list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+    lambda c, b: {_CRC_STEP}), 4294967295) % 9 AS h FROM o
+), r AS (SELECT h.c, list_concat(coalesce(b.turns, [])[1:h], h.turns[h + 1:]) AS turns FROM h LEFT JOIN o b ON b.c = h.c - h.c % 5),
+k AS (SELECT c, unnest(range(0, len(turns) + 1)) AS d, turns FROM r),
+p AS (SELECT c, d, turns[1:d] AS key, turns[1:d - 1] AS parent, d = len(turns) AS ended FROM k),
+g AS (
+  SELECT d, key, any_value(parent) AS parent, min(c) AS conv_id, count(*) AS n, coalesce((count(*) - 1) * strlen(key[d].t), 0) AS saved,
+    string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE ended) AS ends
+  FROM p GROUP BY d, key
+), ch AS (SELECT d - 1 AS d, parent AS key, count(*) AS n_children FROM g WHERE d > 0 GROUP BY 1, 2),
+gc AS (SELECT g.*, coalesce(n_children, 0) AS n_children FROM g LEFT JOIN ch USING (d, key)),
+s AS (
+  SELECT p.d, p.key, count(*) FILTER (WHERE n_children = 0) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens
+  FROM gc JOIN p ON p.c = gc.conv_id AND p.d <= gc.d GROUP BY p.d, p.key
+)
+SELECT gc.conv_id, gc.d AS depth, u.conv_id AS parent_conv_id, gc.n AS n_convs, gc.n_children, n_leaves, saved_tokens, sha256(coalesce(gc.ends, '')) AS ends_sha256
+FROM gc JOIN s USING (d, key) LEFT JOIN g u ON u.d = gc.d - 1 AND u.key = gc.parent
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweft.llm import binary, decontaminate, embeddings, licenses, lines, lm, minhash, negatives, oracles, packing, substrings, toxicity, urls
+from riskweft.llm import binary, decontaminate, embeddings, licenses, lines, lm, minhash, negatives, oracles, packing, substrings, toxicity, trie, urls
 from riskweft.llm.common import table
 
 
@@ -79,6 +79,12 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.mine(rows, F.col("vec_id") % 100 == 0)
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv = F.col("conv_id")
+    heads = F.crc32(conv.cast("string").cast("binary")) % 9
+    return trie.rebuilt(table(spark, sf_dir, "conversations"), conv - conv % 5, heads, 8)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -94,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_line_dedup,
         op11_token_files,
         op12_hard_negatives,
+        op13_prefix_trie,
     )
 }
 
@@ -104,4 +111,5 @@ ORACLES: dict[str, str] = {
     "op6_decontaminate": oracles.OP6,
     "op10_line_dedup": oracles.OP10,
     "op12_hard_negatives": oracles.OP12,
+    "op13_prefix_trie": oracles.OP13,
 }
