@@ -10,7 +10,9 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from riskweft.session import scratch_path
 
@@ -51,6 +53,16 @@ def tidy(run: Callable) -> Callable:
     return tidied
 
 
+def packed(df: DataFrame, *more: Column) -> DataFrame:
+    """The whole row as one column ``row``, whatever its columns are called, beside others."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), *more)
+
+
+def packed_schema(df: DataFrame, more: str) -> StructType:
+    """Schema of the packed row and further columns."""
+    return StructType([StructField("row", df.schema), *StructType.fromDDL(more).fields])
+
+
 def alnum_words(text: bytes | None) -> list[bytes]:
     """Lower-cased runs of ASCII letters and digits and of non-ASCII characters."""
     return text.translate(WORD_BYTES).split() if text else []

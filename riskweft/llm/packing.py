@@ -17,9 +17,6 @@ text are read, so other columns don't matter.
 from __future__ import annotations
 
 import math
-import os
-import struct
-import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -28,89 +25,28 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskweft.llm.common import slices, written
+from riskweft.llm.common import slices, tidy, written
+from riskweft.llm.tokens import WordIds
 
 CAPACITY = 2048
 GRAIN = 8
 BLOCK_ROWS = 20_000
-#: Distinct words whose ids a task keeps; beyond it the table starts anew.
-CACHE_WORDS = 400_000
 PIECES = "doc_id {id}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 
 
-def _byte_letters() -> list[str]:
-    """The letter that stands for each byte in byte-level vocabularies: itself if printable, else the next from 256 on."""
-    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
-    others = iter(range(256, 512))
-    return [chr(b) if b in plain else chr(next(others)) for b in range(256)]
-
-
-class WordIds(dict):
-    """Ids of white-space separated words, as little-endian 32-bit numbers.
-
-    A word of letters, with or without ASCII punctuation behind it, is split as the tokenizer would split it, and its parts are
-    merged by the tokenizer's model alone; all other words go through the whole tokenizer.
-    """
-
-    TAIL = ".,;:!?*&$#%()-\""
-
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.encoder = Tokenizer.from_file(path)
-        self.encoder.encode_special_tokens = True
-        self.merge = self.encoder.model.tokenize
-        self.letters = _byte_letters()
-
-    def _part(self, part: str, name: bytes) -> bytes:
-        found = self.get(name)
-        if found is None:
-            ids = [t.id for t in self.merge("".join([self.letters[b] for b in part.encode()]))]
-            self[name] = found = struct.pack(f"<{len(ids)}I", *ids)
-        return found
-
-    def learn(self, words: set[bytes]) -> None:
-        new = [w for w in words if w not in self]
-        if len(self) + len(new) > CACHE_WORDS:
-            self.clear()
-            new = list(words)
-        rest = []
-        for word in new:
-            text = word.decode("utf-8", "replace")
-            core = text.rstrip(self.TAIL)
-            low = core.lower()
-            if core.isalpha() and low.isalpha() and "\u03a3" not in core and unicodedata.is_normalized("NFC", core) and unicodedata.is_normalized("NFC", low):
-                tail = text[len(core) :]
-                ids = self._part(low, low.encode())
-                self[word] = ids + self._part(tail, tail.encode()) if tail else ids
-            else:
-                rest.append((word, text))
-        for k in range(0, len(rest), 5000):
-            part = rest[k : k + 5000]
-            for (word, _), e in zip(part, self.encoder.encode_batch_fast([t for _, t in part], add_special_tokens=False)):
-                self[word] = struct.pack(f"<{len(e.ids)}I", *e.ids)
-
-
-_ENCODERS: dict[str, WordIds] = {}
-
-
 def _tokenise(path: str, end_id: int, capacity: int):
     """The tokenizer never joins across white space, so words are encoded alone and joined."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if path not in _ENCODERS:
-            _ENCODERS[path] = WordIds(path)
-        ids = _ENCODERS[path]
+        ids = WordIds(path)
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             rows: list[list] = [[], [], [], [], []]
             names = batch.column("doc_id")
             for first, run_of in slices(batch.column("text")):
-                words = [(t or b"").split() for t in run_of]
-                ids.learn(set().union(*words))
-                for k, own in enumerate(words):
-                    data = b"".join([ids[w] for w in own]) + end
+                for k, own in enumerate(ids.texts(run_of)):
+                    data = own + end
                     for start in range(0, len(data), 4 * capacity):
                         piece = data[start : start + 4 * capacity]
                         for column, value in zip(rows, (first + k, start // 4, len(piece) // 4, zlib.crc32(piece), len(data) // 4)):

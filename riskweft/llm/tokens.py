@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import functools
 import os
-import struct
 import unicodedata
+from array import array
 from collections.abc import Iterable
 
 #: Bytes of words and ids that a task keeps; beyond it the table starts anew.
-TABLE_BYTES = 64 << 20
+TABLE_BYTES = 96 << 20
 #: What an entry takes besides its word and its ids.
 _ENTRY = 180
 #: Words that are handed to the whole tokenizer at once.
 _ENCODE_ROWS = 5000
+#: Type codes of little-endian ids of two and of four bytes.
+NARROW, WIDE = "H", "I"
 
 
 def _byte_letters() -> dict[int, str]:
@@ -22,8 +25,22 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) if b in plain else chr(next(others)) for b in range(256)}
 
 
+@functools.lru_cache(maxsize=1)
+def loaded(path: str):
+    """The tokenizer of a file, about 30 MB for 50,000 entries; a worker keeps the one it used last."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
+def code_for(path: str, *ids: int) -> str:
+    """The narrowest type code that holds the tokenizer's ids and the given ones."""
+    return NARROW if max(loaded(path).get_vocab_size(), 1 + max(ids, default=0)) <= 1 << 16 else WIDE
+
+
 class WordIds(dict):
-    """Ids of white-space separated words, as little-endian 32-bit numbers.
+    """Ids of white-space separated words, as little-endian numbers.
 
     A word of letters, with or without ASCII punctuation behind it, is split as the tokenizer would split it, and its parts are
     merged by the tokenizer's model alone; all other words, those that hold special tokens among them, go through the whole
@@ -32,30 +49,35 @@ class WordIds(dict):
 
     TAIL = ".,;:!?*&$#%()-\""
 
-    def __init__(self, path: str, table_bytes: int = TABLE_BYTES):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.encoder = Tokenizer.from_file(path)
+    def __init__(self, path: str, code: str = WIDE, table_bytes: int = TABLE_BYTES):
+        self.encoder = loaded(path)
         self.merge = self.encoder.model.tokenize
         self.letters = _byte_letters()
-        self.limit, self.size = table_bytes, 0
-
-    def _put(self, word: bytes, ids: bytes) -> bytes:
-        self[word] = ids
-        self.size += len(word) + len(ids) + _ENTRY
-        return ids
+        self.code, self.limit, self.size = code, table_bytes, 0
 
-    def _part(self, part: str) -> bytes:
-        name = part.encode()
+    def _part(self, name: bytes) -> bytes:
         found = self.get(name)
         if found is None:
             # Printable ASCII stands for itself.
-            named = part if part.isascii() else name.decode("latin-1").translate(self.letters)
-            ids = [t.id for t in self.merge(named)]
-            found = self._put(name, struct.pack(f"<{len(ids)}I", *ids))
+            named = name.decode() if name.isascii() else name.decode("latin-1").translate(self.letters)
+            self[name] = found = array(self.code, [t.id for t in self.merge(named)]).tobytes()
+            self.size += len(name) + len(found) + _ENTRY
         return found
 
+    def _letters(self, word: bytes) -> tuple[bytes, bytes] | None:
+        """Lower-cased letters and the punctuation behind them, unless the word is something else."""
+        core = word.rstrip(self.TAIL.encode())
+        if core.isalpha():  # ASCII letters
+            return core.lower(), word[len(core) :]
+        if core.isascii():
+            return None
+        text = core.decode("utf-8", "replace")
+        low = text.lower()
+        whole = text.isalpha() and low.isalpha() and "\u03a3" not in text
+        if whole and unicodedata.is_normalized("NFC", text) and unicodedata.is_normalized("NFC", low):
+            return low.encode(), word[len(core) :]
+        return None
+
     def learn(self, words: Iterable[bytes]) -> None:
         """Afterwards every one of the words has its ids here."""
         if self.size > self.limit:
@@ -65,28 +87,23 @@ class WordIds(dict):
         for word in words:
             if word in self:
                 continue
-            text = word.decode("utf-8", "replace")
-            core = text.rstrip(self.TAIL)
-            if core.isascii():
-                low, plain = core.lower(), core.isalpha()
-            else:
-                low = core.lower()
-                plain = (
-                    core.isalpha() and low.isalpha() and "Σ" not in core
-                    and unicodedata.is_normalized("NFC", core) and unicodedata.is_normalized("NFC", low)
-                )
-            if plain:
-                ids, tail = self._part(low), text[len(core) :]
-                if tail:
-                    ids += self._part(tail)
-                if word not in self:
-                    self._put(word, ids)
-            else:
-                rest.append((word, text))
+            parts = self._letters(word)
+            if parts is None:
+                rest.append(word)
+                continue
+            low, tail = parts
+            ids = self._part(low)
+            if tail:
+                ids += self._part(tail)
+            if low != word:
+                self[word] = ids
+                self.size += len(word) + len(ids) + _ENTRY
         for k in range(0, len(rest), _ENCODE_ROWS):
             part = rest[k : k + _ENCODE_ROWS]
-            for (word, _), e in zip(part, self.encoder.encode_batch_fast([t for _, t in part], add_special_tokens=False)):
-                self._put(word, struct.pack(f"<{len(e.ids)}I", *e.ids))
+            texts = [w.decode("utf-8", "replace") for w in part]
+            for word, e in zip(part, self.encoder.encode_batch_fast(texts, add_special_tokens=False)):
+                self[word] = ids = array(self.code, e.ids).tobytes()
+                self.size += len(word) + len(ids) + _ENTRY
 
     def texts(self, texts: list[bytes | None]) -> list[bytes]:
         """The ids of each text."""
