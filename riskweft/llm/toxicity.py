@@ -5,8 +5,10 @@ bounded sample: at most ``MAX_POSITIVE`` documents that are confirmed toxic and
 kind, both by the smallest hash of the id. The risk of calling unlabelled text harmless is corrected by the class prior and kept
 from going below zero, so the negatives are never named; the prior is the share of toxic documents among the labelled ones.
 
-Features are chosen from the sample: the grams that are most over-represented in toxic documents, and that at least
-``LEAST_DOCUMENTS`` and a share of ``LEAST_SHARE`` of them have (rarer ones are what copies of one document share). Scoring is one map over the documents without a shuffle, with the chosen grams' weights sent along.
+Features are chosen by Spark from the sample: the grams that are most over-represented in toxic documents, and that at least
+``LEAST_DOCUMENTS`` and a share of ``LEAST_SHARE`` of them have (rarer ones are what copies of one document share). What reaches the
+driver is the chosen grams and, for each document of the sample, which of them it has. Scoring is one map over the documents without a
+shuffle, with the chosen grams' weights sent along.
 
 Only the text enters a score. Nulls and ties: a null text is empty; an empty text has the score of the intercept; labels that are
 null are ignored, those of unknown documents count in the prior alone, and a document is toxic if any of its labels says so; documents without id are scored
@@ -27,9 +29,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskweft.llm.common import alnum_words, slices
+from riskweft.llm.common import alnum_words, packed, packed_schema, slices, tidy, written
 
-MAX_POSITIVE, MAX_UNLABELLED = 2_000, 4_000
+MAX_POSITIVE, MAX_UNLABELLED = 3_000, 6_000
 MAX_FEATURES, LEAST_DOCUMENTS, LEAST_SHARE = 2_048, 6, 0.01
 #: Lengths of word beginnings, in characters; whole words count as well.
 BEGINNINGS = (4, 5, 6)
@@ -65,65 +67,60 @@ class Model:
         chosen, known = self.weights, {}
 
         def score(text: bytes | None) -> float:
-            found: dict[int, float] = {}
+            found: set[int] = set()
             for word in set(alnum_words(text)):
                 own = known.get(word)
                 if own is None:
                     if len(known) >= _CACHE_WORDS:
                         known.clear()
-                    known[word] = own = [g for g in grams(word) if g in chosen]
-                for gram in own:
-                    found[gram] = chosen[gram]
-            z = self.intercept + math.fsum(found.values())
+                    # Nearly all words have none of the chosen grams and share one empty tuple.
+                    known[word] = own = tuple(g for g in grams(word) if g in chosen)
+                if own:
+                    found.update(own)
+            z = self.intercept + math.fsum([chosen[g] for g in found])
             return 1 / (1 + math.exp(-z)) if z > -700 else 0.0
 
         return score
 
 
-def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float) -> Model:
-    """Train from sets of gram hashes. Both risks use the logistic loss; steps are Adam's."""
+def risk(z: np.ndarray, positive: int, prior: float) -> tuple[float, np.ndarray]:
+    """The corrected risk of the scores of positives (the first ones) and unlabelled rows, and its gradient by the scores.
+
+    R = prior * E_p[l(z, 1)] + max(0, E_u[l(z, 0)] - prior * E_p[l(z, 0)]) with the logistic loss l. Where the second term is below
+    zero, the gradient steps back from it.
+    """
+    zp, zu = z[:positive], z[positive:]
+    sp, su = 1 / (1 + np.exp(-zp)), 1 / (1 + np.exp(-zu))
+    miss, alarm, loud = -(1 - sp) / len(zp), sp / len(zp), su / len(zu)
+    negative = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
+    value = prior * np.logaddexp(0, -zp).mean() + max(0.0, negative)
+    if negative >= 0:
+        return value, np.concatenate((prior * miss - prior * alarm, loud))
+    return value, np.concatenate((prior * alarm, -loud))
+
+
+def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], names: list[int], prior: float) -> Model:
+    """Train from the numbers of the chosen grams that each document has. Steps are Adam's."""
     prior = min(max(prior, 1e-4), 1 - 1e-4)
     start = math.log(prior / (1 - prior))
     if not positive:
         return Model(intercept=start, prior=prior)
-    rows = positive + unlabelled
+    # Without unlabelled documents there is one that has no chosen gram.
+    rows = positive + (unlabelled or [np.zeros(0, np.int64)])
     of = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     flat = np.concatenate(rows)
-    names, at = np.unique(flat, return_inverse=True)
-    hit = np.bincount(at, of < len(positive), len(names))
-    rest = np.bincount(at, of >= len(positive), len(names))
-    # Over-representation, on the side of caution: by as many standard deviations as the positives exceed the expected.
-    share = (rest + 0.5) / (len(unlabelled) + 1)
-    excess = (hit - len(positive) * share) / np.sqrt(len(positive) * share)
-    usable = np.flatnonzero((hit >= max(LEAST_DOCUMENTS, LEAST_SHARE * len(positive))) & (excess > 4) & (hit > 4 * len(positive) * share * prior))
-    chosen = usable[np.lexsort((names[usable], -excess[usable]))][:MAX_FEATURES]
-    place = np.full(len(names), -1)
-    place[chosen] = np.arange(len(chosen))
-    held = place[at] >= 0
-    x = np.zeros((len(rows), len(chosen)), np.float32)
-    x[of[held], place[at[held]]] = 1
-    xp, xu = x[: len(positive)], x[len(positive) :]
-    # A row of the unlabelled sample that has no chosen gram still counts, so an empty sample is one such row.
-    xu = xu if len(xu) else np.zeros((1, len(chosen)), np.float32)
-    w, b = np.zeros(len(chosen)), start
-    m, v = np.zeros(len(chosen) + 1), np.zeros(len(chosen) + 1)
+    w, b = np.zeros(len(names)), start
+    m, v = np.zeros(len(names) + 1), np.zeros(len(names) + 1)
     for k in range(1, STEPS + 1):
-        zp, zu = xp @ w.astype(np.float32) + b, xu @ w.astype(np.float32) + b
-        sp, su = 1 / (1 + np.exp(-zp)), 1 / (1 + np.exp(-zu))
-        # Gradients of the risks by the score: positives called harmless, positives called toxic, unlabelled called toxic.
-        miss, alarm, loud = -(1 - sp) / len(zp), sp / len(zp), su / len(zu)
-        negative = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
-        if negative >= 0:
-            gp, gu = prior * miss - prior * alarm, loud
-        else:
-            gp, gu = prior * alarm, -loud  # the corrected risk went below zero: step back from it
-        grad = np.append(xp.T @ gp.astype(np.float32) + xu.T @ gu.astype(np.float32) + DECAY * w / len(rows), gp.sum() + gu.sum())
+        _, by_score = risk(np.bincount(of, w[flat], len(rows)) + b, len(positive), prior)
+        grad = np.append(np.bincount(flat, by_score[of], len(names)) + DECAY * w / len(rows), by_score.sum())
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
         step = RATE * (m / (1 - 0.9**k)) / (np.sqrt(v / (1 - 0.999**k)) + 1e-8)
         w, b = w - step[:-1], b - step[-1]
-    return Model({int(names[c]): float(x) for c, x in zip(chosen, w)}, float(b), prior)
+    return Model({g % 2**64: float(x) for g, x in zip(names, w)}, float(b), prior)
 
 
+@tidy
 def _sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     known = _Grams()
     for batch in batches:
@@ -131,7 +128,46 @@ def _sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text in batch.column("text"):
             words = set(alnum_words(text.as_py()))
             sets.append(np.unique(np.concatenate([known[w] for w in words])).tobytes() if words else b"")
-        yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(sets, pa.binary())], ["toxic", "grams"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), pa.array(sets, pa.binary())], ["doc_id", "toxic", "grams"])
+
+
+@tidy
+def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """In how many toxic and unlabelled documents of a batch each gram is."""
+    for batch in batches:
+        toxic = batch.column("toxic").to_numpy() == 1
+        sets = [np.frombuffer(g.as_buffer(), np.uint64) for g in batch.column("grams")]
+        if not sets:
+            continue
+        of = np.repeat(toxic, [len(s) for s in sets])
+        names, at = np.unique(np.concatenate(sets), return_inverse=True)
+        hit = np.bincount(at, of, len(names)).astype(np.int64)
+        rest = np.bincount(at, ~of, len(names)).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), pa.array(hit), pa.array(rest)], ["gram", "hit", "rest"])
+
+
+def _chosen_of(chosen: np.ndarray):
+    """Numbers of the chosen grams (in the order of the array) that each document has."""
+    order = np.argsort(chosen)
+
+    @tidy
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [order[np.isin(chosen[order], np.frombuffer(g.as_buffer(), np.uint64))] for g in batch.column("grams")]
+            numbers = pa.array([np.sort(x).astype("<u2").tobytes() for x in own], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), numbers], ["doc_id", "toxic", "numbers"])
+
+    return run
+
+
+def chosen_grams(sample: DataFrame, positives: int, unlabelled: int, prior: float) -> list[int]:
+    """The most over-represented grams, on the side of caution: by as many standard deviations as the positives exceed the expected."""
+    counts = sample.select("toxic", "grams").mapInArrow(_gram_counts, "gram bigint, hit bigint, rest bigint")
+    counts = counts.groupBy("gram").agg(F.sum("hit").alias("hit"), F.sum("rest").alias("rest"))
+    expected = positives * (F.col("rest") + 0.5) / (unlabelled + 1)
+    usable = counts.filter(F.col("hit") >= max(LEAST_DOCUMENTS, LEAST_SHARE * positives)).withColumn("excess", (F.col("hit") - expected) / F.sqrt(expected))
+    usable = usable.filter((F.col("excess") > 4) & (F.col("hit") > 4 * prior * expected))
+    return [r["gram"] for r in usable.orderBy(F.desc("excess"), "gram").limit(MAX_FEATURES).select("gram").collect()]
 
 
 def held_out(folds: int = FOLDS):
@@ -152,26 +188,31 @@ def train(documents: DataFrame, labels: DataFrame, max_positive: int = MAX_POSIT
     # At most max_positive + max_unlabelled ids, so they go to the documents.
     wanted = F.broadcast(positive.union(open_ids))
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    rows = texts.join(wanted, "doc_id").select("toxic", "text").mapInArrow(_sample, "toxic int, grams binary").collect()
-    rows = sorted((r[0], bytes(r[1])) for r in rows)
-    sets = {kind: [np.frombuffer(g, np.uint64) for t, g in rows if t == kind] for kind in (0, 1)}
-    return fit(sets[1], sets[0], prior)
+    sample = texts.join(wanted, "doc_id").select("doc_id", "toxic", "text").mapInArrow(_sample, "doc_id bigint, toxic int, grams binary")
+    sample = written(sample, "toxicity-sample")
+    sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    names = chosen_grams(sample, sizes[1], sizes.get(0, 0), min(max(prior, 1e-4), 1 - 1e-4)) if sizes.get(1) else []
+    chosen = np.array(names, np.int64).view(np.uint64)
+    rows = sample.mapInArrow(_chosen_of(chosen), "doc_id bigint, toxic int, numbers binary").collect()
+    rows = sorted((r["toxic"], r["doc_id"], bytes(r["numbers"])) for r in rows)
+    sets = {kind: [np.frombuffer(x, "<u2").astype(np.int64) for t, _, x in rows if t == kind] for kind in (0, 1)}
+    return fit(sets[1], sets[0], names, prior)
 
 
 def _score(shared):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = shared.value.scorer()
         for batch in batches:
-            out = [score(t) for _, run_of in slices(batch.column("__text")) for t in run_of]
-            names = [c for c in batch.schema.names if c != "__text"]
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], pa.array(out, pa.float64())], [*names, "score"])
+            out = [score(t) for _, run_of in slices(batch.column("text")) for t in run_of]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(out, pa.float64())], ["row", "score"])
 
     return run
 
 
 def score(documents: DataFrame, model: Model) -> DataFrame:
     """The documents with score (0 to 1, higher is more toxic) and predicted (1 from 0.5 on)."""
-    df = documents.drop("score", "predicted").withColumn("__text", F.col("text").cast("binary"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.drop("__text").schema)
-    out = df.mapInArrow(_score(documents.sparkSession.sparkContext.broadcast(model)), f"{fields}, score double")
-    return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    held = documents.drop("score", "predicted")
+    shared = documents.sparkSession.sparkContext.broadcast(model)
+    out = packed(held, F.col("text").cast("binary").alias("text")).mapInArrow(_score(shared), packed_schema(held, "score double"))
+    return out.select("row.*", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
