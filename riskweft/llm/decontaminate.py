@@ -5,8 +5,8 @@ of one benchmark item; an item of fewer words, but not none, is one window. A do
 is hit. The scan is one map over the documents, without a shuffle: words become numbers of the benchmark's vocabulary, window
 hashes preselect places and an exact comparison confirms them.
 
-The benchmark is read in parts of at most ``PART_BYTES`` of text, counted first. Each part is broadcast on its own and the
-documents pass through all parts, so a benchmark of any size works with bounded memory.
+The benchmark is read in parts of at most ``PART_BYTES`` of text, counted first. Each part is broadcast on its own, the
+documents pass through all parts and are written between them, so a benchmark of any size works with bounded memory.
 
 Nulls and ties: a null or empty text has no words and no hits; benchmark rows without id or without words are ignored; rows of
 one item id count as one item; repeated documents are scanned one by one; an empty benchmark hits nothing. Other columns of
@@ -26,8 +26,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from riskweft.llm.common import Rolling, alnum_words, mixed, slices, spans_of
+from riskweft.llm.common import Rolling, alnum_words, mixed, packed, slices, spans_of, tidy, written
 
 PART_BYTES = 32 << 20
 SPANS = "array<struct<start:int,end:int>>"
@@ -96,13 +97,14 @@ def _parts(benchmark: DataFrame, ngram: int, part_bytes: int) -> Iterator[Part]:
 def _scanner(shared):
     """Map one batch: words, hit spans and items of each text, joined with what earlier parts found."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, roll = shared.value, Rolling()
         lookup = part.vocabulary.get
         for batch in batches:
             words, hits, spans, items = [], [], [], []
             before = {c: batch.column(c).to_pylist() for c in ("hit_spans", "item_ids") if c in batch.schema.names}
-            for first, run_of in slices(batch.column("__text")):
+            for first, run_of in slices(batch.column("text")):
                 codes, starts = [], []
                 for text in run_of:
                     starts.append(len(codes))
@@ -135,7 +137,7 @@ def _scanner(shared):
                     hits.append(0 if mask is None else int(mask.sum()))
                     spans.append([] if mask is None else [{"start": a, "end": b} for a, b in spans_of(mask)])
                     items.append(sorted(own.get(k, ())))
-            names = [c for c in batch.schema.names if c not in ("n_words", "n_hit", "hit_spans", "item_ids")]
+            names = ["row", "text"]
             arrays = [batch.column(c) for c in names] + [
                 pa.array(words, pa.int64()),
                 pa.array(hits, pa.int64()),
@@ -147,16 +149,24 @@ def _scanner(shared):
     return run
 
 
+def _scan_rows(rows: DataFrame, benchmark: DataFrame, ngram: int, part_bytes: int) -> DataFrame:
+    """Rows (row, text) with what the scan finds; between two parts they are written, so one part is in memory at a time."""
+    spark, shared = rows.sparkSession, None
+    schema = StructType([*rows.schema.fields, *StructType.fromDDL(f"n_words bigint, n_hit bigint, hit_spans {SPANS}, item_ids array<string>").fields])
+    for part in _parts(benchmark, ngram, part_bytes):
+        if shared is not None:
+            rows = written(rows, "scanned")
+            shared.destroy()
+        shared = spark.sparkContext.broadcast(part)
+        rows = rows.mapInArrow(_scanner(shared), schema)
+    return rows
+
+
 def scan(documents: DataFrame, benchmark: DataFrame, ngram: int = 10, part_bytes: int = PART_BYTES) -> DataFrame:
     """Each document with n_words, n_hit, hit_spans (word numbers, end exclusive) and item_ids (sorted as strings)."""
-    spark = documents.sparkSession
-    added = ("n_words", "n_hit", "hit_spans", "item_ids", "__text")
-    df = documents.drop(*added).withColumn("__text", F.col("text").cast("binary"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-    schema += f", n_words bigint, n_hit bigint, hit_spans {SPANS}, item_ids array<string>"
-    for part in _parts(benchmark, ngram, part_bytes):
-        df = df.mapInArrow(_scanner(spark.sparkContext.broadcast(part)), schema)
-    return df.drop("__text")
+    held = documents.drop("n_words", "n_hit", "hit_spans", "item_ids")
+    found = _scan_rows(packed(held, F.col("text").cast("binary").alias("text")), benchmark, ngram, part_bytes)
+    return found.select("row.*", "n_words", "n_hit", "hit_spans", "item_ids")
 
 
 def cut_spans(text: bytes, spans: list[tuple[int, int]]) -> bytes:
@@ -169,41 +179,69 @@ def cut_spans(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join([*out, text[at:]])
 
 
-def remove_spans(documents: DataFrame, benchmark: DataFrame, ngram: int = 10, part_bytes: int = PART_BYTES) -> DataFrame:
-    """The documents with every hit span cut out of the text, again until no window occurs; n_chars follows.
+def _cleaner(shared):
+    """Cut and look again until no window of the part occurs."""
 
-    Cutting can bring the words on both sides together, so passes repeat for as long as a pass finds hits; every pass removes
-    words, and only documents with hits change.
-    """
-    spark, columns = documents.sparkSession, documents.columns
-    parts = [spark.sparkContext.broadcast(p) for p in _parts(benchmark, ngram, part_bytes)]
-
-    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, roll = [p.value for p in parts], Rolling()
+    @tidy
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, roll = shared.value, Rolling()
+        lookup = part.vocabulary.get
         for batch in batches:
             out = []
-            for _, run_of in slices(batch.column("__text")):
+            for _, run_of in slices(batch.column("text")):
                 for text in run_of:
                     while text:
                         words = alnum_words(text)
                         hit = np.zeros(len(words), bool)
-                        for part in held:
-                            codes = np.fromiter(map(lambda w, d=part.vocabulary: d.get(w, 0), words), np.int32, len(words))
-                            for p, n, _ in part.find(codes, roll):
-                                hit[p : p + n] = True
+                        for p, n, _ in part.find(np.array([lookup(w, 0) for w in words], np.int32), roll):
+                            hit[p : p + n] = True
                         if not hit.any():
                             break
                         text = cut_spans(text, spans_of(hit))
                     out.append(text)
-            names = [c for c in batch.schema.names if c != "__text"]
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], pa.array(out, pa.binary())], [*names, "__text"])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(out, pa.binary())], ["row", "text"])
+
+    return run
+
+
+@tidy
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        out = [
+            cut_spans(text.as_py(), [(s["start"], s["end"]) for s in spans])
+            for text, spans in zip(batch.column("text"), batch.column("hit_spans").to_pylist())
+        ]
+        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(out, pa.binary())], ["row", "text"])
+
 
-    rest = [c for c in columns if c != "text"]
-    df = documents.select(*[F.col(f"`{c}`") for c in rest], F.col("text").cast("binary").alias("__text"))
-    df = df.mapInArrow(clean, df.schema).withColumn("text", F.col("__text").cast("string"))
+def remove_spans(documents: DataFrame, benchmark: DataFrame, ngram: int = 10, part_bytes: int = PART_BYTES) -> DataFrame:
+    """The documents with every hit span cut out of the text, again until no window occurs; n_chars follows.
+
+    Cutting can bring the words on both sides together, so passes repeat for as long as a pass finds hits; every pass removes
+    words, and only documents with hits change. A benchmark of one part is repeated within the task; with more parts, every pass
+    over all parts is written, and the next one reads the documents that were cut.
+    """
+    columns = documents.columns
+    held = documents.select(*[F.col(f"`{c}`") for c in columns if c != "text"])
+    rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in held.columns]).alias("row"), F.col("text").cast("binary").alias("text"))
+    size = benchmark.select(F.sum(F.length(F.col("text").cast("binary")))).first()[0] or 0
+    if size <= part_bytes:
+        shared = documents.sparkSession.sparkContext.broadcast(next(_parts(benchmark, ngram, part_bytes)))
+        out = rows.mapInArrow(_cleaner(shared), rows.schema)
+    else:
+        schema, out = rows.schema, None
+        while True:
+            scanned = written(_scan_rows(rows, benchmark, ngram, part_bytes), "scanned")
+            clean = scanned.filter("n_hit = 0").select("row", "text")
+            out = clean if out is None else out.union(clean)
+            hit = scanned.filter("n_hit > 0")
+            if not hit.head(1):
+                break
+            rows = hit.select("row", "text", "hit_spans").mapInArrow(_cut, schema)
+    new = {"text": F.col("text").cast("string")}
     if "n_chars" in columns:
-        df = df.withColumn("n_chars", F.length("text").cast(documents.schema["n_chars"].dataType))
-    return df.select(*[F.col(f"`{c}`") for c in columns])
+        new["n_chars"] = F.length(new["text"]).cast(documents.schema["n_chars"].dataType)
+    return out.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in columns])
 
 
 def digest(scanned: DataFrame) -> DataFrame:
