@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskweft.llm.common import mixed, spans_of
+from riskweft.llm.common import mixed, spans_of, tidy
 
 FLUSH_BYTES = 6 << 20
 #: Makes, in a task, the function that gives the hashes of a text, and for each hash the number by which it is dealt to a bucket.
@@ -80,6 +80,7 @@ class Hot:
 def _counts(hasher: Hasher, limit: int):
     """Hashes that leave a flush by number. Numbers of a single document are left out unless they fill a part alone."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes_of = hasher()
         for held in _flushes(batches):
@@ -111,6 +112,7 @@ def hot_numbers(source: DataFrame, hasher: Hasher, limit: int) -> Hot:
 
 
 def _open_hashes(hasher: Hasher, buckets: int, hot: Hot):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes_of = hasher()
         for held in _flushes(batches):

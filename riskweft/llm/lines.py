@@ -34,6 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskweft.llm.common import packed_schema, tidy
 from riskweft.llm.firsts import flagged, repeats
 
 LEADING = 2
@@ -96,13 +97,13 @@ def _without_stub(lines: list[bytes], gone: set[int]) -> set[int]:
 
 
 def _drop(short: str):
-    return lambda batches: _dropped(batches, short)
+    return tidy(lambda batches: _dropped(batches, short))
 
 
 def _dropped(batches: Iterator[pa.RecordBatch], short: str) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts, lines, removed = [], [], []
-        for text, answers in zip(batch.column("__text"), batch.column("__answers")):
+        for text, answers in zip(batch.column("text"), batch.column("answers")):
             data = text.as_py()
             n = data.count(b"\n") + 1 if data is not None else 0
             gone: set[int] = set()
@@ -116,10 +117,9 @@ def _dropped(batches: Iterator[pa.RecordBatch], short: str) -> Iterator[pa.Recor
             texts.append(data)
             lines.append(n)
             removed.append(len(gone))
-        names = [c for c in batch.schema.names if c not in ("__text", "__answers")]
         yield pa.RecordBatch.from_arrays(
-            [*[batch.column(c) for c in names], pa.array(texts, pa.binary()), pa.array(lines, pa.int64()), pa.array(removed, pa.int64())],
-            [*names, "__text", "n_lines", "n_removed"],
+            [batch.column("row"), pa.array(texts, pa.binary()), pa.array(lines, pa.int64()), pa.array(removed, pa.int64())],
+            ["row", "text", "n_lines", "n_removed"],
         )
 
 
@@ -131,16 +131,16 @@ def dedup_lines(documents: DataFrame, bucket_templates: int = BUCKET_TEMPLATES,
     source = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     size = source.agg(F.sum(F.length("text"))).first()[0] or 0
     answers = repeats(source, _hasher(short != "stay"), max(1, math.ceil(size / BYTES_PER_TEMPLATE / bucket_templates)))
-    answers = answers.select(F.col("doc_id").alias("__id"), F.col("answers").alias("__answers"))
-    rest = [c for c in columns if c != "text"]
-    held = documents.select(*[F.col(f"`{c}`") for c in rest], F.col("text").cast("binary").alias("__text"))
-    joined = held.join(answers, F.col("doc_id").cast("long") == F.col("__id"), "left").drop("__id")
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in held.schema)
-    out = joined.mapInArrow(_drop(short), f"{fields}, n_lines bigint, n_removed bigint")
-    out = out.withColumn("text", F.col("__text").cast("string"))
-    if "n_chars" in columns:
-        out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(documents.schema["n_chars"].dataType))
-    return out.select(*[F.col(f"`{c}`") for c in columns], "n_lines", "n_removed")
+    answers = answers.select(F.col("doc_id").alias("id"), "answers")
+    # The text travels beside the other columns, and those as one.
+    held = documents.select(*[F.col(f"`{c}`") for c in columns if c != "text"])
+    own = documents.select(F.struct(*[F.col(f"`{c}`") for c in held.columns]).alias("row"), F.col("text").cast("binary").alias("text"))
+    joined = own.join(answers, F.col("row.doc_id").cast("long") == F.col("id"), "left").select("row", "text", "answers")
+    out = joined.mapInArrow(_drop(short), packed_schema(held, "text binary, n_lines bigint, n_removed bigint"))
+    out = out.withColumn("text", F.col("text").cast("string"))
+    cut = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("row.n_chars")) if "n_chars" in columns else None
+    new = {"text": F.col("text")} | ({"n_chars": cut.cast(documents.schema["n_chars"].dataType)} if "n_chars" in columns else {})
+    return out.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in columns], "n_lines", "n_removed")
 
 
 def digest(out: DataFrame) -> DataFrame:
