@@ -172,3 +172,49 @@ def test_column_generation_is_near_the_bound():
         used += times
     assert held.tolist() == demand
     assert used <= 1.005 * sum(s * d for s, d in zip(sizes, demand)) / 64 + 1
+
+
+def test_packing_of_special_tokens(spark):
+    """Strings of special tokens are those tokens, as the tokenizer has it by default."""
+    import struct
+    import zlib as z
+
+    from tokenizers import Tokenizer
+
+    encoder = Tokenizer.from_file(queries.default_tokenizer())
+    rows = [(1, "a <|endoftext|> b"), (2, "x<|startoftext|>y<|ENDOFTEXT|>"), (3, "plain Ünder ΣΑΣ ﬁ."), (4, None)]
+    got = {r["doc_id"]: r for r in packing.pack(H.docs_frame(spark, rows), queries.default_tokenizer()).collect()}
+    for i, text in rows:
+        ids = encoder.encode(text or "", add_special_tokens=False).ids + [1]
+        assert (got[i]["doc_tokens"], got[i]["ids_crc32"]) == (len(ids), z.crc32(struct.pack(f"<{len(ids)}I", *ids)))
+
+
+def test_benchmark_in_parts(spark, hard_rows):
+    """A benchmark of many parts gives the rows of one part, also where cutting brings words together."""
+    rng = random.Random(12)
+    items = [(f"i{k}", sentence(rng, 14)) for k in range(12)]
+    rows = [(k, f"{sentence(rng, 9)} {items[k % 12][1]} {sentence(rng, 9)}") for k in range(30)]
+    rows.append((99, " ".join([*items[0][1].split()[:7], items[1][1], *items[0][1].split()[7:]])))
+    df, bench = H.docs_frame(spark, rows).withColumnRenamed("lang", "row"), spark.createDataFrame(items, "item_id string, text string")
+    for run in (decontaminate.scan, decontaminate.remove_spans):
+        assert H.ordered(run(df, bench, part_bytes=200).collect()) == H.ordered(run(df, bench).collect())
+    left = {r["doc_id"]: r["text"].split() for r in decontaminate.remove_spans(df, bench, part_bytes=200).collect()}
+    assert left[99] == []
+
+
+def test_columns_of_clashing_names(spark):
+    """Whatever other columns are called, they are kept as they are."""
+    from riskweft.llm import lines, minhash, toxicity
+
+    names = ["__text", "__id", "__class", "__answers", "row", "text2", "answers", "id", "key", "a.b", "numbers"]
+    df = H.docs_frame(spark, [(k, f"same words in each text but {k // 2} of them\nx") for k in range(6)])
+    df = df.withColumns({n: F.concat(F.lit(n), F.col("doc_id")) for n in names})
+    bench = spark.createDataFrame([("i", "same words in each text but 1 of them x")], "item_id string, text string")
+    outs = [
+        toxicity.score(df, toxicity.Model()), decontaminate.scan(df, bench), decontaminate.remove_spans(df, bench),
+        lines.dedup_lines(df), minhash.mark(df),
+    ]
+    for out in outs:
+        rows = out.collect()
+        assert out.columns[: len(df.columns)] == df.columns and len(rows) == 6
+        assert all(r[n] == f"{n}{r['doc_id']}" for r in rows for n in names)

@@ -56,6 +56,33 @@ def test_minhash_hidden_links_in_a_bucket(spark):
     assert got == want
 
 
+def test_minhash_recall_in_a_crowded_group(spark):
+    """Hundreds of texts that are near one another, most of them just under the threshold: links and classes against all pairs."""
+    rng = random.Random(4)
+    base = [f"u{k}" for k in range(300)]
+    rows = [(k, varied(rng, base, rng.choice([4, 7, 9]))) for k in range(400)]
+    want, sets = H.near_classes(rows), {i: H.shingles(t) for i, t in rows}
+    got = {r["doc_id"]: r["class_id"] for r in minhash.mark(H.docs_frame(spark, rows)).collect()}
+    pairs = [(i, j) for i in sets for j in sets if i < j and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    assert len(pairs) > 300 and len(set(want.values())) > 1
+    assert sum(got[i] == got[j] for i, j in pairs) >= 0.9 * len(pairs)  # links that lie in one class
+    assert all(want[i] == want[j] for i, j in got.items())  # no class holds two
+    assert sum(got[i] == want[i] for i in want) >= 0.9 * len(want)
+
+
+def test_minhash_pairs_follow_the_members(spark, monkeypatch):
+    """Pairs that are verified grow with the members of a group, not with their square."""
+    seen, plain = [], minhash.verified
+    monkeypatch.setattr(minhash, "verified", lambda pairs, *rest: seen.append(pairs.count()) or plain(pairs, *rest))
+    counts = []
+    for n in (100, 400):
+        rng, base = random.Random(6), [f"u{k}" for k in range(300)]
+        seen.clear()
+        minhash.classes(H.docs_frame(spark, [(k, varied(rng, base, 12)) for k in range(n)]))
+        counts.append(max(seen))
+    assert counts[1] < 8 * counts[0]
+
+
 def test_minhash_table(spark, sf):
     rows = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
     want = H.near_classes(rows)
