@@ -28,6 +28,7 @@ other columns don't matter, whatever their names.
 
 from __future__ import annotations
 
+import bisect
 import math
 import struct
 import uuid
@@ -41,7 +42,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskweft.llm.common import slices, tidy, written
-from riskweft.llm.tokens import WordIds
+from riskweft.llm.tokens import WordIds, code_for
 from riskweft.session import scratch_path
 
 # Fixed values of the file format.
@@ -94,10 +95,10 @@ def opened(folder: str):
     return fs.FileSystem.from_uri(folder)
 
 
-def _tokenise(path: str, end_id: int):
+def _tokenise(path: str, end_id: int, code: str):
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, end, row = WordIds(path), struct.pack("<I", end_id), TaskContext.get().partitionId() << 33
+        ids, end, row = WordIds(path, code), struct.pack(f"<{code}", end_id), TaskContext.get().partitionId() << 33
         for batch in batches:
             for first, run_of in slices(batch.column("text")):
                 own = [x + end for x in ids.texts(run_of)]
@@ -105,7 +106,7 @@ def _tokenise(path: str, end_id: int):
                     [
                         batch.column("doc_id").slice(first, len(own)),
                         pa.array(range(row, row + len(own)), pa.int64()),
-                        pa.array([len(x) // 4 for x in own], pa.int64()),
+                        pa.array([len(x) // len(end) for x in own], pa.int64()),
                         pa.array(own, pa.binary()),
                     ],
                     ["doc_id", "row", "n_tokens", "ids"],
@@ -115,30 +116,40 @@ def _tokenise(path: str, end_id: int):
     return run
 
 
-@tidy
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros(1, np.int64)
-    for batch in batches:
-        for ids in batch.column("ids"):
-            more = np.bincount(np.frombuffer(ids.as_buffer(), "<u4"))
-            if len(more) > len(counts):
-                counts, more = more, counts
-            counts[: len(more)] += more
-    some = np.flatnonzero(counts)
-    yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[some])], ["id", "n"])
+def _count(code: str):
+    @tidy
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1, np.int64)
+        for batch in batches:
+            texts = batch.column("ids")
+            for lo in range(0, len(texts), 100):
+                more = np.bincount(np.frombuffer(b"".join(texts[lo : lo + 100].to_pylist()), f"<{code}"))
+                if len(more) > len(counts):
+                    counts, more = more, counts
+                counts[: len(more)] += more
+        some = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[some])], ["id", "n"])
+
+    return run
+
+
+def _order(doc_id: int | None, n_tokens: int, row: int) -> tuple:
+    """The order of documents: none without id, then by id, number of tokens and row."""
+    return doc_id is not None, doc_id or 0, n_tokens, row
 
 
-def _encode(shared):
+def _encode(shared, code: str):
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value
+        table, bounds = shared.value
         rank_of = np.zeros(int(table.max(initial=0)) + 1, "<u4")
         rank_of[table] = np.arange(len(table))
         for batch in batches:
-            both = [coded(rank_of[np.frombuffer(x.as_buffer(), "<u4")]) for x in batch.column("ids")]
-            arrays = [batch.column(c) for c in ("doc_id", "row", "n_tokens")]
+            both = [coded(rank_of[np.frombuffer(x.as_buffer(), f"<{code}")]) for x in batch.column("ids")]
+            arrays = [batch.column(c) for c in ("doc_id", "n_tokens", "row")]
+            part = [max(0, bisect.bisect_right(bounds, _order(*own)) - 1) for own in zip(*[a.to_pylist() for a in arrays])]
             arrays += [pa.array([x[k] for x in both], pa.binary()) for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "row", "n_tokens", "control", "data"])
+            yield pa.RecordBatch.from_arrays([*arrays, pa.array(part, pa.int32())], ["doc_id", "n_tokens", "row", "control", "data", "part"])
 
     return run
 
@@ -188,22 +199,26 @@ def _files(folder: str):
 def write(documents: DataFrame, folder: str, tokenizer: str, end_id: int = 1, file_ids: int = FILE_IDS) -> DataFrame:
     """Write the documents' ids to the folder; returns the manifest."""
     spark = documents.sparkSession
+    code = code_for(tokenizer, end_id)
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    tokens = texts.mapInArrow(_tokenise(tokenizer, end_id), "doc_id bigint, row bigint, n_tokens bigint, ids binary")
+    tokens = texts.mapInArrow(_tokenise(tokenizer, end_id, code), "doc_id bigint, row bigint, n_tokens bigint, ids binary")
     tokens = written(tokens, "token-ids")
-    counts = tokens.select("ids").mapInArrow(_count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+    counts = tokens.select("ids").mapInArrow(_count(code), "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
     ranked = sorted((-r["n"], r["id"]) for r in counts.collect())  # at most the vocabulary
     table, total = np.array([i for _, i in ranked], "<u4"), -sum(n for n, _ in ranked)
     system, path = opened(folder)
     system.create_dir(path)
     with system.open_output_stream(f"{path}/ids.tab") as out:
         out.write(TABMAGIC + struct.pack("<Q", len(table)) + table.tobytes())
-    shared = spark.sparkContext.broadcast(table)
-    rows = tokens.select("doc_id", "row", "n_tokens", "ids").mapInArrow(_encode(shared), "doc_id bigint, row bigint, n_tokens bigint, control binary, data binary")
-    parts = max(1, math.ceil(total / file_ids))
-    # The row's own number splits documents that share an id, however many.
-    order = ["doc_id", "n_tokens", "row"]
-    files = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    # The first document of each file, from the keys alone. The row's own number splits documents that share an id, however many.
+    order, parts = ["doc_id", "n_tokens", "row"], max(1, math.ceil(total / file_ids))
+    keys = tokens.select(*order).repartitionByRange(parts, *order).withColumn("part", F.spark_partition_id())
+    firsts = keys.groupBy("part").agg(F.min_by(F.struct(*order), F.struct(F.col("doc_id").isNotNull(), *order)).alias("first"))
+    bounds = sorted(_order(*r["first"]) for r in firsts.collect())  # one for each file
+    shared = spark.sparkContext.broadcast((table, bounds))
+    schema = "doc_id bigint, n_tokens bigint, row bigint, control binary, data binary, part int"
+    rows = tokens.select(*order, "ids").mapInArrow(_encode(shared, code), schema)
+    files = rows.repartitionById(parts, "part").sortWithinPartitions(*order)
     manifest = written(files.mapInArrow(_files(folder), "part bigint, path string, documents bigint, ids bigint"), "files")
     shared.destroy()
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row for each file
