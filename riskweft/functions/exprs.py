@@ -78,3 +78,13 @@ def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
             for f in df.schema.fields
         ]
     )
+
+
+def digest(*columns: str) -> list[Column]:
+    """Two numbers of 64 bits that stand for the values (and the NULLs) of the columns: equal rows have equal ones.
+
+    Different rows share both with a probability of 2**-128 for each pair of rows.
+    """
+    # A hash passes over NULLs, so their places are hashed as well.
+    absent = F.concat(*[F.when(F.col(c).isNull(), "1").otherwise("0") for c in columns])
+    return [F.xxhash64(F.lit(k), absent, *columns).alias(f"d{k}") for k in range(2)]

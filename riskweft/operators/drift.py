@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweft.functions.exprs import numeric_names
+from riskweft.operators.reference import StoredReference, store_reference
 from riskweft.operators.tests_of_difference import ALPHA, ks_two_sample
 
 
@@ -38,17 +39,34 @@ def drift_summary(report: DataFrame) -> DataFrame:
 
 
 class DriftDetector:
-    """Reference held as a table; ``detect`` compares any current table with it."""
+    """Compares any current table with a reference, held as a table or stored as its distribution."""
 
     def __init__(self, p_value_threshold: float = ALPHA):
         self.p_value_threshold = p_value_threshold
         self.reference: DataFrame | None = None
+        self.stored: StoredReference | None = None
 
     def fit(self, reference: DataFrame) -> DriftDetector:
-        self.reference = reference
+        self.reference, self.stored = reference, None
         return self
 
+    def save(self, path: str) -> DriftDetector:
+        """Store the reference's distribution; from now on the detector reads that, not the reference's rows."""
+        if self.reference is None:
+            raise ValueError("fit the detector on a reference table first")
+        store_reference(self.reference, numeric_names(self.reference), path)
+        self.stored = StoredReference(self.reference.sparkSession, path)
+        return self
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str, p_value_threshold: float = ALPHA) -> DriftDetector:
+        detector = cls(p_value_threshold)
+        detector.stored = StoredReference(spark, path)
+        return detector
+
     def detect(self, current: DataFrame) -> DataFrame:
+        if self.stored is not None:
+            return self.stored.report(current, self.p_value_threshold)
         if self.reference is None:
             raise ValueError("fit the detector on a reference table first")
         return drift_report(self.reference, current, alpha=self.p_value_threshold)

@@ -29,7 +29,8 @@ def value_boundaries(df: DataFrame, columns: list[str], rows_per_bucket: int = R
     sketched = df.agg(
         *[F.percentile_approx(c, [i / need[c] for i in range(1, need[c])], SKETCH_ACCURACY).alias(c) for c in large]
     ).first()
-    return {c: sorted(set(sketched[c])) if c in large else [] for c in columns}
+    # Infinities are the outer ends already.
+    return {c: sorted({b for b in sketched[c] if math.isfinite(b)}) if c in large else [] for c in columns}
 
 
 def _with_buckets(df: DataFrame, columns: list[str], boundaries: dict[str, list[float]]) -> DataFrame:
@@ -43,6 +44,22 @@ def _with_buckets(df: DataFrame, columns: list[str], boundaries: dict[str, list[
     return df
 
 
+def _collapsed(base: DataFrame, columns: list[str], measures: list[str], boundaries: dict[str, list[float]]) -> DataFrame:
+    """Sums of the measures by feature, bucket and distinct value. -0.0 and 0.0 are one value for grouping and ordering alike."""
+    tagged = _with_buckets(base, columns, boundaries)
+    cells = F.array(
+        *[F.struct(F.lit(c).alias("feature"), F.col(f"_b_{c}").alias("bucket"), F.col(c).alias("value")) for c in columns]
+    )
+    long = tagged.select(F.inline(cells), *measures).filter("value IS NOT NULL AND NOT isnan(value)")
+    return long.groupBy("feature", "bucket", "value").agg(*[F.sum(m).alias(m) for m in measures])
+
+
+def bucketed_counts(df: DataFrame, columns: list[str], boundaries: dict[str, list[float]]) -> DataFrame:
+    """(feature, bucket, value, n) of every distinct value, in buckets of given boundaries."""
+    base = df.select(*[F.col(c).cast("double").alias(c) for c in columns], F.lit(1).cast("bigint").alias("n"))
+    return _collapsed(base, columns, ["n"], boundaries)
+
+
 def cumulative_by_value(
     df: DataFrame,
     columns: list[str],
@@ -54,13 +71,7 @@ def cumulative_by_value(
     ``m`` is the sum of the measure at the value, ``cum_m`` the sum up to and including it, ``total_m`` over all.
     """
     base = df.select(*[F.col(c).cast("double").alias(c) for c in columns], *[m.alias(n) for n, m in measures.items()])
-    tagged = _with_buckets(base, columns, value_boundaries(base, columns, rows_per_bucket))
-    cells = F.array(
-        *[F.struct(F.lit(c).alias("feature"), F.col(f"_b_{c}").alias("bucket"), F.col(c).alias("value")) for c in columns]
-    )
-    long = tagged.select(F.inline(cells), *measures).filter("value IS NOT NULL AND NOT isnan(value)")
-    # -0.0 and 0.0 are one value for grouping and ordering alike.
-    collapsed = long.groupBy("feature", "bucket", "value").agg(*[F.sum(m).alias(m) for m in measures])
+    collapsed = _collapsed(base, columns, list(measures), value_boundaries(base, columns, rows_per_bucket))
 
     by_bucket = Window.partitionBy("feature").orderBy("bucket")
     before = by_bucket.rowsBetween(Window.unboundedPreceding, -1)

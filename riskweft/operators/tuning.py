@@ -48,6 +48,8 @@ GRIDS: dict[str, dict[str, list]] = {
     "mlp": {"hidden_layer_sizes": [(50,), (100,), (100, 50)], "max_iter": [200]},
 }
 SCORINGS = ("roc_auc", "pr_auc")
+#: Fits that run side by side at most.
+MOST_FITS = 8
 
 
 def draw(space: dict[str, tuple], trials: int, seed: int = 42) -> list[dict]:
@@ -102,13 +104,19 @@ def cross_validate(
     if scoring not in SCORINGS:
         raise ValueError(f"unknown scoring {scoring!r}, choose one of {SCORINGS}")
     folded = df if "fold" in df.columns else stratified_folds(df, folds, row_id=row_id, seed=seed)
-    scores = []
-    for fold in range(folds):
-        one = prepared[fold] if prepared else preprocessor or _without_fold()
-        fitted = train(folded.filter(F.col("fold") != fold), name, sampler, overrides, one, row_id, seed)
-        held_out = fitted.score(folded.filter(F.col("fold") == fold).drop("score"))
-        scores.append(ranking_areas(score_runs(held_out)).first()[scoring])
-    return scores
+    return [
+        fold_score(folded, fold, name, overrides, scoring, sampler, prepared[fold] if prepared else preprocessor or _without_fold(), row_id, seed)
+        for fold in range(folds)
+    ]
+
+
+def fold_score(
+    folded: DataFrame, fold: int, name: str, overrides: dict | None, scoring: str, sampler: str, prepared: Preprocessor | PreprocessorModel, row_id: str, seed: int
+) -> float:
+    """Score of one held-out fold."""
+    fitted = train(folded.filter(F.col("fold") != fold), name, sampler, overrides, prepared, row_id, seed)
+    held_out = fitted.score(folded.filter(F.col("fold") == fold).drop("score"))
+    return ranking_areas(score_runs(held_out)).first()[scoring]
 
 
 def search(
@@ -118,24 +126,28 @@ def search(
     folds: int = 5,
     scoring: str = "roc_auc",
     sampler: str = "weights",
-    parallelism: int = 2,
+    parallelism: int | None = None,
     row_id: str = "event_id",
     seed: int = 42,
 ) -> tuple[dict, DataFrame]:
-    """(best candidate, table of candidates with their mean score); a few candidates are fitted side by side.
+    """(best candidate, table of candidates with their mean score).
 
-    The folds are kept and preprocessed once; candidates differ in the classifier alone.
+    The folds are kept and preprocessed once; candidates differ in the classifier alone. Every fit of a candidate on a fold is
+    one unit, ``parallelism`` units (by default one for each slot, at most ``MOST_FITS``, as each fit keeps its training rows) run side by side.
     """
+    if scoring not in SCORINGS:
+        raise ValueError(f"unknown scoring {scoring!r}, choose one of {SCORINGS}")
     folded = stratified_folds(df, folds, row_id=row_id, seed=seed).persist()
     try:
         prepared = [_without_fold().fit(folded.filter(F.col("fold") != fold)) for fold in range(folds)]
 
-        def score(candidate: dict) -> float:
-            values = cross_validate(folded, name, candidate, folds, scoring, sampler, row_id=row_id, seed=seed, prepared=prepared)
-            return sum(values) / len(values)
+        def score(unit: tuple[dict, int]) -> float:
+            return fold_score(folded, unit[1], name, unit[0], scoring, sampler, prepared[unit[1]], row_id, seed)
 
-        with ThreadPoolExecutor(parallelism) as pool:
-            means = list(pool.map(score, candidates))
+        side_by_side = parallelism or min(MOST_FITS, max(2, df.sparkSession.sparkContext.defaultParallelism))
+        with ThreadPoolExecutor(side_by_side) as pool:
+            values = list(pool.map(score, [(c, fold) for c in candidates for fold in range(folds)]))
+        means = [sum(values[i * folds : (i + 1) * folds]) / folds for i in range(len(candidates))]
     finally:
         folded.unpersist()
     best = max(range(len(candidates)), key=lambda i: means[i])

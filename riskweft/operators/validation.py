@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskweft.functions.exprs import any_of, finite, flag, rows_from_wide
+from riskweft.functions.exprs import any_of, digest, finite, flag, rows_from_wide
 from riskweft.schema import COLUMN_TYPES, LABEL, MONEY_COLUMNS, REQUEST_FIELDS, REQUIRED_COLUMNS, missing_columns
 
 
@@ -69,9 +69,11 @@ def validate_table(df: DataFrame) -> DataFrame:
 
 
 def duplicate_summary(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Rows, second-and-later copies of identical rows, and their share; NULLs compare equal."""
-    names = columns or df.columns
-    copies = df.groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
+    """Rows, second-and-later copies of identical rows, and their share; NULLs compare equal.
+
+    Rows are grouped by a digest of 128 bits, so the shuffle holds digests instead of rows.
+    """
+    copies = df.select(*digest(*(columns or df.columns))).groupBy("d0", "d1").agg(F.count(F.lit(1)).alias("_n"))
     summed = copies.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"), F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicates"))
     return summed.select("rows", "duplicates", F.try_divide(F.col("duplicates") * F.lit(100.0), F.col("rows")).alias("duplicate_pct"))
 

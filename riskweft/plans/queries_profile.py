@@ -11,6 +11,7 @@ from riskweft.functions.features import account_prefix, interaction_features
 from riskweft.operators import correlation, outliers, profile, quality_report, validation
 from riskweft.plans.queries_features import GAPS, INTERACTION_NAMES, INTERACTION_SQL, gaps
 from riskweft.plans.registry import query
+from riskweft.sources.inspection import distinct_wide
 from riskweft.schema import MONEY_COLUMNS, NUMERIC_COLUMNS, REQUIRED_COLUMNS
 from riskweft.sources.transactions import read_table, transactions, transactions_with_gaps
 
@@ -61,9 +62,8 @@ def _(spark, sf):
 
 @query("e3_distinct_counts", "SELECT count(DISTINCT type) AS types, count(DISTINCT nameOrig) AS origins, count(DISTINCT nameDest) AS destinations FROM txn_gaps")
 def _(spark, sf):
-    return transactions_with_gaps(spark, sf).agg(
-        F.count_distinct("type").alias("types"), F.count_distinct("nameOrig").alias("origins"), F.count_distinct("nameDest").alias("destinations")
-    )
+    wide = distinct_wide(transactions_with_gaps(spark, sf), ["type", "nameOrig", "nameDest"])
+    return wide.withColumnsRenamed({"type": "types", "nameOrig": "origins", "nameDest": "destinations"})
 
 
 DUP_SQL = """SELECT n AS "rows", n - d AS duplicates, round((n - d) * 100.0e0 / n, 6) AS duplicate_pct FROM

@@ -9,6 +9,7 @@ from riskweft.operators import drift, tests_of_difference as tests
 from riskweft.plans.queries_profile import union
 from riskweft.plans.registry import query
 from riskweft.schema import MONEY_COLUMNS, NUMERIC_COLUMNS
+from riskweft.session import scratch_path
 from riskweft.sources.transactions import read_table, transactions
 
 LINE_COLUMNS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -66,9 +67,14 @@ def _(spark, sf):
     return round_doubles(tests.chi_square(read_table(spark, sf, "labels"), "quality", "toxic")).select("statistic", "dof")
 
 
-@query("j2_chi_square_significance")
+@query(
+    "j2_chi_square_significance",
+    # The closed form of the tail for an even number of degrees of freedom, here 4.
+    f"""SELECT statistic, dof, round(exp(-statistic / 2) * (1 + statistic / 2), 6) AS p_value, CASE WHEN exp(-statistic / 2) * (1 + statistic / 2) < 0.05e0 THEN 1 ELSE 0 END AS significant
+        FROM ({chi_square_sql("txn", "type", "isFraud")}) x""",
+)
 def _(spark, sf):
-    return tests.chi_square(transactions(spark, sf), "type", "isFraud")
+    return round_doubles(tests.chi_square(transactions(spark, sf), "type", "isFraud"))
 
 
 def ks_sql(c: str, reference: str, current: str) -> str:
@@ -78,6 +84,15 @@ def ks_sql(c: str, reference: str, current: str) -> str:
         WHERE v IS NOT NULL GROUP BY v) g) r"""
 
 
+def tested_sql(sql: str) -> str:
+    """Adds p_value (Kolmogorov's series) and drifted to rows of the two-sample test."""
+    effective = "sqrt(CAST(n_reference AS DOUBLE) * n_current / (n_reference + n_current))"
+    series = "2 * list_sum(list_transform(range(1, 101), lambda k: CASE WHEN k % 2 = 1 THEN 1 ELSE -1 END * exp(-2.0e0 * k * k * x * x)))"
+    tail = f"CASE WHEN x < 0.2e0 THEN 1.0e0 ELSE least(greatest({series}, 0.0e0), 1.0e0) END"
+    argument = f"({effective} + 0.12e0 + 0.11e0 / {effective}) * statistic"
+    return f"SELECT * EXCLUDE (x, p), round(p, 6) AS p_value, CASE WHEN p < 0.05e0 THEN 1 ELSE 0 END AS drifted FROM (SELECT *, {tail} AS p FROM (SELECT *, {argument} AS x FROM ({sql}) k0) k1) k2"
+
+
 HALVES = "ref AS (SELECT * FROM txn WHERE step < 360), cur AS (SELECT * FROM txn WHERE step >= 360)"
 
 
@@ -102,14 +117,32 @@ def _(spark, sf):
     return tests.ks_two_sample(early, late, LINE_COLUMNS).drop("p_value").withColumn("statistic", F.round("statistic", 9))
 
 
-@query("j4_drift_report", union([ks_sql(c, "ref", "cur") for c in MONEY_COLUMNS + ["score"]]), ctes=HALVES)
+@query("j4_drift_report", tested_sql(union([ks_sql(c, "ref", "cur") for c in MONEY_COLUMNS + ["score"]])), ctes=HALVES)
 def _(spark, sf):
     reference, current = _halves(spark, sf)
-    report = drift.DriftDetector().fit(reference).detect(current)
-    return report.select("feature", "n_reference", "n_current", F.round("statistic", 9).alias("statistic"))
+    return rounded_test(drift.DriftDetector().fit(reference).detect(current))
 
 
-@query("j4_drift_summary")
+@query("j4_stored_reference", tested_sql(union([ks_sql(c, "ref", "cur") for c in MONEY_COLUMNS + ["score"]])), ctes=HALVES)
+def _(spark, sf):
+    """As ``j4_drift_report``, by the distribution that was stored and loaded again."""
+    reference, current = _halves(spark, sf)
+    path = scratch_path(spark, "reference")
+    drift.DriftDetector().fit(reference).save(path)
+    return rounded_test(drift.DriftDetector.load(spark, path).detect(current))
+
+
+def rounded_test(report):
+    return report.withColumns({"statistic": F.round("statistic", 9), "p_value": F.round("p_value", 6)})
+
+
+@query(
+    "j4_drift_summary",
+    f"""SELECT count(*) AS features_tested, CAST(sum(drifted) AS BIGINT) AS features_drifted, max(drifted) AS drift_detected,
+        coalesce(string_agg(CASE WHEN drifted = 1 THEN feature END, ',' ORDER BY feature), '') AS drifted_features
+        FROM ({tested_sql(union([ks_sql(c, "ref", "cur") for c in MONEY_COLUMNS + ["score"]]))}) t""",
+    ctes=HALVES,
+)
 def _(spark, sf):
     return drift.drift_summary(drift.drift_report(*_halves(spark, sf)))
 

@@ -6,8 +6,11 @@ from pyspark.sql import functions as F
 
 from riskweft.functions.exprs import round_doubles
 from riskweft.operators.scoring import response_records
+from riskweft.operators.reference import store_reference
 from riskweft.plans.queries_models import RESPONSE_SQL, fitted_model
+from riskweft.plans.queries_profile import union
 from riskweft.plans.queries_sources import DUCK_CASTS
+from riskweft.plans.queries_stats import ks_sql, rounded_test, tested_sql
 from riskweft.plans.queries_validation import REQUEST_ERROR_SQL
 from riskweft.plans.registry import query
 from riskweft.schema import MONEY_COLUMNS
@@ -77,13 +80,29 @@ def _(spark, sf):
     return round_doubles(latest.withColumn("window_start", F.col("window_start").cast("timestamp_ntz")))
 
 
-@query("l4_batch_drift")
+def _batch_drift_sql(part: int) -> str:
+    """The test of one part of the events against the early hours."""
+    return f"SELECT *, CAST({part} AS BIGINT) AS batch_id FROM ({tested_sql(union([ks_sql(c, 'ref', f'part{part}') for c in MONEY_COLUMNS]))}) b{part}"
+
+
+PARTS = 3
+
+
+@query(
+    "l4_batch_drift",
+    union([_batch_drift_sql(k) for k in range(PARTS)]),
+    ctes="ref AS (SELECT * FROM txn WHERE step < 360), " + ", ".join(f"part{k} AS (SELECT * FROM txn WHERE event_id % {PARTS} = {k})" for k in range(PARTS)),
+)
 def _(spark, sf):
-    reference = transactions(spark, sf).filter("step < 360")
-    out = scratch_path(spark, "drift")
-    handler = drift.drift_handler(reference, MONEY_COLUMNS, out)
-    runner.run_to_end(derive_transactions(spark, events_stream(spark, sf)), handler, scratch_path(spark, "checkpoint"))
-    return runner.read_batches(spark, out, drift.DRIFT_SCHEMA)
+    """Three files that arrive one after the other, each a batch against the stored distribution."""
+    arriving, out, path = scratch_path(spark, "arriving"), scratch_path(spark, "drift"), scratch_path(spark, "reference")
+    store_reference(transactions(spark, sf).filter("step < 360"), MONEY_COLUMNS, path)
+    events = read_table(spark, sf, "events")
+    for k in range(PARTS):
+        events.filter(F.col("event_id") % PARTS == k).coalesce(1).write.mode("append").parquet(arriving)
+    stream = runner.read_stream(spark, arriving, events.schema, files_per_batch=1)
+    runner.run_to_end(derive_transactions(spark, stream), drift.drift_handler(path, out), scratch_path(spark, "checkpoint"))
+    return rounded_test(runner.read_batches(spark, out, drift.DRIFT_SCHEMA))
 
 
 @query("l5_account_counts", "SELECT nameOrig AS account, count(*) AS n FROM txn GROUP BY nameOrig")

@@ -1,20 +1,28 @@
-"""Drift of every micro-batch against a stored reference."""
+"""Drift of every micro-batch against a stored reference.
+
+The handler reads the stored distribution, never the reference's rows; a batch meets the buckets of its own values.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from riskweft.operators.drift import drift_report
+from riskweft.operators.reference import StoredReference
 from riskweft.streaming.runner import BatchHandler, write_batch
 
 DRIFT_SCHEMA = "feature string, n_reference bigint, n_current bigint, statistic double, p_value double, drifted int"
 
 
-def drift_handler(reference: DataFrame, columns: list[str], out: str) -> BatchHandler:
+def drift_handler(path: str, out: str) -> BatchHandler:
+    """Tests each batch against the reference stored at ``path``."""
+    held: list[StoredReference] = []
+
     def handle(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.select(*columns).persist()
+        if not held:
+            held.append(StoredReference(batch.sparkSession, path))
+        batch = batch.select(*[c for c in held[0].boundaries if c in batch.columns]).persist()
         try:
-            write_batch(drift_report(reference.select(*columns), batch), out, batch_id)
+            write_batch(held[0].report(batch), out, batch_id)
         finally:
             batch.unpersist()
 
