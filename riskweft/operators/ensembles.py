@@ -37,6 +37,14 @@ def soft_vote(members: list[Trained], df: DataFrame, output: str = "score") -> D
     return scored.select(*df.columns, _mean(names).alias(output))
 
 
+@dataclass
+class SoftVote:
+    members: list[Trained]
+
+    def score(self, df: DataFrame, output: str = "score") -> DataFrame:
+        return soft_vote(self.members, df, output)
+
+
 @dataclass
 class Bagging:
     preprocessor: PreprocessorModel

@@ -11,6 +11,7 @@ from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, Transformer
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
+    GBTClassificationModel,
     GBTClassifier,
     LinearSVC,
     LogisticRegression,
@@ -21,12 +22,22 @@ from pyspark.ml.classification import (
 from pyspark.ml.feature import VectorSlicer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.util import (
+    DefaultParamsReadable,
+    DefaultParamsReader,
+    DefaultParamsWritable,
+    DefaultParamsWriter,
+    MLReadable,
+    MLReader,
+    MLWritable,
+    MLWriter,
+)
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskweft.operators.knn import as_points, knn_join
+from riskweft.session import scratch_path
 
 FEATURES, TARGET = "features", "label"
 SCRATCH_COLUMNS = ["rawPrediction", "probability", "prediction", "svm_raw", "svm_prediction", "svm_margin", "rbf"]
@@ -180,29 +191,67 @@ class AdaBoostModel(Model, DefaultParamsReadable, DefaultParamsWritable):
 
 
 class NearestNeighbours(Estimator):
-    """Share of positives among the k nearest training rows; both tables need the row id column."""
+    """Share of positives among the k nearest training rows; both tables need the row id column.
+
+    The training rows are written to the shared folder, so the model outlives the frame that it was fitted on.
+    """
 
     def __init__(self, k: int = 5, row_id: str = "event_id"):
         super().__init__()
         self.k, self.row_id = k, row_id
 
     def _fit(self, dataset: DataFrame) -> NearestNeighboursModel:
-        return NearestNeighboursModel(dataset.select(self.row_id, FEATURES, TARGET), self.k, self.row_id)
+        path = scratch_path(dataset.sparkSession, "neighbours")
+        dataset.select(self.row_id, FEATURES, TARGET).write.parquet(path)
+        return NearestNeighboursModel(train=dataset.sparkSession.read.parquet(path), k=self.k, rowId=self.row_id)
+
+
+class _NeighboursWriter(MLWriter):
+    """Parameters beside the training rows as Parquet."""
+
+    def __init__(self, model: NearestNeighboursModel):
+        super().__init__()
+        self.model = model
+
+    def saveImpl(self, path: str) -> None:
+        DefaultParamsWriter.saveMetadata(self.model, path, self.sparkSession)
+        self.model.train.write.parquet(f"{path}/rows")
+
 
+class _NeighboursReader(MLReader):
+    def load(self, path: str) -> NearestNeighboursModel:
+        metadata = DefaultParamsReader.loadMetadata(path, self.sparkSession)
+        model = NearestNeighboursModel(train=self.sparkSession.read.parquet(f"{path}/rows"))
+        DefaultParamsReader.getAndSetParams(model, metadata)
+        return model._resetUid(metadata["uid"])
 
-class NearestNeighboursModel(Model):
-    def __init__(self, train: DataFrame, k: int, row_id: str):
+
+class NearestNeighboursModel(Model, MLReadable, MLWritable):
+    k = Param(Params._dummy(), "k", "number of neighbours", TypeConverters.toInt)
+    rowId = Param(Params._dummy(), "rowId", "row id column", TypeConverters.toString)
+
+    def __init__(self, train: DataFrame, k: int = 5, rowId: str = "event_id"):
         super().__init__()
-        self.train, self.k, self.row_id = train, k, row_id
+        self.train = train
+        self._set(k=k, rowId=rowId)
+
+    def write(self) -> MLWriter:
+        return _NeighboursWriter(self)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return _NeighboursReader()
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
+        row_id = self.getOrDefault("rowId")
+
         def points(df: DataFrame) -> DataFrame:
-            return as_points(df.select(self.row_id, vector_to_array(FEATURES).alias("_x")), self.row_id, ["_x"])
+            return as_points(df.select(row_id, vector_to_array(FEATURES).alias("_x")), row_id, ["_x"])
 
-        near = knn_join(points(dataset), points(self.train), self.k)
-        labels = self.train.select(F.col(self.row_id).alias("neighbour"), F.col(TARGET).alias("_label"))
+        near = knn_join(points(dataset), points(self.train), self.getOrDefault("k"))
+        labels = self.train.select(F.col(row_id).alias("neighbour"), F.col(TARGET).alias("_label"))
         votes = near.join(labels, "neighbour").groupBy("id").agg(F.avg("_label").alias("_p"))
-        joined = dataset.join(votes.withColumnRenamed("id", self.row_id), self.row_id, "left")
+        joined = dataset.join(votes.withColumnRenamed("id", row_id), row_id, "left")
         return joined.select(
             *dataset.columns,
             array_to_vector(F.array(1 - F.col("_p"), F.col("_p"))).alias("probability"),
@@ -239,6 +288,10 @@ WEIGHTING = {
 }
 
 
+#: Models whose first rounds are themselves the fit of fewer rounds.
+BOOSTED = ("gradient_boosting", "xgboost", "lightgbm", "catboost")
+
+
 def model_names() -> list[str]:
     return list(DEFAULTS)
 
@@ -288,7 +341,7 @@ def build_classifier(
         return RandomForestClassifier(
             numTrees=p["n_estimators"], maxDepth=p["max_depth"], minInstancesPerNode=p["min_samples_leaf"], maxMemoryInMB=1024, seed=seed, **common
         )
-    if name in ("gradient_boosting", "xgboost", "lightgbm", "catboost"):
+    if name in BOOSTED:
         return _boosted_trees(p, common, seed)
     if name == "svm":
         return _svm(p["kernel"], 1.0 / (p["C"] * total), weight, seed)
@@ -304,6 +357,20 @@ def build_classifier(
     return NaiveBayes(modelType="gaussian", **common)
 
 
+def first_trees(model: GBTClassificationModel, trees: int) -> GBTClassificationModel:
+    """The model after its first ``trees`` rounds, equal to a fit of that many rounds with the other settings unchanged."""
+    spark = SparkSession.getActiveSession()
+    java, gateway = model._java_obj, spark.sparkContext._gateway
+    kept = min(trees, model.getNumTrees)
+    core = spark._jvm.org.apache.spark.ml
+    members = gateway.new_array(core.regression.DecisionTreeRegressionModel, kept)
+    weights = gateway.new_array(spark._jvm.double, kept)
+    for i, (tree, weight) in enumerate(zip(java.trees()[:kept], java.treeWeights()[:kept])):
+        members[i], weights[i] = tree, weight
+    part = core.classification.GBTClassificationModel(f"{model.uid}_{kept}", members, weights, model.numFeatures, 2)
+    return GBTClassificationModel(part).setFeaturesCol(model.getFeaturesCol())
+
+
 def model_info(name: str, model: Model, features: list[str]) -> dict:
     core = model.stages[-1] if hasattr(model, "stages") else model
     return {"model": name, "class_name": type(core).__name__, "n_features": len(features), "has_importances": hasattr(core, "featureImportances")}

@@ -113,6 +113,48 @@ def stratified_folds(df: DataFrame, folds: int = 5, label: str = LABEL, seed: in
     return hashed.withColumn("fold", fold).drop(KEY)
 
 
+def time_blocks(df: DataFrame, folds: int = 5, order: str = "step", tie: str = "event_id") -> DataFrame:
+    """``block`` 0..folds in clock order: blocks 1..folds hold rows // (folds + 1) rows each, block 0 the earlier rest.
+
+    Rows without a clock come last, ordered by the tie-break. Fold f trains on the blocks before f and is tested on block f.
+    """
+    total = df.count()
+    size = total // (folds + 1)
+    ends = [total - size * (folds - j) for j in range(folds)]
+    cutoffs = prefix_cutoffs(df.select(order, tie), order, tie, [(F.lit(True), total, end) for end in ends], nulls=True)
+    block = F.lit(folds)
+    for j, cutoff in reversed(list(enumerate(cutoffs))):
+        block = F.when(_covered(cutoff, order, tie), j).otherwise(block)
+    return df.withColumn("block", block)
+
+
+def time_folds(df: DataFrame, folds: int = 5, order: str = "step", tie: str = "event_id", label: str = LABEL) -> DataFrame:
+    """One row for each expanding window: sizes and positives of its two parts, and the clock borders between them."""
+    per_block = (
+        time_blocks(df, folds, order, tie)
+        .groupBy("block")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum(label).alias("p"), F.min(order).alias("low"), F.max(order).alias("high"))
+    )
+    spread = per_block.withColumn("fold", F.explode(F.sequence(F.greatest("block", F.lit(1)), F.lit(folds))))
+    earlier, tested = F.col("block") < F.col("fold"), F.col("block") == F.col("fold")
+
+    def part(column: str, where: Column, function) -> Column:
+        return function(F.when(where, F.col(column)))
+
+    return (
+        spread.groupBy("fold")
+        .agg(
+            part("n", earlier, F.sum).alias("train_rows"),
+            part("p", earlier, F.sum).alias("train_positives"),
+            part("high", earlier, F.max).alias("train_last"),
+            F.coalesce(part("n", tested, F.sum), F.lit(0)).alias("test_rows"),
+            part("p", tested, F.sum).alias("test_positives"),
+            part("low", tested, F.min).alias("test_first"),
+            part("high", tested, F.max).alias("test_last"),
+        )
+    )
+
+
 def random_sample(df: DataFrame, size: int, seed: int = 42, row_id: str = "event_id") -> DataFrame:
     """Exactly ``size`` rows (all when there are fewer), uniformly by hash order."""
     hashed = _hashed(df, seed, row_id)

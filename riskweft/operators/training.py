@@ -92,8 +92,7 @@ def train(
     total = frame.agg(F.sum(weight) if weight else F.count(F.lit(1))).first()[0]
     estimator = build_classifier(name, overrides, len(fitted.feature_names()), weight, seed, row_id, float(total or 1))
     model = estimator.fit(frame)
-    if name != "knn":
-        frame.unpersist()
+    frame.unpersist()
     return Trained(name, fitted, model, seconds=time.monotonic() - started)
 
 

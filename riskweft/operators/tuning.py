@@ -6,13 +6,15 @@ import itertools
 import math
 import random
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskweft.operators.metrics import ranking_areas, score_runs
+from riskweft.operators.models import BOOSTED, first_trees, parameters
 from riskweft.operators.preprocess import Preprocessor, PreprocessorModel
-from riskweft.operators.splits import stratified_folds
+from riskweft.operators.splits import stratified_folds, time_blocks
 from riskweft.operators.training import train
 
 # Search ranges per model: (kind, low, high); "log" draws uniformly on the logarithm.
@@ -114,9 +116,54 @@ def fold_score(
     folded: DataFrame, fold: int, name: str, overrides: dict | None, scoring: str, sampler: str, prepared: Preprocessor | PreprocessorModel, row_id: str, seed: int
 ) -> float:
     """Score of one held-out fold."""
-    fitted = train(folded.filter(F.col("fold") != fold), name, sampler, overrides, prepared, row_id, seed)
-    held_out = fitted.score(folded.filter(F.col("fold") == fold).drop("score"))
-    return ranking_areas(score_runs(held_out)).first()[scoring]
+    return family_scores(folded, fold, name, [overrides or {}], scoring, sampler, prepared, row_id, seed)[0]
+
+
+def families(name: str, candidates: list[dict]) -> list[list[int]]:
+    """Places of the candidates that one fit answers: boosted trees that differ in their number of rounds alone."""
+    found: dict[str, list[int]] = {}
+    for i, candidate in enumerate(candidates):
+        rest = {k: v for k, v in parameters(name, candidate).items() if k != "n_estimators"}
+        found.setdefault(str(sorted(rest.items())) if name in BOOSTED else str(i), []).append(i)
+    return list(found.values())
+
+
+def family_scores(
+    folded: DataFrame, fold: int, name: str, family: list[dict], scoring: str, sampler: str, prepared: Preprocessor | PreprocessorModel, row_id: str, seed: int
+) -> list[float]:
+    """Scores of a held-out fold for candidates of one family: the largest is fitted, the others are its first rounds."""
+    held_out = folded.filter(F.col("fold") == fold).drop("score")
+    rounds = [parameters(name, candidate).get("n_estimators") for candidate in family]
+    largest = family[max(range(len(family)), key=lambda i: rounds[i] or 0)]
+    fitted = train(folded.filter(F.col("fold") != fold), name, sampler, largest, prepared, row_id, seed)
+    members = [fitted] if len(family) == 1 else [replace(fitted, model=first_trees(fitted.model, r)) for r in rounds]
+    return [ranking_areas(score_runs(m.score(held_out))).first()[scoring] for m in members]
+
+
+def cross_validate_over_time(
+    df: DataFrame,
+    name: str,
+    overrides: dict | None = None,
+    folds: int = 5,
+    scoring: str = "roc_auc",
+    sampler: str = "weights",
+    order: str = "step",
+    row_id: str = "event_id",
+    seed: int = 42,
+) -> list[float | None]:
+    """Score of each block of time, by a model fitted on all that lies before it; None where the block has one class alone."""
+    if scoring not in SCORINGS:
+        raise ValueError(f"unknown scoring {scoring!r}, choose one of {SCORINGS}")
+    blocks = time_blocks(df, folds, order, row_id).persist()
+    try:
+        scores: list[float | None] = []
+        for fold in range(1, folds + 1):
+            before, block = blocks.filter(F.col("block") < fold).drop("block"), blocks.filter(F.col("block") == fold).drop("block", "score")
+            fitted = train(before, name, sampler, overrides, None, row_id, seed)
+            scores.append(ranking_areas(score_runs(fitted.score(block))).first()[scoring])
+        return scores
+    finally:
+        blocks.unpersist()
 
 
 def search(
@@ -132,8 +179,8 @@ def search(
 ) -> tuple[dict, DataFrame]:
     """(best candidate, table of candidates with their mean score).
 
-    The folds are kept and preprocessed once; candidates differ in the classifier alone. Every fit of a candidate on a fold is
-    one unit, ``parallelism`` units (by default one for each slot, at most ``MOST_FITS``, as each fit keeps its training rows) run side by side.
+    The folds are kept and preprocessed once; candidates differ in the classifier alone, and one fit answers all candidates of a
+    family. Every family on a fold is one unit, largest first, and ``parallelism`` units (by default one for each slot, at most ``MOST_FITS``, as each fit keeps its training rows) run side by side.
     """
     if scoring not in SCORINGS:
         raise ValueError(f"unknown scoring {scoring!r}, choose one of {SCORINGS}")
@@ -141,13 +188,21 @@ def search(
     try:
         prepared = [_without_fold().fit(folded.filter(F.col("fold") != fold)) for fold in range(folds)]
 
-        def score(unit: tuple[dict, int]) -> float:
-            return fold_score(folded, unit[1], name, unit[0], scoring, sampler, prepared[unit[1]], row_id, seed)
+        def score(unit: tuple[list[int], int]) -> list[float]:
+            members, fold = unit
+            return family_scores(folded, fold, name, [candidates[i] for i in members], scoring, sampler, prepared[fold], row_id, seed)
+
+        def cost(members: list[int]) -> float:
+            p = parameters(name, candidates[members[0]])
+            return max(parameters(name, candidates[i]).get("n_estimators", 1) for i in members) * (p.get("max_depth") or 5)
 
+        units = [(m, fold) for m in sorted(families(name, candidates), key=cost, reverse=True) for fold in range(folds)]
         side_by_side = parallelism or min(MOST_FITS, max(2, df.sparkSession.sparkContext.defaultParallelism))
+        values: dict[tuple[int, int], float] = {}
         with ThreadPoolExecutor(side_by_side) as pool:
-            values = list(pool.map(score, [(c, fold) for c in candidates for fold in range(folds)]))
-        means = [sum(values[i * folds : (i + 1) * folds]) / folds for i in range(len(candidates))]
+            for (members, fold), scores in zip(units, pool.map(score, units)):
+                values |= {(i, fold): value for i, value in zip(members, scores)}
+        means = [sum(values[i, fold] for fold in range(folds)) / folds for i in range(len(candidates))]
     finally:
         folded.unpersist()
     best = max(range(len(candidates)), key=lambda i: means[i])

@@ -210,6 +210,45 @@ def _(spark, sf):
     return artifacts.load_model(path, spark).score(last).select("event_id", "score")
 
 
+def _saved_sql(name: str) -> str:
+    last = "SELECT event_id FROM (SELECT event_id, row_number() OVER (ORDER BY step, event_id) AS i, count(*) OVER () AS n FROM txn) r"
+    return f"""SELECT '{name}' AS name, count(*) AS "rows", CAST(0 AS BIGINT) AS differing
+      FROM ({last} WHERE i > CAST(floor(n * 0.6e0) AS BIGINT) + CAST(floor(n * 0.2e0) AS BIGINT)) t"""
+
+
+def _saved(name: str, scorer, spark, sf):
+    """(name, rows, differing): a model or ensemble is saved and read back; rows of the test part whose two scores differ."""
+    _, _, last = _parts(spark, sf)
+    path = scratch_path(spark, "saved")
+    if isinstance(scorer, Trained):
+        loaded = artifacts.load_model(artifacts.save_model(scorer, path, spark), spark)
+    else:
+        loaded = artifacts.load_ensemble(artifacts.save_ensemble(scorer, path, spark), spark)
+    both = loaded.score(scorer.score(last, "before"), "after")
+    unequal = F.count(F.when(~F.col("before").eqNullSafe(F.col("after")), 1)).alias("differing")
+    return both.agg(F.lit(name).alias("name"), F.count("after").alias("rows"), unequal)
+
+
+for _name in model_names():
+    query(f"a13_saved_{_name}", _saved_sql(_name))(lambda spark, sf, name=_name: _saved(name, fitted_model(spark, sf, name), spark, sf))
+
+
+@query("a13_saved_soft_vote", _saved_sql("soft_vote"))
+def _(spark, sf):
+    members = [fitted_model(spark, sf, name) for name in ("logistic", "decision_tree", "naive_bayes")]
+    return _saved("soft_vote", ensembles.SoftVote(members), spark, sf)
+
+
+@query("a13_saved_bagging", _saved_sql("bagging"))
+def _(spark, sf):
+    return _saved("bagging", ensembles.bagging(_parts(spark, sf)[0], "decision_tree"), spark, sf)
+
+
+@query("a13_saved_stacking", _saved_sql("stacking"))
+def _(spark, sf):
+    return _saved("stacking", ensembles.stacking(_parts(spark, sf)[0], ["logistic", "naive_bayes"]), spark, sf)
+
+
 @query("a14_model_metadata")
 def _(spark, sf):
     path = scratch_path(spark, "model")

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from riskweft.operators import splits
+from riskweft.functions.exprs import round_doubles
+from riskweft.operators import encoding, splits
 from riskweft.plans.registry import query
-from riskweft.sources.transactions import read_table, transactions
+from riskweft.sources.transactions import read_table, transactions, transactions_with_gaps
 
 
 def key_sql(row_id: str = "event_id", seed: int = 42) -> str:
@@ -144,3 +145,63 @@ def _(spark, sf):
 )
 def _(spark, sf):
     return splits.stratified_folds(transactions(spark, sf)).select("event_id", "isFraud", "fold")
+
+
+BLOCKS = """blocks AS (SELECT *, CASE WHEN i < n - 5 * (n // 6) THEN 0 ELSE 5 - (n - 1 - i) // (n // 6) END AS block
+  FROM (SELECT event_id, step, isFraud, row_number() OVER (ORDER BY step NULLS LAST, event_id) - 1 AS i, count(*) OVER () AS n FROM txn) r)"""
+
+
+@query("p1_time_blocks", "SELECT event_id, CAST(block AS INTEGER) AS block FROM blocks", ctes=BLOCKS)
+def _(spark, sf):
+    return splits.time_blocks(transactions(spark, sf)).select("event_id", "block")
+
+
+@query(
+    "p1_time_folds",
+    """SELECT CAST(fold AS INTEGER) AS fold, count(*) FILTER (block < fold) AS train_rows, CAST(sum(isFraud) FILTER (block < fold) AS BIGINT) AS train_positives,
+       max(step) FILTER (block < fold) AS train_last, count(*) FILTER (block = fold) AS test_rows, CAST(sum(isFraud) FILTER (block = fold) AS BIGINT) AS test_positives,
+       min(step) FILTER (block = fold) AS test_first, max(step) FILTER (block = fold) AS test_last
+       FROM blocks, (VALUES (1), (2), (3), (4), (5)) f(fold) GROUP BY fold""",
+    ctes=BLOCKS,
+)
+def _(spark, sf):
+    return splits.time_folds(transactions(spark, sf))
+
+
+# Accounts of txn_gaps in the folds of g7; the means of the other folds.
+FOLDED = f"""keyed AS (SELECT event_id, nameDest, nameOrig, isFraud, {key_sql()} AS k FROM txn_gaps),
+  folded AS (SELECT *, CAST((i >= n * 1 // 5) AS INTEGER) + CAST((i >= n * 2 // 5) AS INTEGER) + CAST((i >= n * 3 // 5) AS INTEGER) + CAST((i >= n * 4 // 5) AS INTEGER) AS fold
+    FROM (SELECT *, row_number() OVER (PARTITION BY isFraud ORDER BY k, event_id) - 1 AS i, count(*) OVER (PARTITION BY isFraud) AS n FROM keyed) r),
+  priors AS (SELECT a.fold, CAST(sum(b.p) AS DOUBLE) / sum(b.n) AS prior FROM (SELECT DISTINCT fold FROM folded) a
+    JOIN (SELECT fold, sum(isFraud) AS p, count(*) AS n FROM folded GROUP BY fold) b ON a.fold <> b.fold GROUP BY a.fold)"""
+
+
+def _means_sql(key: str) -> str:
+    return f"""SELECT event_id, round((coalesce(w.p - o.p, 0) + 20.0e0 * prior) / (coalesce(w.n - o.n, 0) + 20.0e0), 6) AS encoded
+      FROM folded f JOIN priors USING (fold)
+      LEFT JOIN (SELECT {key}, CAST(sum(isFraud) AS DOUBLE) AS p, count(*) AS n FROM folded GROUP BY {key}) w ON f.{key} = w.{key}
+      LEFT JOIN (SELECT {key}, fold, CAST(sum(isFraud) AS DOUBLE) AS p, count(*) AS n FROM folded GROUP BY {key}, fold) o ON f.{key} = o.{key} AND f.fold = o.fold"""
+
+
+def _means(key: str):
+    def run(spark, sf):
+        df = transactions_with_gaps(spark, sf).select("event_id", "nameOrig", "nameDest", "isFraud")
+        return round_doubles(encoding.out_of_fold_means(df, key, "encoded").select("event_id", "encoded"))
+
+    return run
+
+
+query("p2_out_of_fold_origin", _means_sql("nameOrig"), ctes=FOLDED)(_means("nameOrig"))
+query("p2_out_of_fold_destination", _means_sql("nameDest"), ctes=FOLDED)(_means("nameDest"))
+
+
+@query(
+    "p2_target_encoding",
+    """SELECT t.event_id, round((coalesce(w.p, 0) + 20.0e0 * prior) / (coalesce(w.n, 0) + 20.0e0), 6) AS encoded FROM txn_gaps t
+       CROSS JOIN (SELECT CAST(sum(isFraud) AS DOUBLE) / count(*) AS prior FROM txn_gaps WHERE event_id % 2 = 0) a
+       LEFT JOIN (SELECT nameDest, CAST(sum(isFraud) AS DOUBLE) AS p, count(*) AS n FROM txn_gaps WHERE event_id % 2 = 0 GROUP BY nameDest) w ON t.nameDest = w.nameDest""",
+)
+def _(spark, sf):
+    """Means learned from the even rows, looked up for all rows."""
+    df = transactions_with_gaps(spark, sf).select("event_id", "nameDest", "isFraud")
+    return round_doubles(encoding.fit_target_encoder(df.filter("event_id % 2 = 0"), "nameDest").transform(df, "encoded").select("event_id", "encoded"))

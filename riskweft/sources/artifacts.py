@@ -8,6 +8,7 @@ from datetime import datetime, timezone
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
+from riskweft.operators.ensembles import Bagging, SoftVote, Stacking
 from riskweft.operators.models import model_info
 from riskweft.operators.training import Trained
 
@@ -51,3 +52,49 @@ def model_info_table(trained: Trained, spark: SparkSession) -> DataFrame:
         [(info["model"], info["class_name"], info["n_features"], int(info["has_importances"]))],
         "model string, class_name string, n_features int, has_importances int",
     )
+
+
+# ---- ensembles -------------------------------------------------------------------------------------------------------
+
+MEMBERS = "kind string, member int, features array<int>"
+
+
+def save_ensemble(ensemble: SoftVote | Bagging | Stacking, path: str, spark: SparkSession, seed: int = 42) -> str:
+    """``path/members`` holds kind and feature places of each member as Parquet, ``path/member=i`` the members themselves.
+
+    A bag's preprocessor and a stack's final model lie beside them. The list of members is written last: without it the
+    ensemble is not there.
+    """
+    base = path.rstrip("/")
+    if isinstance(ensemble, Bagging):
+        kind, places = "bagging", [list(indices) for indices, _ in ensemble.members]
+        PipelineModel(stages=[ensemble.preprocessor]).write().overwrite().save(f"{base}/preprocessor")
+        for i, (_, model) in enumerate(ensemble.members):
+            PipelineModel(stages=[model]).write().overwrite().save(f"{base}/member={i}")
+    elif isinstance(ensemble, (SoftVote, Stacking)):
+        kind, places = "stacking" if isinstance(ensemble, Stacking) else "soft_vote", [[] for _ in ensemble.members]
+        for i, member in enumerate(ensemble.members):
+            save_model(member, f"{base}/member={i}", spark, seed)
+        if isinstance(ensemble, Stacking):
+            PipelineModel(stages=[ensemble.final]).write().overwrite().save(f"{base}/final")
+    else:
+        raise TypeError(f"no ensemble: {type(ensemble).__name__}")
+    rows = [(kind, i, indices) for i, indices in enumerate(places)]
+    spark.createDataFrame(rows, MEMBERS).coalesce(1).write.mode("overwrite").parquet(f"{base}/members")
+    return base
+
+
+def load_ensemble(path: str, spark: SparkSession) -> SoftVote | Bagging | Stacking:
+    """A missing part is an error raised by the read."""
+    base = path.rstrip("/")
+    rows = spark.read.schema(MEMBERS).parquet(f"{base}/members").orderBy("member").collect()
+    if not rows:
+        raise FileNotFoundError(f"incomplete ensemble at {path}")
+
+    def only_stage(part: str):
+        return PipelineModel.load(f"{base}/{part}").stages[0]
+
+    if rows[0]["kind"] == "bagging":
+        return Bagging(only_stage("preprocessor"), [(list(r["features"]), only_stage(f"member={r['member']}")) for r in rows])
+    members = [load_model(f"{base}/member={r['member']}", spark) for r in rows]
+    return SoftVote(members) if rows[0]["kind"] == "soft_vote" else Stacking(members, only_stage("final"))
