@@ -35,7 +35,7 @@ from riskweft.llm.components import components
 
 THRESHOLD = 0.98
 SHARD_ROWS = 8192
-AUDIT_EVERY = 8
+AUDIT_EVERY = 1
 #: A widened beam looks beyond nodes down to the threshold less this; audits double it.
 FIRST_MARGIN = 0.02
 #: Neighbours of a node on the upper layers; twice as many on the lowest.
@@ -257,11 +257,11 @@ class Graph:
 
 def _build(threshold: float, every: int):
     def run(group: pa.Table) -> pa.Table:
-        group = group.sort_by("rep")
+        group = group.sort_by("node")
         vectors = unit(np.array(group["vector"].to_pylist(), np.float64))
         graph = Graph(vectors)
         graph.audit(threshold, every, group["shards"][0].as_py() > 1)
-        ids, copies = group["rep"].to_numpy(), group["copies"].to_numpy()
+        ids, copies = group["node"].to_numpy(), group["copies"].to_numpy()
         key = {c: group[c].slice(0, 1) for c in ("label", "dims", "shards", "shard")}
         own = {"graph": graph.state(), "ids": ids.tobytes(), "copies": copies.tobytes()}
         return pa.table({**key, **{c: pa.array([v], pa.binary()) for c, v in own.items()}, "beam": pa.array([graph.beam], pa.int32())})
@@ -277,7 +277,7 @@ def _find(threshold: float):
             return pa.table({"kind": pa.array([], pa.int32()), "a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
         graph = Graph.restored(graphs["graph"][0].as_py())
         ids, copies = (np.frombuffer(graphs[c][0].as_py(), np.int64) for c in ("ids", "copies"))
-        own = queries["rep"].to_numpy()
+        own = queries["node"].to_numpy()
         vectors = unit(np.array(queries["vector"].to_pylist(), np.float64))
         kind, a, b, parent = [], [], [], {}
 
@@ -325,7 +325,9 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD, shard_r
     vector = F.when(F.coalesce(sound, F.lit(False)), F.transform("embedding", lambda x: F.when(x == 0, F.lit(0.0)).otherwise(x.cast("double"))))
     rows = rows.select("vec_id", F.col("label").cast("string").alias("label"), vector.alias("vector"))
     reps = rows.dropna().groupBy("label", "vector").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
-    reps = written(reps.withColumn("dims", F.size("vector")), "vectors")
+    # Rows of one id can hold different vectors, so a vector has a number of its own; numbers follow the ids.
+    numbered = reps.orderBy("rep", "label", "vector").withColumn("node", F.monotonically_increasing_id())
+    reps = written(numbered.withColumn("dims", F.size("vector")), "vectors")
     sizes = reps.groupBy("label", "dims").agg(F.ceil(F.count(F.lit(1)) / shard_rows).cast("int").alias("shards"))
     dealt = reps.join(sizes, ["label", "dims"]).withColumn("shard", F.pmod(F.xxhash64("rep", "vector"), F.col("shards")).cast("int"))
     dealt = written(dealt, "shards")
@@ -334,15 +336,17 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD, shard_r
     )
     graphs = written(graphs, "graphs")
     blocks = F.explode(F.sequence(F.lit(0), F.col("shards") - 1))
-    queries = dealt.withColumnRenamed("shard", "block").withColumn("shard", blocks).select("label", "dims", "shard", "block", "rep", "vector")
+    queries = dealt.withColumnRenamed("shard", "block").withColumn("shard", blocks).select("label", "dims", "shard", "block", "node", "vector")
     targets = graphs.withColumn("block", blocks).select("label", "dims", "shard", "block", "graph", "ids", "copies")
     key = ["label", "dims", "shard", "block"]
     found = written(queries.groupBy(*key).cogroup(targets.groupBy(*key)).applyInArrow(_find(threshold), "kind int, a bigint, b bigint"), "found")
     labels = components(found.filter("kind = 1"), "a", "b")
-    counts = found.filter("kind = 0").groupBy(F.col("a").alias("rep")).agg(F.sum("b").alias("linked"))
+    smallest = reps.select(F.col("node").alias("component"), F.col("rep").alias("first"))
+    labels = labels.join(smallest, "component").select("node", F.col("first").alias("component"))
+    counts = found.filter("kind = 0").groupBy(F.col("a").alias("node")).agg(F.sum("b").alias("linked"))
     of_rep = (
-        reps.join(counts, "rep", "left")
-        .join(labels.withColumnRenamed("node", "rep"), "rep", "left")
+        reps.join(counts, "node", "left")
+        .join(labels, "node", "left")
         .select(
             "label",
             "vector",

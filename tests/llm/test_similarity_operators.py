@@ -161,6 +161,17 @@ def test_embeddings_equal_all_pairs(spark):
     assert embeddings.near_duplicates(df.filter("vec_id < 0")).count() == 0
 
 
+def test_vectors_that_share_an_id_are_separate(spark):
+    rng = np.random.default_rng(8)
+    v, w = (x.tolist() for x in rng.normal(size=(2, 16)))
+    near = [x + 0.001 for x in v]
+    rows = [(5, v, 1), (5, w, 1), (6, near, 1), (9, w, 1), (4, [-x for x in v], 1)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
+    want = H.ordered([(5, 1, 5, True), (5, 1, 5, True), (6, 1, 5, False), (9, 1, 5, False), (4, 0, 4, True)])
+    for shard_rows in (8192, 2):
+        assert H.ordered(embeddings.near_duplicates(df, shard_rows=shard_rows).collect()) == want
+
+
 def test_graph_recall_is_measured(sf):
     rng = np.random.default_rng(3)
     points = np.concatenate([rng.normal(size=64) + 0.02 * rng.normal(size=(k % 7 + 1, 64)) for k in range(300)])
