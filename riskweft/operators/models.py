@@ -7,7 +7,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark import keyword_only
+from pyspark import SparkContext, keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, Transformer
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -32,7 +32,7 @@ from pyspark.ml.util import (
     MLWritable,
     MLWriter,
 )
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -359,12 +359,13 @@ def build_classifier(
 
 def first_trees(model: GBTClassificationModel, trees: int) -> GBTClassificationModel:
     """The model after its first ``trees`` rounds, equal to a fit of that many rounds with the other settings unchanged."""
-    spark = SparkSession.getActiveSession()
-    java, gateway = model._java_obj, spark.sparkContext._gateway
+    # Threads of a search have no active session, so the context is asked.
+    java, context = model._java_obj, SparkContext._active_spark_context
+    gateway, jvm = context._gateway, context._jvm
     kept = min(trees, model.getNumTrees)
-    core = spark._jvm.org.apache.spark.ml
+    core = jvm.org.apache.spark.ml
     members = gateway.new_array(core.regression.DecisionTreeRegressionModel, kept)
-    weights = gateway.new_array(spark._jvm.double, kept)
+    weights = gateway.new_array(jvm.double, kept)
     for i, (tree, weight) in enumerate(zip(java.trees()[:kept], java.treeWeights()[:kept])):
         members[i], weights[i] = tree, weight
     part = core.classification.GBTClassificationModel(f"{model.uid}_{kept}", members, weights, model.numFeatures, 2)
