@@ -45,7 +45,7 @@ def _numbers(planes: bytes, kind: type, offset: int, n: int) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(planes, np.uint8, n * size, offset).reshape(size, n).T).view(kind).reshape(n)
 
 
-def _flushes(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, bytes]]]:
+def flushes(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, bytes]]]:
     held, size = [], 0
     for batch in batches:
         for doc, text in zip(batch.column("doc_id"), batch.column("text")):
@@ -76,6 +76,15 @@ class Hot:
         out[hot] = mixed(deal[hot] + mixed(hashes[hot]) % self.parts[at[hot]] * _STEP)
         return out
 
+    def part_of(self, deal: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """The part, from 1, that a hash of a hot number goes to; 0 for numbers that are whole."""
+        out = np.zeros(len(deal), np.int64)
+        if len(self.numbers) and len(deal):
+            at = np.minimum(np.searchsorted(self.numbers, deal), len(self.numbers) - 1)
+            hot = self.numbers[at] == deal
+            out[hot] = (mixed(hashes[hot]) % self.parts[at[hot]]).astype(np.int64) + 1
+        return out
+
 
 def _counts(hasher: Hasher, limit: int):
     """Hashes that leave a flush by number. Numbers of a single document are left out unless they fill a part alone."""
@@ -83,7 +92,7 @@ def _counts(hasher: Hasher, limit: int):
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes_of = hasher()
-        for held in _flushes(batches):
+        for held in flushes(batches):
             own = [hashes_of(text) for _, text in held]
             rows = np.repeat(np.arange(len(held), dtype=np.int32), [len(h) for h, _ in own])
             if not len(rows):
@@ -115,7 +124,7 @@ def _open_hashes(hasher: Hasher, buckets: int, hot: Hot):
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes_of = hasher()
-        for held in _flushes(batches):
+        for held in flushes(batches):
             held.sort(key=lambda row: row[0])
             ids = np.array([doc for doc, _ in held], np.int64)
             own = [hashes_of(text) for _, text in held]

@@ -51,21 +51,28 @@ FROM d LEFT JOIN c USING (rk) LEFT JOIN s USING (rk)
 """
 
 OP10 = r"""
-WITH d AS (SELECT row_number() OVER () AS rk, doc_id, string_split(text, chr(10)) AS ls FROM documents),
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS rk, doc_id, string_split(text, chr(10)) AS ls FROM documents),
 l AS (SELECT rk, doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS no FROM d),
 t AS (
-  SELECT *, list_transform(regexp_extract_all(line, '[^\x20\x09-\x0D]+'), lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END) AS w FROM l
-), k AS (
-  SELECT rk, doc_id, no, len(w) AS n, j, CASE WHEN len(w) < 8 THEN w
-    ELSE list_concat(w[1:2 + (len(w) - 2) * j // 4], w[3 + (len(w) - 2) * (j + 1) // 4:]) END AS key
-  FROM t, range(4) r(j) WHERE len(w) >= 3 AND (len(w) >= 8 OR j = 0)
-), f AS (SELECT n, j, key, min(doc_id) AS first FROM k GROUP BY n, j, key),
-g AS (SELECT DISTINCT rk, no, 1 AS gone FROM k JOIN f USING (n, j, key) WHERE first < doc_id),
-r AS (
+  SELECT *, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS w, regexp_matches(line, '[^\x00-\x40\x5B-\x60\x7B-\x7F]') AS named FROM l
+), u AS (
+  SELECT rk, doc_id, no, CASE WHEN named THEN list_transform(w, lambda x: regexp_replace(x, '[0-9]+', '<*>', 'g')) ELSE w END AS w,
+    len(w) AS n, list_transform(w[1:2], lambda x: CASE WHEN named AND regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END) AS lead
+  FROM t WHERE len(w) > 0 AND doc_id IS NOT NULL
+), f AS (SELECT n, lead, w, min(struct_pack(a := doc_id, b := no)) AS pos FROM u GROUP BY n, lead, w),
+c AS (
+  SELECT n, lead, w, pos, 0 AS r FROM f
+  UNION ALL
+  SELECT n, lead, w, pos, r + 1 FROM (SELECT *, first_value(w) OVER (PARTITION BY n, lead ORDER BY pos) AS h FROM c)
+  WHERE 5 * len(list_filter(list_zip(w, h), lambda p: p[1] <> p[2])) > n
+), m AS (SELECT n, lead, w, max(r) AS r FROM c GROUP BY n, lead, w),
+o AS (SELECT n, lead, r, min(pos.a) AS first FROM c GROUP BY n, lead, r),
+g AS (SELECT DISTINCT rk, no, 1 AS gone FROM u JOIN m USING (n, lead, w) JOIN o USING (n, lead, r) WHERE first < doc_id),
+k AS (
   SELECT rk, count(*) AS n, count(gone) AS gone, string_agg(line, chr(10) ORDER BY no) FILTER (WHERE gone IS NULL) AS kept
   FROM l LEFT JOIN g USING (rk, no) GROUP BY rk
 )
-SELECT doc_id, coalesce(n, 0) AS n_lines, coalesce(gone, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN r USING (rk)
+SELECT doc_id, coalesce(n, 0) AS n_lines, coalesce(gone, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k USING (rk)
 """
 
 OP12 = """

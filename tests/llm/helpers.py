@@ -96,29 +96,32 @@ def near_classes(rows, threshold=0.8):
     return {i: root(i) for i, _ in sets}
 
 
-def line_keys(line):
+def line_words(line):
+    """Leaf and words of a line, digits masked."""
     words = SPACE_WORDS.findall(line)
-    n = len(words)
-    if n < 3:
-        return []
-    words = ["<*>" if re.search("[0-9]", w) else w for w in words]
-    if n < 8:
-        return [(n, tuple(words))]
-    cuts = [2 + (n - 2) * j // 4 for j in range(5)]
-    return [(n, j, tuple(words[: cuts[j]]), tuple(words[cuts[j + 1] :])) for j in range(4)]
+    if not re.search("[A-Za-z]|[^\\x00-\\x7f]", line):
+        return (len(words), *words[:2]), words
+    lead = ["<*>" if re.search("[0-9]", w) else w for w in words[:2]]
+    return (len(words), *lead), [re.sub("[0-9]+", "<*>", w) for w in words]
 
 
 def line_dedup(rows):
-    first = {}
-    for i, t in rows:
-        if i is not None and t is not None:
-            for line in t.split("\n"):
-                for key in line_keys(line):
-                    first[key] = min(first.get(key, i), i)
+    """A plain log-template tree, line by line in order of ids."""
+    leaves, first = {}, {}
+    for i, t in sorted((r for r in rows if None not in r), key=lambda r: r[0]):
+        for line in t.split("\n"):
+            leaf, words = line_words(line)
+            templates = leaves.setdefault(leaf, [])
+            for lead, doc in templates:
+                if 5 * sum(a != b for a, b in zip(lead, words)) <= len(words):
+                    break
+            else:
+                templates.append((words, doc := i))
+            first[line, i] = doc
     out = []
     for i, t in rows:
         lines = t.split("\n") if t is not None else []
-        kept = [x for x in lines if i is None or not any(first[k] < i for k in line_keys(x))]
+        kept = [x for x in lines if i is None or not SPACE_WORDS.findall(x) or first[x, i] == i]
         out.append((i, len(lines), len(lines) - len(kept), sha("\n".join(kept))))
     return out
 

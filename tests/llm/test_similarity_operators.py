@@ -109,13 +109,35 @@ def test_line_dedup_equals_plain_version(spark, sf):
     out = lines.dedup_lines(df)
     assert H.ordered(lines.digest(out).collect()) == H.ordered(H.line_dedup(rows))
     assert all(r["n_chars"] == len(r["text"]) for r in out.collect() if r["text"] is not None and r["n_removed"])
-    many = lines.dedup_lines(df, bucket_templates=20)
+    # A round for each few templates of a leaf gives the same.
+    many = lines.dedup_lines(df, room=1)
     assert H.ordered(lines.digest(many).collect()) == H.ordered(H.line_dedup(rows))
     assert lines.dedup_lines(H.docs_frame(spark, [])).count() == 0
     table = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
     assert H.ordered(queries.QUERIES["op10_line_dedup"](spark, sf).collect()) == H.ordered(H.line_dedup(table))
 
 
+def test_line_templates_are_learned(spark):
+    """Fields without digits, two of them, in quarters of their own, are found; lines of other leaves and unlike lines are not."""
+    names = ["alice", "bob", "carol", "dave", "erin", "frank"]
+    rows = [(k, f"Posted by {n} on Monday\nThe user {n} has left the room and will {n}ly return on monday") for k, n in enumerate(names)]
+    rows += [(7, "Posted by alice in June"), (8, "Written by alice on Monday"), (9, "Posted by bob on Monday at noon")]
+    out = {r["doc_id"]: r["n_removed"] for r in lines.dedup_lines(H.docs_frame(spark, rows)).collect()}
+    assert out == {0: 0, 1: 2, 2: 2, 3: 2, 4: 2, 5: 2, 7: 0, 8: 0, 9: 0}
+
+
+def test_hot_leaves_are_cut_and_merged(spark):
+    """A leaf of far more lines than a part takes: templates with different fields in each line, and lines of their own."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    rows = [(k, f"see the page of {word()} for more about this and that") for k in range(60)]
+    rows += [(100 + k, "see the " + " ".join(word() for _ in range(9))) for k in range(60)]
+    df = H.docs_frame(spark, rows).repartition(4)
+    want = H.ordered(H.line_dedup(rows))
+    for leaf_lines, room in ((20, 1000), (10, 12)):
+        assert H.ordered(lines.digest(lines.dedup_lines(df, leaf_lines=leaf_lines, room=room)).collect()) == want
+
+
 def test_line_dedup_of_short_lines(spark):
     rows = [
         (1, "Read more\nthis is the first text\n第3章\n今天天气很好我们去公园\n42"),
@@ -126,11 +148,11 @@ def test_line_dedup_of_short_lines(spark):
         (6, "\n \n"),
     ]
     df = H.docs_frame(spark, rows).repartition(3)
-    gone = {r["doc_id"]: (r["text"], r["n_removed"]) for r in lines.dedup_lines(df, short="go").collect()}
+    gone = {r["doc_id"]: (r["text"], r["n_removed"]) for r in lines.dedup_lines(df).collect()}
     assert gone[1] == (rows[0][1], 0) and gone[3] == ("another text of its own\n43", 3)
     assert gone[2] == ("", 3) and gone[4] == ("Share", 1) and gone[5] == ("", 1) and gone[6] == (rows[5][1], 0)
     left = {r["doc_id"]: r["text"] for r in corpus_pipeline.drop_lines(spark, df, "").collect()}
-    assert left == {1: rows[0][1], 3: rows[2][1], 4: "Share", 6: rows[5][1]}
+    assert left == {1: rows[0][1], 3: "another text of its own\n43", 4: "Share", 6: rows[5][1]}
 
 
 def vectors(rng, groups):
