@@ -21,11 +21,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines of templates that an earlier document has go (operator 10), and documents of which nothing else is left.
-
-    Short lines stay in documents that keep something of their own, as in operator 10.
-    """
-    out = lines.dedup_lines(docs, short="no stub")
+    """Lines of templates that an earlier document has go (operator 10), and documents of which nothing else is left."""
+    out = lines.dedup_lines(docs)
     left = (F.col("n_removed") == 0) | (F.trim(F.regexp_replace("text", r"[\x09-\x0D]", " ")) != "")
     return out.filter(left).select(*[F.col(f"`{c}`") for c in docs.columns])
 
