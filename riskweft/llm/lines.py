@@ -11,7 +11,7 @@ without any letter (rows of numbers, rules of signs) nothing is variable.
 A template recurs if two documents have lines of it. Its lines are dropped from all documents but the one with the smallest id.
 
 At scale: equal lines leave a map task once for each flush. Leaves are partitions of one sorted shuffle, and a task streams
-through them; in memory it has the templates of one leaf, by the hashes of their stretches: a line may differ in m words only, so
+through them; in memory it has the templates of one leaf, found by the hashes of their stretches: a line may differ in m words only, so
 of m + 1 stretches one is the same, and only templates that share a stretch at its place are compared. If a leaf has more templates
 than fit (``LEAF_STRETCHES``), lines that agree with none of them go on to another round, which takes up where this one ended: the
 result is that of one pass. A leaf with more than ``LEAF_LINES`` lines is cut by a hash of the line, and each part learns its templates alone;
@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from operator import ne
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskweft.llm.common import CACHE_WORDS, packed_schema, spans_of, tidy, written
+from riskweft.llm.common import packed_schema, spans_of, tidy, written
 from riskweft.llm.firsts import Hot, flagged, flushes, hot_numbers
 
 LEADING = 2
@@ -57,60 +58,42 @@ _LETTER = re.compile(rb"[A-Za-z\x80-\xff]")
 _DIGITS = bytes(range(0x30, 0x3A))
 
 
-class _Codes(dict):
-    """Codes of words, digits masked; the lowest bit says whether the word has any."""
+def _variable(word: bytes) -> bool:
+    return len(word.translate(None, _DIGITS)) < len(word)
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        digits = len(word.translate(None, _DIGITS)) < len(word)
-        code = xxhash.xxh64_intdigest(_RUN.sub(WILDCARD, word) if digits else word) & ~1 | digits
-        self[word] = code
-        return code
 
-
-class Parser:
-    """The tree above its leaves: a text's lines with words, as leaf, hash and codes of the words."""
-
-    def __init__(self) -> None:
-        self.codes = _Codes()
-
-    def lines(self, text: bytes) -> Iterator[tuple[int, int, int, bytes]]:
-        for no, line in enumerate(text.split(b"\n")):
-            words = line.split()
-            if not words:
-                continue
-            if _LETTER.search(line):
-                codes = [self.codes[w] for w in words]
-            else:
-                codes = [xxhash.xxh64_intdigest(w) & ~1 for w in words]
-            path = np.array([len(codes), *(1 if c & 1 else c for c in codes[:LEADING])], np.uint64)
-            leaf = xxhash.xxh64_intdigest(path.tobytes())
-            data = (np.array(codes, np.uint64) >> np.uint64(32)).astype(np.uint32).tobytes()
-            yield no, leaf, xxhash.xxh64_intdigest(data, leaf), data
+def parsed(text: bytes) -> Iterator[tuple[int, int, int, bytes]]:
+    """The tree above its leaves: a text's lines with words, as place, leaf, hash and words with masked digits."""
+    for no, line in enumerate(text.split(b"\n")):
+        words = line.split()
+        if not words:
+            continue
+        lead, whole = words[:LEADING], b" ".join(words)
+        if _variable(whole) and _LETTER.search(whole):
+            lead = [WILDCARD if _variable(w) else w for w in lead]
+            whole = _RUN.sub(WILDCARD, whole)
+        leaf = xxhash.xxh64_intdigest(b"%d " % len(words) + b" ".join(lead))
+        yield no, leaf, xxhash.xxh64_intdigest(whole, leaf), whole
 
 
 def _hasher():
-    parser = Parser()
-
     def run(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-        found = [(h, leaf) for _, leaf, h, _ in parser.lines(text)]
-        both = np.array(found, np.uint64).reshape(-1, 2)
+        both = np.array([(h, leaf) for _, leaf, h, _ in parsed(text)], np.uint64).reshape(-1, 2)
         return both[:, 0].copy(), both[:, 1].copy()
 
     return run
 
 
-def _stretches(codes: bytes) -> list[bytes]:
-    """Stretches of a line's codes, one more than words may differ, so similar lines share one."""
-    n = len(codes) // 4
+def _stretches(words: list[bytes]) -> list[bytes]:
+    """Stretches of a line, one more than words may differ, so similar lines share one."""
+    n = len(words)
     parts = n // DIFFER + 1
-    cuts = [4 * (n * j // parts) for j in range(parts + 1)]
-    return [codes[a:b] for a, b in zip(cuts, cuts[1:])]
+    cuts = [n * j // parts for j in range(parts + 1)]
+    return [b" ".join(words[a:b]) for a, b in zip(cuts, cuts[1:])]
 
 
 class Leaf:
-    """Leading lines of a leaf's templates, found by their stretches."""
+    """Leading lines of a leaf's templates, found by their stretches. Most leaves hold one line and need no index."""
 
     def __init__(self) -> None:
         self.leads: list[tuple[bytes, int]] = []
@@ -118,33 +101,31 @@ class Leaf:
         self.index: dict[tuple[int, int], list[int]] = {}
         self.indexed = self.size = 0
 
-    def add(self, codes: bytes, doc: int) -> None:
-        self.exact[codes] = len(self.leads)
-        self.leads.append((codes, doc))
-        self.size += len(codes) // 4 // DIFFER + 1
+    def add(self, line: bytes, doc: int) -> None:
+        self.exact[line] = doc
+        self.leads.append((line, doc))
+        self.size += (line.count(b" ") + 1) // DIFFER + 1
 
-    def _indexed(self) -> None:
+    def find(self, line: bytes) -> int | None:
+        """The document of the first template that the line agrees with."""
+        doc = self.exact.get(line)
+        if doc is not None or not self.leads:
+            return doc
+        words = line.split(b" ")
+        allowed = len(words) // DIFFER
+        if not allowed:
+            return None
         for at in range(self.indexed, len(self.leads)):
-            for j, part in enumerate(_stretches(self.leads[at][0])):
+            for j, part in enumerate(_stretches(self.leads[at][0].split(b" "))):
                 self.index.setdefault((j, xxhash.xxh64_intdigest(part)), []).append(at)
         self.indexed = len(self.leads)
-
-    def find(self, codes: bytes) -> int | None:
-        """The document of the first template that the line agrees with."""
-        at = self.exact.get(codes)
-        if at is not None:
-            return self.leads[at][1]
-        allowed = len(codes) // 4 // DIFFER
-        if not allowed or not self.leads:
-            return None
-        self._indexed()
-        own = np.frombuffer(codes, np.uint32)
         tried: set[int] = set()
-        for j, part in enumerate(_stretches(codes)):
+        for j, part in enumerate(_stretches(words)):
             tried.update(self.index.get((j, xxhash.xxh64_intdigest(part)), ()))
         for at in sorted(tried):
             lead, doc = self.leads[at]
-            if len(lead) == len(codes) and np.count_nonzero(np.frombuffer(lead, np.uint32) != own) <= allowed:
+            own = lead.split(b" ")
+            if len(own) == len(words) and sum(map(ne, own, words)) <= allowed:
                 return doc
         return None
 
@@ -163,32 +144,31 @@ def _opened(hot: Hot):
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parser = Parser()
         for held in flushes(batches):
             held.sort(key=lambda row: row[0])
             seen: dict[int, int] = {}
             leaves, hashes, rest, out = [], [], [], []
             for doc, text in held:
                 repeat = []
-                for no, leaf, h, codes in parser.lines(text):
+                for no, leaf, h, line in parsed(text):
                     first = seen.setdefault(h, doc)
                     repeat.append(first != doc)
                     if first == doc:
                         leaves.append(leaf)
                         hashes.append(h)
-                        rest.append((doc, no, codes))
+                        rest.append((doc, no, line))
                 if any(repeat):
                     runs = np.array(spans_of(np.array(repeat)), np.int32)
                     out.append((doc, 0, _RUNS, doc, 0, 0, runs.tobytes()))
             parts = hot.part_of(np.array(leaves, np.uint64), np.array(hashes, np.uint64)).tolist()
-            for leaf, part, h, (doc, no, codes) in zip(_signed(leaves), parts, _signed(hashes), rest):
-                out.append((leaf, part, _NEXT, doc, no, h, codes))
+            for leaf, part, h, (doc, no, line) in zip(_signed(leaves), parts, _signed(hashes), rest):
+                out.append((leaf, part, _NEXT, doc, no, h, line))
             yield _batch(out)
 
     return run
 
 
-def _parsed(room: int):
+def _judged(room: int):
     """Streams through sorted leaves; a part's lines that agree with no earlier document's are handed on as leading lines."""
 
     @tidy
@@ -197,22 +177,22 @@ def _parsed(room: int):
         for batch in batches:
             out = []
             for row in zip(*[batch.column(n).to_pylist() for n in _NAMES]):
-                key, part, kind, doc, no, h, codes = row
+                key, part, kind, doc, no, h, line = row
                 if kind == _RUNS:
                     out.append(row)
                     continue
                 if (key, part) != current:
                     current, leaf = (key, part), Leaf()
-                first = leaf.find(codes)
+                first = leaf.find(line)
                 if first is not None and first < doc:
                     out.append((0, 0, _LATE, doc, 0, h, np.int64(h).tobytes()))
                 elif first is None and leaf.leads and leaf.size >= room:
                     out.append(row)
                 else:
                     if first is None:
-                        leaf.add(codes, doc)
+                        leaf.add(line, doc)
                     if part:
-                        out.append((key, 0, _LEADS, doc, no, h, codes))
+                        out.append((key, 0, _LEADS, doc, no, h, line))
             yield _batch(out)
 
     return run
@@ -223,10 +203,10 @@ def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Leading lines of cut leaves, once for each stretch."""
     for batch in batches:
         out = []
-        for leaf, _, _, doc, no, h, codes in zip(*[batch.column(n).to_pylist() for n in _NAMES]):
+        for leaf, _, _, doc, no, h, line in zip(*[batch.column(n).to_pylist() for n in _NAMES]):
             seed = leaf % (1 << 64)
-            keys = [xxhash.xxh64_intdigest(b"%d " % j + part, seed) for j, part in enumerate(_stretches(codes))]
-            out += [(key, 0, _NEXT, doc, no, h, codes) for key in _signed(keys)]
+            keys = [xxhash.xxh64_intdigest(b"%d " % j + part, seed) for j, part in enumerate(_stretches(line.split(b" ")))]
+            out += [(key, 0, _NEXT, doc, no, h, line) for key in _signed(keys)]
         yield _batch(out)
 
 
@@ -235,7 +215,7 @@ def _rounds(rows: DataFrame, room: int) -> list[DataFrame]:
     tables = []
     while True:
         dealt = rows.repartition("leaf", "part").sortWithinPartitions("leaf", "part", "doc_id", "no", "hash")
-        tables.append(written(dealt.mapInArrow(_parsed(room), _ROW), "line-templates"))
+        tables.append(written(dealt.mapInArrow(_judged(room), _ROW), "line-templates"))
         rows = tables[-1].filter(F.col("kind") == _NEXT)
         if rows.isEmpty():
             return tables
@@ -263,7 +243,6 @@ def recurring(source: DataFrame, leaf_lines: int = LEAF_LINES, room: int = LEAF_
 
 @tidy
 def _dropped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    parser = Parser()
     for batch in batches:
         texts, lines, removed = [], [], []
         for text, answers in zip(batch.column("text"), batch.column("answers")):
@@ -271,7 +250,7 @@ def _dropped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n = data.count(b"\n") + 1 if data is not None else 0
             gone: set[int] = set()
             if data is not None and answers.is_valid:
-                own = [(no, h) for no, _, h, _ in parser.lines(data)]
+                own = [(no, h) for no, _, h, _ in parsed(data)]
                 late = flagged(np.array([h for _, h in own], np.uint64), answers.as_py())
                 gone = {no for (no, _), x in zip(own, late.tolist()) if x}
                 if gone:
