@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskweft.functions.exprs import any_of, digest, finite, flag, rows_from_wide
+from riskweft.functions.exprs import all_of, any_of, digest, finite, flag, rows_from_wide
 from riskweft.schema import COLUMN_TYPES, LABEL, MONEY_COLUMNS, REQUEST_FIELDS, REQUIRED_COLUMNS, missing_columns
 
 
@@ -89,9 +89,9 @@ def validate_extract(df: DataFrame) -> DataFrame:
     return base.unionByName(copies)
 
 
-def clean_rows(df: DataFrame) -> DataFrame:
-    """Rows without any NULL and with a non-negative amount."""
-    return df.dropna("any").filter("amount >= 0")
+def clean_rows(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Rows without a NULL in the columns (by default all) and with a non-negative amount. NaN is a value, larger than any other."""
+    return df.filter(all_of([F.col(c).isNotNull() for c in columns or df.columns])).filter("amount >= 0")
 
 
 def drop_non_finite(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -50,7 +50,7 @@ def _(spark, sf):
 
 @query("b4_clean_rows", f"SELECT event_id, {TXN_COLS} FROM txn_gaps WHERE amount >= 0 AND " + " AND ".join(f"{c} IS NOT NULL" for c in REQUIRED_COLUMNS))
 def _(spark, sf):
-    return validation.clean_rows(transactions_with_gaps(spark, sf).select("event_id", *REQUIRED_COLUMNS))
+    return validation.clean_rows(transactions_with_gaps(spark, sf).select("event_id", *REQUIRED_COLUMNS), REQUIRED_COLUMNS)
 
 
 @query("b5_features_and_label", f"SELECT event_id, {', '.join(REQUEST_FIELDS)}, isFraud FROM txn")
