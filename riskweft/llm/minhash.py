@@ -12,11 +12,10 @@ the signature; the chance that two signatures agree there is the (weighted) Jacc
 1. Texts with equal words are one copy class, found by a grouped minimum; one document of each class goes on.
 2. Signatures are cut into bands. Each bucket of equal bands links its members to its smallest document; distinct pairs are
    verified exactly and joined into components. A bucket of any size gives one pair for each member.
-3. Buckets that still hold several components may hide links between members that are not the smallest. Each of them names
-   ``HEADS`` more heads, the first members by independent hashes of the id and the first members of the first components by such hashes, and
-   every member of another component is paired with each head and verified exactly. Rounds with other hashes go on
-   until one of them finds no link. So rows are in proportion to the members in every round, whatever the size of a bucket; buckets of few
-   members are compared wholly, in larger ones a link between two small components can stay hidden. The tests measure how many.
+3. Buckets that still hold several components may hide links between members that are not the smallest. All their pairs of members
+   of different components are compared exactly: the members of the bucket's largest component and the others are dealt in blocks, each
+   block of others meets every block, and a task counts common shingles of two blocks with a product of matrices. Rows follow the
+   members and the blocks of others, never the pairs.
 4. Verification deals the members of a head in blocks; the head's shingles are sent once for each block.
 
 A pair at the threshold shares no bucket with a probability of (1 - 0.8**4)**16 = 0.02 %.
@@ -44,8 +43,10 @@ SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 16, 4
 #: Width of the first cell of rank, and cells at most: the last one ends at 2**20.
 FIRST_CELL, CELLS = 0.125, 24
-#: Members of a head that are verified as one block, and heads of a bucket in a round.
-BLOCK, HEADS = 256, 3
+#: Members of a head, or of an open bucket, that are verified as one block.
+BLOCK = 256
+#: Shingles that are columns of a matrix at once.
+COLUMNS = 4096
 #: Documents whose ids are broadcast to their texts; more of them are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
 
@@ -199,15 +200,89 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return rows.mapInArrow(_verify, "a bigint, b bigint, similarity double").filter(F.col("similarity") >= threshold)
 
 
-def _heads(members: DataFrame, number: int) -> DataFrame:
-    """Heads (key, array of head and of) of the buckets that hold several components; ``of`` is the head's component."""
-    doc, component = F.col("doc"), F.col("component")
-    seeds = [F.lit(number * HEADS + j) for j in range(HEADS)]
-    # Half of them by member, half by component first: a large component doesn't name all heads.
-    ranks = [F.xxhash64(doc, seed) if j % 2 else F.struct(F.xxhash64(component, seed), F.xxhash64(doc, seed)) for j, seed in enumerate(seeds)]
-    first = [F.min_by(F.struct(doc.alias("head"), component.alias("of")), rank) for rank in ranks]
-    buckets = members.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.array_distinct(F.array(*first)).alias("heads"))
-    return buckets.filter("lo < hi").select("key", "heads")
+def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Number of common elements of each left and each right set."""
+    sides = [np.concatenate(s) for s in (left, right)]
+    shared = np.intersect1d(*sides)
+    counts = np.zeros((len(left), len(right)))
+    for start in range(0, len(shared), COLUMNS):
+        some, parts = shared[start : start + COLUMNS], []
+        for sets, values in zip((left, right), sides):
+            owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+            at = np.minimum(np.searchsorted(some, values), len(some) - 1)
+            hit = some[at] == values
+            part = np.zeros((len(sets), len(some)), np.float32)
+            part[owner[hit], at[hit]] = 1
+            parts.append(part)
+        counts += parts[0] @ parts[1].T
+    return counts
+
+
+def _similar(docs: np.ndarray, component: np.ndarray, side: np.ndarray, sets: list[np.ndarray], threshold: float) -> tuple[np.ndarray, ...]:
+    """Links (a, b, similarity) of members of different components: of both sides, or within the only one."""
+    left = np.flatnonzero(side == side[0])
+    right = np.flatnonzero(side != side[0]) if side[0] != side[-1] else left
+    sizes = np.array([len(s) for s in sets])
+    both = _common([sets[i] for i in left], [sets[i] for i in right])
+    similarity = both / (sizes[left][:, None] + sizes[right][None, :] - both)
+    i, j = np.nonzero((similarity >= threshold) & (component[left][:, None] != component[right][None, :]))
+    a, b = docs[left[i]], docs[right[j]]
+    return np.minimum(a, b), np.maximum(a, b), similarity[i, j]
+
+
+def _compare(threshold: float):
+    @tidy
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows by pair of blocks and side; a pair of blocks may go on in the next batch."""
+        rest: pa.Table | None = None
+
+        def links(rows: pa.Table) -> pa.RecordBatch:
+            names = [rows.column(c).to_numpy() for c in ("key", "x", "y")]
+            ends = np.flatnonzero(np.any([c[1:] != c[:-1] for c in names], axis=0)) + 1
+            found = []
+            for start, end in zip([0, *ends], [*ends, len(rows)]):
+                part = rows.slice(start, end - start)
+                sets = [np.frombuffer(s.as_buffer(), np.uint64) for s in part.column("shingles")]
+                found.append(_similar(*[part.column(c).to_numpy() for c in ("doc", "component", "side")], sets, threshold))
+            columns = [pa.array(np.concatenate(c), kind) for c, kind in zip(zip(*found), (pa.int64(), pa.int64(), pa.float64()))]
+            return pa.RecordBatch.from_arrays(columns, ["a", "b", "similarity"])
+
+        for batch in batches:
+            if len(batch):
+                rows = pa.Table.from_batches([batch])
+                rows = pa.concat_tables([rest, rows]) if rest is not None else rows
+                names = [rows.column(c).to_numpy() for c in ("key", "x", "y")]
+                last = np.flatnonzero(np.any([c != c[-1] for c in names], axis=0))
+                cut = int(last[-1]) + 1 if len(last) else 0
+                if cut:
+                    yield links(rows.slice(0, cut))
+                rest = rows.slice(cut).combine_chunks()
+        if rest is not None:
+            yield links(rest)
+
+    return run
+
+
+def hidden_links(members: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """All links (a, b, similarity) between members (key, doc, component) of one bucket that are of different components."""
+    by_component = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+    buckets = by_component.groupBy("key").agg(F.count(F.lit(1)).alias("components"), F.max_by("component", F.struct("n", "component")).alias("main"), F.max("n").alias("most"), F.sum("n").alias("n"))
+    blocks = [F.ceil(n / BLOCK).cast("int").alias(name) for n, name in ((F.col("most"), "mains"), (F.col("n") - F.col("most"), "others"))]
+    opened = members.join(buckets.filter("components > 1").select("key", "main", *blocks), "key")
+    # Blocks of others are numbered first; x < others always, and y is x or a later block.
+    other = F.col("component") != F.col("main")
+    block = F.when(other, F.pmod(F.xxhash64("doc"), F.col("others"))).otherwise(F.col("others") + F.pmod(F.xxhash64("doc"), F.col("mains"))).cast("int")
+    opened = opened.withColumn("block", block)
+    # A block of others is the left side with itself and all later blocks, and the right side with the earlier ones.
+    later = F.transform(F.sequence(F.col("block"), F.col("others") + F.col("mains") - 1), lambda y: F.struct(F.col("block").alias("x"), y.alias("y"), F.lit(0).alias("side")))
+    before = F.least("block", "others")
+    earlier = F.transform(F.sequence(F.lit(0), before - 1), lambda x: F.struct(x.alias("x"), F.col("block").alias("y"), F.lit(1).alias("side")))
+    none = F.array().cast("array<struct<x:int,y:int,side:int>>")
+    places = F.concat(F.when(other, later).otherwise(none), F.when(before > 0, earlier).otherwise(none))
+    rows = opened.select("key", "doc", "component", F.inline(places)).join(sets, "doc")
+    rows = rows.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "side")
+    columns = ["key", "x", "y", "side", "doc", "component", "shingles"]
+    return rows.select(*columns).mapInArrow(_compare(threshold), "a bigint, b bigint, similarity double").dropDuplicates(["a", "b"])
 
 
 def classes(
@@ -229,26 +304,12 @@ def classes(
     tried = written(members.filter("doc <> head").select("head", "doc").distinct(), "pairs")
     links = written(verified(tried, sets, threshold), "links")
     labels = components(links, "a", "b")
-    members = members.select("key", "doc")
-    number = 0
-    while True:
-        named = members.join(labels.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
-        named = written(named, "members")
-        # A member meets the same heads in many of its buckets (one for each band), so they are gathered before they become rows.
-        heads = written(_heads(named, number), "heads")
-        met = named.join(heads, "key").groupBy("doc", "component").agg(F.array_distinct(F.flatten(F.collect_set("heads"))).alias("heads"))
-        pairs = met.select("doc", "component", F.inline("heads")).filter(F.col("component") != F.col("of"))
-        # A pair is the same in both directions; the head by which it was tried first doesn't matter.
-        known = tried.select(F.least("head", "doc").alias("x"), F.greatest("head", "doc").alias("y"))
-        pairs = pairs.select("head", "doc", F.least("head", "doc").alias("x"), F.greatest("head", "doc").alias("y")).dropDuplicates(["x", "y"])
-        pairs = written(pairs.join(known, ["x", "y"], "left_anti").select("head", "doc"), "pairs")
-        more = written(verified(pairs, sets, threshold), "links")
-        if not more.head(1):
-            break
-        links, tried, number = links.union(more), tried.union(pairs), number + 1
+    named = members.select("key", "doc").join(labels.withColumnRenamed("node", "doc"), "doc", "left")
+    named = written(named.withColumn("component", F.coalesce("component", "doc")), "members")
+    more = written(hidden_links(named, sets, threshold), "links")
+    if more.head(1):
+        links = links.union(more)
         labels = components(labels.select("node", "component").union(more.select("a", "b")), "node", "component")
-        # Buckets of a single component have nothing left to find.
-        members = named.join(heads.select("key"), "key", "left_semi").select("key", "doc")
     by_copy = copies.join(labels.withColumnRenamed("node", "first"), "first", "left").select("mark", F.coalesce("component", "first").alias("class_id"))
     return sketched.select("doc_id", "mark").join(by_copy, "mark").groupBy("doc_id").agg(F.min("class_id").alias("class_id")), links
 
