@@ -6,14 +6,11 @@ import functools
 import os
 import unicodedata
 from array import array
-from collections.abc import Iterable
 
 #: Bytes of words and ids that a task keeps; beyond it the table starts anew.
 TABLE_BYTES = 96 << 20
 #: What an entry takes besides its word and its ids.
 _ENTRY = 180
-#: Words that are handed to the whole tokenizer at once.
-_ENCODE_ROWS = 5000
 #: Type codes of little-endian ids of two and of four bytes.
 NARROW, WIDE = "H", "I"
 
@@ -53,6 +50,8 @@ class WordIds(dict):
         self.encoder = loaded(path)
         self.merge = self.encoder.model.tokenize
         self.letters = _byte_letters()
+        self.specials = [t.content.encode().lower() for t in self.encoder.get_added_tokens_decoder().values()]
+        self.tails = self.TAIL.encode()
         self.code, self.limit, self.size = code, table_bytes, 0
 
     def _part(self, name: bytes) -> bytes:
@@ -64,9 +63,14 @@ class WordIds(dict):
             self.size += len(name) + len(found) + _ENTRY
         return found
 
+    def _lowered(self, text: bytes) -> bytes:
+        """The text with A-Z lower-cased, as the tokenizer does it, unless a special token might change or arise by that."""
+        low = text.lower()
+        return text if any(s in low for s in self.specials) else low
+
     def _letters(self, word: bytes) -> tuple[bytes, bytes] | None:
         """Lower-cased letters and the punctuation behind them, unless the word is something else."""
-        core = word.rstrip(self.TAIL.encode())
+        core = word.rstrip(self.tails)
         if core.isalpha():  # ASCII letters
             return core.lower(), word[len(core) :]
         if core.isascii():
@@ -78,35 +82,34 @@ class WordIds(dict):
             return low.encode(), word[len(core) :]
         return None
 
-    def learn(self, words: Iterable[bytes]) -> None:
-        """Afterwards every one of the words has its ids here."""
-        if self.size > self.limit:
-            self.clear()
-            self.size = 0
-        rest = []
-        for word in words:
-            if word in self:
-                continue
-            parts = self._letters(word)
-            if parts is None:
-                rest.append(word)
-                continue
+    def __missing__(self, word: bytes) -> bytes:
+        """The ids of a word that is not in the table yet, which afterwards is."""
+        core = word.rstrip(self.tails)
+        if core.islower() and core.isalpha():  # ASCII letters in small: most words
+            ids = self.get(core)
+            if ids is None:
+                self[core] = ids = array(self.code, [t.id for t in self.merge(core.decode())]).tobytes()
+                self.size += len(core) + len(ids) + _ENTRY
+            if len(core) == len(word):
+                return ids
+            tail = word[len(core) :]
+            ids += self.get(tail) or self._part(tail)
+        elif parts := self._letters(word):
             low, tail = parts
             ids = self._part(low)
             if tail:
                 ids += self._part(tail)
-            if low != word:
-                self[word] = ids
-                self.size += len(word) + len(ids) + _ENTRY
-        for k in range(0, len(rest), _ENCODE_ROWS):
-            part = rest[k : k + _ENCODE_ROWS]
-            texts = [w.decode("utf-8", "replace") for w in part]
-            for word, e in zip(part, self.encoder.encode_batch_fast(texts, add_special_tokens=False)):
-                self[word] = ids = array(self.code, e.ids).tobytes()
-                self.size += len(word) + len(ids) + _ENTRY
+            if low == word:
+                return ids
+        else:
+            ids = array(self.code, self.encoder.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids).tobytes()
+        self[word] = ids
+        self.size += len(word) + len(ids) + _ENTRY
+        return ids
 
     def texts(self, texts: list[bytes | None]) -> list[bytes]:
         """The ids of each text."""
-        split = [(t or b"").split() for t in texts]
-        self.learn(set().union(*split))
-        return [b"".join(map(self.__getitem__, own)) for own in split]
+        if self.size > self.limit:
+            self.clear()
+            self.size = 0
+        return [b"".join(map(self.__getitem__, self._lowered(t).split())) if t else b"" for t in texts]
