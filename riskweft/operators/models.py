@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import json
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import SparkContext, keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, Transformer
 from pyspark.ml.classification import (
@@ -109,11 +111,84 @@ def _stump_side(stump: dict) -> Column:
     return F.when(F.col("_x")[stump["feature"]] <= F.lit(stump["threshold"]), stump["left"]).otherwise(stump["right"])
 
 
+#: Split points of a feature that a stump may take, at most; a place among them is one byte.
+STUMP_POINTS = 255
+
+
+def _stump_points(base: DataFrame, width: int) -> list[np.ndarray]:
+    """Sorted split points of every feature: its smallest value and quantiles, without the largest value."""
+    shares = [(i + 1) / STUMP_POINTS for i in range(STUMP_POINTS - 1)]
+    x = [F.col("_x")[i] for i in range(width)]
+    found = [F.struct(F.min(c).alias("low"), F.max(c).alias("high"), F.percentile_approx(c, shares, 1000).alias("points")).alias(f"f{i}") for i, c in enumerate(x)]
+    row = base.agg(*found).first()
+    values = [np.unique(np.array([r["low"], *(r["points"] or [])], "float64")) for r in row]
+    return [v[v < r["high"]] for v, r in zip(values, row)]
+
+
+def _place_rows(points: list[np.ndarray]):
+    """A batch becomes one row: the place of every value among its feature's split points, and the labels."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x = batch.column("_x").flatten().to_numpy(zero_copy_only=False).reshape(-1, len(points))
+                places = np.stack([np.searchsorted(p, x[:, i]).astype(np.uint8) for i, p in enumerate(points)])
+                labels = batch.column(TARGET).to_numpy(zero_copy_only=False).astype(np.uint8)
+                yield pa.RecordBatch.from_arrays([pa.array([a.tobytes()], pa.binary()) for a in (places, labels)], ["places", "labels"])
+
+    return run
+
+
+def _weigh_places(width: int, stumps: list[tuple], log_total: float):
+    """(cell, weight of the negatives, of the positives) of a task; a cell is a feature's number * 256 + place."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((2, width * 256))
+        for batch in batches:
+            for places, labels in zip(*[batch.column(c).to_pylist() for c in ("places", "labels")]):
+                labels = np.frombuffer(labels, np.uint8)
+                places = np.frombuffer(places, np.uint8).reshape(width, -1)
+                logs = np.full(len(labels), -log_total)
+                for feature, place, left, right, alpha in stumps:
+                    side = np.where(places[feature] <= place, left, right) if feature is not None else left
+                    logs += alpha * (side != labels)
+                weights = np.exp(logs)
+                for kind in (0, 1):
+                    of_kind = labels == kind
+                    for i in range(width):
+                        sums[kind, i * 256 : i * 256 + 256] += np.bincount(places[i][of_kind], weights[of_kind], 256)
+        some = np.flatnonzero(sums.sum(axis=0))
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(sums[0, some]), pa.array(sums[1, some])], ["cell", "n", "p"])
+
+    return run
+
+
+def _best_stump(weights: np.ndarray) -> tuple[int | None, int, float, float, float]:
+    """(feature, place, left, right, error) of the largest fall in Gini impurity; no feature if nothing falls."""
+    left = weights.cumsum(axis=2)  # class, feature, place
+    whole = left[:, :1, -1:]
+    right = np.maximum(whole - left, 0.0)
+
+    def impurity(part: np.ndarray) -> np.ndarray:
+        size = part.sum(axis=0)
+        return np.divide(2 * part[0] * part[1], size, out=np.zeros_like(size), where=size > 0)
+
+    total = float(whole.sum())
+    after = impurity(left) + impurity(right)
+    after[(left.sum(axis=0) <= 0) | (right.sum(axis=0) <= total * 1e-15)] = np.inf
+    feature, place = np.unravel_index(int(after.argmin()), after.shape)
+    if not after[feature, place] < float(impurity(whole).item()) * (1 - 1e-12):
+        side = float(whole[1].item() > whole[0].item())
+        return None, 0, side, side, float(whole.min()) / total
+    own, other = left[:, feature, place], right[:, feature, place]
+    return int(feature), int(place), float(own[1] > own[0]), float(other[1] > other[0]), float(own.min() + other.min()) / total
+
+
 class AdaBoost(Estimator, DefaultParamsReadable, DefaultParamsWritable):
     """Boosted one-split trees (SAMME; Zhu et al., 2009).
 
-    A stump is four numbers, so row weights are an expression over the features and no round depends on the
-    materialised output of the one before.
+    Split points are found once; a row is kept as one byte a feature. A round is one aggregation of the weights by feature, place and
+    class, where the weights follow from the stumps so far, so no round depends on the materialised output of the one before.
     """
 
     rounds = Param(Params._dummy(), "rounds", "number of stumps", TypeConverters.toInt)
@@ -128,41 +203,33 @@ class AdaBoost(Estimator, DefaultParamsReadable, DefaultParamsWritable):
 
     def _fit(self, dataset: DataFrame) -> AdaBoostModel:
         get = self.getOrDefault
-        # Every round evaluates all stumps so far, so the array that they read is kept.
-        base = dataset.select(FEATURES, TARGET, vector_to_array(FEATURES).alias("_x")).persist()
-        stumps: list[dict] = []
-        log_weight: Column = F.lit(0.0)
-        top = 0.0
-        for _ in range(get("rounds")):
-            # Weights count up to a factor only; the largest stays near 1, so none overflows.
-            weighted = base.withColumn("_w", F.exp(log_weight - F.lit(top)))
-            tree = DecisionTreeClassifier(featuresCol=FEATURES, labelCol=TARGET, weightCol="_w", maxDepth=1, seed=get("seed")).fit(weighted)
-            stump = _read_stump(tree)
-            miss = (_stump_side(stump) != F.col(TARGET)).cast("double")
-            error, largest = weighted.agg(F.sum(F.col("_w") * miss) / F.sum("_w"), F.max(log_weight)).first()
-            if error >= 0.5:
-                break
-            stump["alpha"] = get("rate") * math.log((1 - max(error, 1e-12)) / max(error, 1e-12))
-            stumps.append(stump)
-            if error <= 0:
-                break
-            log_weight = log_weight + F.lit(stump["alpha"]) * miss
-            top = largest + max(stump["alpha"], 0.0)
-        base.unpersist()
-        return AdaBoostModel(state=json.dumps(stumps))
-
-
-def _read_stump(tree) -> dict:
-    root = tree._call_java("rootNode")
-    if root.subtreeDepth() == 0:
-        return {"feature": None, "threshold": 0.0, "left": root.prediction(), "right": root.prediction()}
-    split = root.split()
-    return {
-        "feature": split.featureIndex(),
-        "threshold": split.threshold(),
-        "left": root.leftChild().prediction(),
-        "right": root.rightChild().prediction(),
-    }
+        base = dataset.filter(F.col(TARGET).isNotNull()).select(vector_to_array(FEATURES).alias("_x"), TARGET)
+        width = base.agg(F.max(F.size("_x"))).first()[0]
+        points = _stump_points(base, width)
+        blocks = base.mapInArrow(_place_rows(points), "places binary, labels binary").persist()
+        stumps: list[tuple] = []
+        found: list[dict] = []
+        # Logarithm of the rows' weight against that of the first round: weights stay near 1 on average, so none overflows.
+        log_total = 0.0
+        try:
+            for _ in range(get("rounds")):
+                cells = blocks.mapInArrow(_weigh_places(width, stumps, log_total), "cell int, n double, p double")
+                weights = np.zeros((2, width * 256))
+                for r in cells.groupBy("cell").agg(F.sum("n").alias("n"), F.sum("p").alias("p")).collect():  # 256 for each feature at most
+                    weights[:, r["cell"]] = r["n"], r["p"]
+                feature, place, left, right, error = _best_stump(weights.reshape(2, width, 256))
+                if error >= 0.5:
+                    break
+                alpha = get("rate") * math.log((1 - max(error, 1e-12)) / max(error, 1e-12))
+                stumps.append((feature, place, left, right, alpha))
+                threshold = float(points[feature][place]) if feature is not None else 0.0
+                found.append({"feature": feature, "threshold": threshold, "left": left, "right": right, "alpha": alpha})
+                if error <= 0:
+                    break
+                log_total += math.log(1 - error + error * math.exp(alpha))
+        finally:
+            blocks.unpersist()
+        return AdaBoostModel(state=json.dumps(found))
 
 
 class AdaBoostModel(Model, DefaultParamsReadable, DefaultParamsWritable):
