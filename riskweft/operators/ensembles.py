@@ -103,35 +103,44 @@ class Stacking:
 
 
 def stacking(df: DataFrame, names: list[str], folds: int = 3, overrides: dict[str, dict] | None = None, row_id: str = "event_id", seed: int = 42) -> Stacking:
-    """Out-of-fold probabilities of the members feed a balanced logistic model; the members are then refitted on all rows."""
+    """Out-of-fold probabilities of the members feed a balanced logistic model; the members are then refitted on all rows.
+
+    The members of all folds and those of all rows are fitted side by side while their rows together stay few; the medians of all of
+    them come from shared passes.
+    """
     folded = stratified_folds(df, folds, row_id=row_id, seed=seed)
     size = folded.count()
     folded = spread(folded, row_id, size).persist()
-    base = folded.drop("fold")
     options = overrides or {}
-    fits = side_by_side(df.sparkSession, size)
+    fits = min(side_by_side(df.sparkSession, size), folds + 1)
+    prepared = Preprocessor().fit_left_out(folded, "fold", fits)
+
+    def members_of(kept: DataFrame, fitted: PreprocessorModel) -> list[Trained]:
+        return [train(kept.drop("fold"), name, "weights", options.get(name), fitted, row_id, seed, fits) for name in names]
 
     def held_out_scores(fold: int) -> DataFrame:
-        kept, held = folded.filter(F.col("fold") != fold).drop("fold"), folded.filter(F.col("fold") == fold).drop("fold")
-        fitted = Preprocessor().fit(kept)
-        scored = held
-        for i, name in enumerate(names):
-            scored = train(kept, name, "weights", options.get(name), fitted, row_id, seed, min(fits, folds)).score(scored, f"_p{i}")
-        return scored.select(F.col(LABEL).cast("double").alias(TARGET), *[f"_p{i}" for i in range(len(names))])
-
-    with ThreadPoolExecutor(min(fits, folds)) as pool:
+        scored = folded.filter(F.col("fold") == fold).drop("fold")
+        for i, member in enumerate(members_of(folded.filter(F.col("fold") != fold), prepared.get(fold, prepared[None]))):
+            scored = member.score(scored, f"_p{i}")
+        found = scored.select(F.col(LABEL).cast("double").alias(TARGET), *[f"_p{i}" for i in range(len(names))]).persist()
+        found.count()  # scored here, side by side, instead of as one plan of all folds
+        return found
+
+    with ThreadPoolExecutor(fits) as pool:
+        whole = pool.submit(members_of, folded, prepared[None])
         parts = list(pool.map(held_out_scores, range(folds)))
+        members = whole.result()
+    dealt = folded.rdd.getNumPartitions()
+    folded.unpersist()
     stacked = parts[0]
     for part in parts[1:]:
         stacked = stacked.unionByName(part)
-    weighted = resample.with_class_weights(stacked.persist(), TARGET)
+    # The union has as many partitions as all folds together, for rows of two or three numbers and up to 100 passes.
+    weighted = resample.with_class_weights(stacked.coalesce(dealt), TARGET)
     vector = VectorAssembler(inputCols=[f"_p{i}" for i in range(len(names))], outputCol=FEATURES).transform(weighted)
     final = LogisticRegression(featuresCol=FEATURES, labelCol=TARGET, weightCol="weight").fit(vector)
-    stacked.unpersist()
-    whole = Preprocessor().fit(base)
-    with ThreadPoolExecutor(min(fits, len(names))) as pool:
-        members = list(pool.map(lambda name: train(base, name, "weights", options.get(name), whole, row_id, seed, min(fits, len(names))), names))
-    folded.unpersist()
+    for part in parts:
+        part.unpersist()
     return Stacking(members, final)
 
 

@@ -7,6 +7,7 @@ The fitted dictionary is a JSON parameter of the model, so ``save``/``load`` and
 from __future__ import annotations
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 
 from riskweft.functions.exprs import numeric_names
 from riskweft.functions.features import create_features, create_notebook_features
-from riskweft.operators.order_stats import exact_quantiles
+from riskweft.operators.order_stats import exact_quantiles, group_values, left_out_medians
 from riskweft.schema import LABEL, NON_FEATURE_COLUMNS, RULE_FLAG
 
 MAX_CATEGORIES = 1000
@@ -152,15 +153,46 @@ class Preprocessor(Estimator, _PreprocessParams, DefaultParamsReadable, DefaultP
         return cls(**{"scaling": "robust", "encoding": "onehot", "fillCategories": True, **kw})
 
     def _fit(self, dataset: DataFrame) -> PreprocessorModel:
+        return self._fit_filled(dataset)
+
+    def fit_left_out(self, dataset: DataFrame, by: str, fits: int = 1) -> dict[object, PreprocessorModel]:
+        """The fit to all rows (under None) and, for each value of ``by``, to the rows with another value.
+
+        The medians of all of them come from the same passes; the other passes run for each fit, ``fits`` side by side.
+        """
+        if self.getOrDefault("preset") == "notebook":  # its features depend on the rows of the fit
+            medians = dict.fromkeys([None, *[value for value, _ in group_values(dataset, by)]])
+        else:
+            featured = add_features(dataset, self._features())
+            medians = left_out_medians(featured, self._numeric(featured.drop(by)), by)
+
+        def fit(value: object) -> PreprocessorModel:
+            kept = dataset if value is None else dataset.filter(~F.col(by).eqNullSafe(F.lit(value)))
+            known = medians[value]
+            return self._fit_filled(kept.drop(by), known and {c: 0.0 if m is None else m for c, m in known.items()})
+
+        with ThreadPoolExecutor(max(1, min(fits, len(medians)))) as pool:
+            return dict(zip(medians, pool.map(fit, medians)))
+
+    def _features(self) -> dict:
+        return {"preset": self.getOrDefault("preset"), "groups": json.loads(self.getOrDefault("groups"))}
+
+    def _categorical(self, featured: DataFrame) -> list[str]:
+        return self.getOrDefault("categoricalCols") or [c for c in CATEGORICAL if c in featured.columns]
+
+    def _numeric(self, featured: DataFrame) -> list[str]:
+        excluded = {*self.getOrDefault("excludedCols"), *self._categorical(featured)}
+        return self.getOrDefault("numericCols") or [c for c in numeric_names(featured) if c not in excluded]
+
+    def _fit_filled(self, dataset: DataFrame, medians: dict[str, float] | None = None) -> PreprocessorModel:
+        """The fit; ``medians`` of the numeric columns are looked up unless they are given."""
         get = self.getOrDefault
-        state: dict = {"preset": get("preset"), "groups": json.loads(get("groups"))}
+        state: dict = self._features()
         if state["preset"] == "notebook":
             state["large_amount"] = exact_quantiles(dataset, ["amount"], [0.95])[None]["amount"][0]
         featured = add_features(dataset, state)
-        excluded = set(get("excludedCols"))
-        categorical = get("categoricalCols") or [c for c in CATEGORICAL if c in featured.columns]
-        numeric = get("numericCols") or [c for c in numeric_names(featured) if c not in excluded and c not in categorical]
-        fill = fit_medians(featured, numeric) if numeric else {}
+        categorical, numeric = self._categorical(featured), self._numeric(featured)
+        fill = medians if medians is not None else fit_medians(featured, numeric) if numeric else {}
         modes = fit_modes(featured, categorical) if get("fillCategories") else {}
         filled = featured.withColumns({c: impute(c, m) for c, m in modes.items()}) if modes else featured
         encoding = get("encoding")
