@@ -9,17 +9,15 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import keyword_only
-from pyspark.ml import Estimator, Model, Pipeline, Transformer
+from pyspark import StorageLevel, keyword_only
+from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
-    LinearSVC,
     LogisticRegression,
     MultilayerPerceptronClassifier,
     NaiveBayes,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import VectorSlicer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -58,48 +56,164 @@ def with_probability(model: Model, df: DataFrame, output: str) -> DataFrame:
 # ---- kernel machine --------------------------------------------------------------------------------------------------
 
 
-class FourierFeatures(Transformer, DefaultParamsReadable, DefaultParamsWritable):
-    """Random features of the Gaussian kernel (Rahimi and Recht, 2007): one matrix product per Arrow batch."""
+#: Random features of the Gaussian kernel (Rahimi and Recht, 2007).
+KERNEL_WIDTH = 128
+#: Steps along a direction that one pass tries; losses and gradients of all of them come from the same products.
+STEPS = (0.0, 2.0, 1.0, 0.5, 0.25, 0.1, 0.01)
 
-    inputCol = Param(Params._dummy(), "inputCol", "vector column", TypeConverters.toString)
-    outputCol = Param(Params._dummy(), "outputCol", "vector column", TypeConverters.toString)
-    width = Param(Params._dummy(), "width", "number of random features", TypeConverters.toInt)
-    gamma = Param(Params._dummy(), "gamma", "kernel coefficient, 0 for 1/inputs", TypeConverters.toFloat)
-    seed = Param(Params._dummy(), "seed", "random seed", TypeConverters.toInt)
 
-    @keyword_only
-    def __init__(self, *, inputCol=FEATURES, outputCol="rbf", width=128, gamma=0.0, seed=42):
+def kernel_map(inputs: int, width: int, seed: int, gamma: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
+    """Matrix and offsets of the random features; ``gamma`` 0 stands for 1 / inputs."""
+    rng = np.random.default_rng(seed)
+    scale = math.sqrt(2 * (gamma or 1.0 / inputs))
+    return rng.normal(0.0, scale, (inputs, width)), rng.uniform(0.0, 2 * math.pi, width)
+
+
+def kernel_features(x: np.ndarray, projection: tuple[np.ndarray, np.ndarray] | None) -> np.ndarray:
+    """The random features of the rows in the precision of the projection; the rows themselves without one."""
+    if projection is None:
+        return x
+    z = x.astype(projection[0].dtype, copy=False) @ projection[0]
+    z += projection[1]
+    np.cos(z, out=z)
+    z *= z.dtype.type(math.sqrt(2.0 / z.shape[1]))
+    return z
+
+
+def hinge_sums(block: tuple, projection: tuple | None, centre: np.ndarray, point: np.ndarray, direction: np.ndarray) -> np.ndarray:
+    """For every step of STEPS: weighted hinge loss at ``point + step * direction`` and its gradient. The last coefficient is the offset."""
+    x, labels, weights = block
+    total = np.zeros((len(STEPS), len(point) + 1))
+    both = np.stack([point, direction], axis=1).astype(np.float32)
+    for begin in range(0, len(labels), CHUNK):
+        values = kernel_features(x[begin : begin + CHUNK], projection) - centre
+        sign, w = 2 * labels[begin : begin + CHUNK] - 1, weights[begin : begin + CHUNK]
+        margins = (values @ both[:-1] + both[-1]).astype("float64")
+        short = 1 - sign[:, None] * (margins[:, :1] + margins[:, 1:] * np.array(STEPS))
+        active = np.where(short > 0, w[:, None], 0.0)
+        total[:, 0] += (active * short).sum(axis=0)
+        pull = -sign[:, None] * active
+        total[:, 1:-1] += pull.astype(np.float32).T @ values
+        total[:, -1] += pull.sum(axis=0)
+    return total.ravel()
+
+
+class KernelMachine(Estimator):
+    """Linear machine with hinge loss on kernel features, with a one-variable logistic model turning margins into probabilities.
+
+    The rows are kept as they are, in single precision; a pass makes the kernel features of a few rows at a time, so memory follows the
+    inputs and not the wider features. Every iteration of L-BFGS is one pass, which tries several steps along its direction.
+    """
+
+    def __init__(self, kernel: str, regularisation: float, weight: str | None, seed: int, most: int = 100, tolerance: float = 1e-6):
         super().__init__()
-        self._setDefault(inputCol=FEATURES, outputCol="rbf", width=128, gamma=0.0, seed=42)
-        self._set(**self._input_kwargs)
+        self.kernel, self.regularisation, self.weight, self.seed = kernel, regularisation, weight, seed
+        self.most, self.tolerance = most, tolerance
+
+    def _fit(self, dataset: DataFrame) -> KernelMachineModel:
+        blocks = passes.row_blocks(dataset, FEATURES, TARGET, self.weight)
+        try:
+            return self._fit_blocks(blocks)
+        finally:
+            blocks.unpersist()
+
+    def _fit_blocks(self, blocks) -> KernelMachineModel:
+        inputs = blocks.map(lambda block: block[0].shape[1]).first()
+        projection = tuple(part.astype(np.float32) for part in kernel_map(inputs, KERNEL_WIDTH, self.seed)) if self.kernel == "rbf" else None
+
+        def moments(block: tuple) -> np.ndarray:
+            x, _, w = block
+            sums = 0
+            for begin in range(0, len(w), CHUNK):
+                values, own = kernel_features(x[begin : begin + CHUNK], projection).astype("float64"), w[begin : begin + CHUNK]
+                sums = sums + np.concatenate([[own.sum()], own @ values, own @ (values * values)])
+            return sums
+
+        found = passes.summed(blocks, moments)
+        total, (mean, square) = found[0], found[1:].reshape(2, -1) / found[0]
+        # As in Spark's machine, the optimiser sees standardised features, and the penalty is on their coefficients.
+        spread_of = np.sqrt(np.maximum(square - mean**2, 0.0))
+        scale = np.where(spread_of > 1e-9 * np.maximum(np.abs(mean), 1e-9), 1 / np.where(spread_of > 0, spread_of, 1), 0.0)
+        scale, centre = np.append(scale, 1.0), mean.astype(np.float32)
+        penalty = np.append(np.full(len(mean), self.regularisation), 0.0)
+
+        def along(point: np.ndarray, direction: np.ndarray) -> list[tuple[float, np.ndarray]]:
+            sums = passes.summed(blocks, lambda block: hinge_sums(block, projection, centre, point * scale, direction * scale)).reshape(len(STEPS), -1) / total
+            at = [point + step * direction for step in STEPS]
+            return [(float(s[0] + 0.5 * (penalty * p * p).sum()), s[1:] * scale + penalty * p) for s, p in zip(sums, at)]
+
+        solved = passes.minimise_along(along, STEPS, np.zeros(len(mean) + 1), self.most, self.tolerance) * scale
+        slopes, offset = solved[:-1], float(solved[-1] - solved[:-1] @ mean)
+        curve = self._calibrated(blocks, projection, slopes, offset)
+        return KernelMachineModel(state=json.dumps({"inputs": inputs, "seed": self.seed if projection else None, "slopes": list(slopes), "offset": offset, "curve": list(curve)}))
+
+    def _calibrated(self, blocks, projection, slopes: np.ndarray, offset: float) -> np.ndarray:
+        """Slope and offset of the logistic curve over the margins, unweighted, by Newton's method with halved steps."""
+        margins = blocks.map(lambda block: (machine_margins(block[0], projection, slopes, offset), block[1])).persist(StorageLevel.MEMORY_AND_DISK)
+
+        def loss(curve: np.ndarray) -> np.ndarray:
+            def sums(pair: tuple) -> np.ndarray:
+                m, y = pair
+                z = curve[0] * m + curve[1]
+                p = 1 / (1 + np.exp(-np.clip(z, -700, 700)))
+                rest, bend = p - y, p * (1 - p)
+                return np.array([len(y), (np.logaddexp(0, z) - y * z).sum(), rest @ m, rest.sum(), bend @ (m * m), bend @ m, bend.sum()])
+
+            found = passes.summed(margins, sums)
+            return found[1:] / found[0]
+
+        try:
+            curve, now = np.zeros(2), loss(np.zeros(2))
+            for _ in range(100):
+                gradient, bend = now[1:3], np.array([[now[3], now[4]], [now[4], now[5]]])
+                step = np.linalg.solve(bend + 1e-12 * np.eye(2), gradient)
+                for _ in range(20):
+                    following = loss(curve - step)
+                    if following[0] <= now[0]:
+                        break
+                    step /= 2
+                else:
+                    break
+                fall, curve, now = now[0] - following[0], curve - step, following
+                if fall <= 1e-6 * max(now[0], 1e-6):
+                    break
+            return curve
+        finally:
+            margins.unpersist()
 
-    def _transform(self, dataset: DataFrame) -> DataFrame:
-        get = self.getOrDefault
-        width, gamma, seed = get("width"), get("gamma"), get("seed")
 
-        @F.pandas_udf(T.ArrayType(T.DoubleType()))
-        def project(rows: pd.Series) -> pd.Series:
-            x = np.array(rows.tolist(), dtype="float64")
-            if not len(x):
-                return pd.Series([], dtype=object)
-            rng = np.random.default_rng(seed)
-            scale = math.sqrt(2 * (gamma or 1.0 / x.shape[1]))
-            w = rng.normal(0.0, scale, (x.shape[1], width))
-            b = rng.uniform(0.0, 2 * math.pi, width)
-            return pd.Series(list(math.sqrt(2.0 / width) * np.cos(x @ w + b)))
+def machine_margins(x: np.ndarray, projection: tuple | None, slopes: np.ndarray, offset: float) -> np.ndarray:
+    parts = [kernel_features(x[begin : begin + CHUNK], projection).astype("float64") @ slopes for begin in range(0, len(x), CHUNK)]
+    return np.concatenate(parts) + offset
 
-        return dataset.withColumn(get("outputCol"), array_to_vector(project(vector_to_array(F.col(get("inputCol"))))))
 
+class KernelMachineModel(Model, DefaultParamsReadable, DefaultParamsWritable):
+    state = Param(Params._dummy(), "state", "coefficients and calibration as JSON", TypeConverters.toString)
 
-def _svm(kernel: str, regularisation: float, weight: dict, seed: int) -> Pipeline:
-    """Linear machine on kernel features, with a one-variable logistic model turning margins into probabilities."""
-    source = "rbf" if kernel == "rbf" else FEATURES
-    machine = LinearSVC(
-        featuresCol=source, labelCol=TARGET, rawPredictionCol="svm_raw", predictionCol="svm_prediction", regParam=regularisation, maxIter=100, **weight
-    )
-    margin = VectorSlicer(inputCol="svm_raw", outputCol="svm_margin", indices=[1])
-    calibration = LogisticRegression(featuresCol="svm_margin", labelCol=TARGET, maxIter=100)
-    return Pipeline(stages=([FourierFeatures(seed=seed)] if kernel == "rbf" else []) + [machine, margin, calibration])
+    @keyword_only
+    def __init__(self, *, state=None):
+        super().__init__()
+        if state is not None:
+            self._set(state=state)
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        s = json.loads(self.getOrDefault("state"))
+        slopes, (slope, offset) = np.array(s["slopes"]), s["curve"]
+
+        @F.pandas_udf("double")
+        def probability(rows: pd.Series) -> pd.Series:
+            if not len(rows):
+                return pd.Series([], dtype="float64")
+            projection = kernel_map(s["inputs"], len(slopes), s["seed"]) if s["seed"] is not None else None
+            margins = machine_margins(np.stack(rows.to_numpy()), projection, slopes, s["offset"])
+            return pd.Series(1 / (1 + np.exp(-np.clip(slope * margins + offset, -700, 700))))
+
+        scored = dataset.withColumn("_p", probability(vector_to_array(F.col(FEATURES))))
+        return scored.select(
+            *dataset.columns,
+            array_to_vector(F.array(1 - F.col("_p"), F.col("_p"))).alias("probability"),
+            (F.col("_p") > 0.5).cast("double").alias("prediction"),
+        )
 
 
 # ---- adaptive boosting -----------------------------------------------------------------------------------------------
@@ -473,7 +587,7 @@ def build_classifier(
     if name in BOOSTED:
         return BoostedTreesClassifier(boost_settings(p, seed), FEATURES, TARGET, weight_col, row_id)
     if name == "svm":
-        return _svm(p["kernel"], 1.0 / (p["C"] * total), weight, seed)
+        return KernelMachine(p["kernel"], 1.0 / (p["C"] * total), weight_col, seed)
     if name == "adaboost":
         return AdaBoost(rounds=p["n_estimators"], rate=float(p["learning_rate"]), seed=seed)
     if name == "mlp":

@@ -79,22 +79,59 @@ def _line_search(evaluate: Callable, x: np.ndarray, value: float, gradient: np.n
     return best
 
 
+def _direction(gradient: np.ndarray, steps: list[tuple]) -> np.ndarray:
+    """The quasi-Newton direction from the last (step, change of the gradient) pairs."""
+    direction, scales = -gradient, []
+    for s, y in reversed(steps):
+        scales.append((s @ direction) / (s @ y))
+        direction = direction - scales[-1] * y
+    if steps:
+        s, y = steps[-1]
+        direction = direction * ((s @ y) / (y @ y))
+    for (s, y), scale in zip(steps, reversed(scales)):
+        direction = direction + (scale - (y @ direction) / (s @ y)) * s
+    return direction
+
+
+def minimise_along(along: Callable, lengths: tuple, start: np.ndarray, most: int, tolerance: float = 1e-6) -> np.ndarray:
+    """L-BFGS whose line search is one pass: ``along(point, direction)`` returns (value, gradient) at ``lengths`` times the direction.
+
+    The first length is 0. If no length lowers the value, the direction is shortened, at most ten times.
+    """
+    x = np.asarray(start, "float64")
+    value, gradient = along(x, np.zeros_like(x))[0]
+    first, values, steps = abs(value), [value], []
+    for _ in range(most):
+        direction = _direction(gradient, steps)
+        if not float(gradient @ direction) < 0:
+            break
+        if not steps:
+            direction = direction / max(float(np.linalg.norm(gradient)), 1e-300)
+        for _ in range(10):
+            found = along(x, direction)
+            best = min(range(1, len(lengths)), key=lambda i: found[i][0])
+            if found[best][0] < value:
+                break
+            direction = direction * lengths[-1]
+        else:
+            break
+        s, y = lengths[best] * direction, found[best][1] - gradient
+        if s @ y > 0:
+            steps = [*steps, (s, y)][-MEMORY:]
+        x, (value, gradient) = x + s, found[best]
+        values = [*values, value][-LOOK_BACK:]
+        if max(values) - value <= tolerance * first or np.linalg.norm(gradient) <= max(tolerance * abs(value), 1e-8):
+            break
+    return x
+
+
 def minimise(evaluate: Callable, start: np.ndarray, most: int, tolerance: float = 1e-6) -> np.ndarray:
     """L-BFGS with the stopping rules of Spark's estimators; ``evaluate`` returns (value, gradient) and is one pass over the rows."""
     x = np.asarray(start, "float64")
     value, gradient = evaluate(x)
     first, values, steps = abs(value), [value], []
     for _ in range(most):
-        direction = -gradient
-        scales = []
-        for s, y in reversed(steps):
-            scales.append((s @ direction) / (s @ y))
-            direction = direction - scales[-1] * y
-        if steps:
-            s, y = steps[-1]
-            direction = direction * ((s @ y) / (y @ y))
-        for (s, y), scale in zip(steps, reversed(scales)):
-            direction = direction + (scale - (y @ direction) / (s @ y)) * s
+        direction = _direction(gradient, steps)
         if not float(gradient @ direction) < 0:
             break
         found = _line_search(evaluate, x, value, gradient, direction, 1.0 if steps else 1.0 / max(float(np.linalg.norm(gradient)), 1e-300))
