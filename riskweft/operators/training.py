@@ -99,17 +99,20 @@ def train(
     preprocessor = preprocessor or Preprocessor()
     size = df.count()
     ready = isinstance(preprocessor, PreprocessorModel)
-    # Fitting the preprocessing takes many passes too; synthetic rows are dealt again afterwards.
-    rows = df if ready else spread(df, row_id, size, fits).persist()
+    # Fitting the preprocessing takes many passes too. Every estimator keeps its own copy of the feature vectors, so only the input
+    # columns are kept here, a fraction of their size; synthetic rows, which cost more to make, are dealt again and kept.
+    rows = spread(df, row_id, size, fits).persist()
     fitted = preprocessor if ready else preprocessor.fit(rows)
     frame, weight = training_frame(rows, fitted, name, sampler, overrides, row_id, seed)
-    frame = (spread(frame, row_id, size, fits) if ready or "copy" in frame.columns else frame).persist()
+    copies = "copy" in frame.columns
+    if copies:
+        frame = spread(frame, row_id, size, fits).persist()
     total = frame.agg(F.sum(weight) if weight else F.count(F.lit(1))).first()[0]
-    if not ready:
+    if copies:
         rows.unpersist()
     estimator = build_classifier(name, overrides, len(fitted.feature_names()), weight, seed, row_id, float(total or 1))
     model = estimator.fit(frame)
-    frame.unpersist()
+    (frame if copies else rows).unpersist()
     return Trained(name, fitted, model, seconds=time.monotonic() - started)
 
 
