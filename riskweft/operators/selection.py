@@ -6,6 +6,7 @@ import math
 import warnings
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
@@ -38,10 +39,12 @@ def eliminate_features(
     """(kept columns, (column, round dropped) pairs): a forest is refitted after every dropped step."""
     kept = list(columns)
     dropped: list[tuple[str, int]] = []
-    typed = df.select(*[F.col(c).cast("double").alias(c) for c in columns], F.col(label).cast("double").alias(label))
+    own = df.select(*columns, label)
     # The input may have few partitions, and every round passes over all rows many times.
     parts = max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(df.count() / PART_ROWS))
-    typed = typed.repartition(parts).persist()
+    # A forest keeps its own copy of the rows with a counter for each tree, so memory is left to it; a round reads these rows three times.
+    own = own.repartition(parts).persist(StorageLevel.DISK_ONLY)
+    typed = own.select(*[F.col(c).cast("double").alias(c) for c in columns], F.col(label).cast("double").alias(label))
     round_number = 0
     while len(kept) > k:
         round_number += 1
@@ -50,7 +53,7 @@ def eliminate_features(
         weakest = sorted(range(len(kept)), key=lambda i: (forest.featureImportances[i], i))[: min(step, len(kept) - k)]
         dropped += [(kept[i], round_number) for i in weakest]
         kept = [c for i, c in enumerate(kept) if i not in weakest]
-    typed.unpersist()
+    own.unpersist()
     return kept, dropped
 
 
